@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cordon.spec import DEFAULT_COORD, ZONE_COORDS, AuditSpec
 
@@ -16,34 +15,34 @@ def hour_column(h: int) -> str:
 
 
 def velocity_grid(speeds: DataFrame) -> DataFrame:
-    """Weekday x hour matrix of speeds; a missing cell is null.
+    """Weekday x hour matrix of speeds (``h00`` .. ``h23``); a missing cell is null.
 
-    The pivot values are given explicitly, so Spark needs no extra job to find them, and
-    the input is one row per (hour, weekday) -- at most 168 rows.
+    The long report holds one row per (hour, weekday), at most 168 rows, so the pivot is
+    one conditional aggregation by weekday: one tiny shuffle, no pivot-value job.
+    Rows come out sorted by weekday name inside one partition of at most 7 rows.
     """
-    grid = speeds.groupBy("dow").pivot("hour", HOURS).agg(F.first("speed"))
-    return grid.select("dow", *[F.col(str(h)).alias(hour_column(h)) for h in HOURS]).orderBy("dow")
+    cells = [F.max(F.when(F.col("hour") == h, F.col("speed"))).alias(hour_column(h)) for h in HOURS]
+    return speeds.groupBy("dow").agg(*cells).coalesce(1).sortWithinPartitions("dow")
 
 
-def coords_frame(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("loc_id", T.LongType(), False),
-        T.StructField("zone_lat", T.DoubleType(), False),
-        T.StructField("zone_lon", T.DoubleType(), False),
-    ])
-    return spark.createDataFrame([(k, v[0], v[1]) for k, v in ZONE_COORDS.items()], schema)
+def _coord_map(index: int):
+    pairs = []
+    for loc, coord in ZONE_COORDS.items():
+        pairs += [F.lit(loc).cast("bigint"), F.lit(coord[index])]
+    return F.create_map(*pairs)
 
 
 def border_geo(border: DataFrame) -> DataFrame:
     """Border report with map coordinates; unknown zones get the default point.
 
-    The coordinate table is a fixed 8-row lookup, so broadcasting it is bounded.
+    The coordinates are a fixed 8-entry lookup, so they travel inside the plan as map
+    literals: a per-row hash lookup with no join, no broadcast and no Python data.
     """
-    coords = F.broadcast(coords_frame(border.sparkSession))
-    return border.join(coords, "loc_id", "left").select(
+    loc = F.col("loc_id").cast("bigint")
+    return border.select(
         *border.columns,
-        F.coalesce(F.col("zone_lat"), F.lit(DEFAULT_COORD[0])).alias("lat"),
-        F.coalesce(F.col("zone_lon"), F.lit(DEFAULT_COORD[1])).alias("lon"),
+        F.coalesce(F.element_at(_coord_map(0), loc), F.lit(DEFAULT_COORD[0])).alias("lat"),
+        F.coalesce(F.element_at(_coord_map(1), loc), F.lit(DEFAULT_COORD[1])).alias("lon"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cordon.sources.feeds import time_columns
@@ -56,26 +56,34 @@ def observed_periods(trips: DataFrame, feed_col: str = "taxi_type", time_col: st
 def missing_periods(observed: DataFrame, feeds: Iterable[str], years: Iterable[int] | None = None) -> DataFrame:
     """Periods of the expected calendar (each feed x year x 12 months) with no trips.
 
-    ``years`` defaults to every year from the first to the last observed one.  The
-    calendar is generated by ``explode`` on one row (no cross join) and matched with a
-    ``left_anti`` join; both sides hold at most feeds x years x 12 rows, so AQE
-    plans it as a broadcast from the measured size.
+    ``years`` defaults to every year from the first to the last observed one (over all
+    feeds).  Months are numbered ``year * 12 + month - 1``; each feed's present months are
+    gathered into one set (bounded by the calendar: at most years x 12 values), and the
+    missing ones are ``array_except(calendar, present)``.  One pass over the observed
+    periods: no self-join, no cross join, so the trips are scanned once.
     """
     feeds = list(feeds)
+    idx = F.col("year") * 12 + F.col("month") - 1
+    per_feed = observed.groupBy("feed").agg(F.collect_set(idx.cast("int")).alias("present"))
+    wanted = observed.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"))
+    # both sides hold one row per feed
+    rows = wanted.join(F.broadcast(per_feed), "feed", "left")
     if years is None:
-        bounds = observed.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
-        year_list = F.sequence(F.col("lo"), F.col("hi"))
+        span = Window.partitionBy()  # over one row per feed
+        rows = rows.select(
+            "feed", "present",
+            F.min(F.array_min("present")).over(span).alias("lo"),
+            F.max(F.array_max("present")).over(span).alias("hi"),
+        )
+        calendar = F.sequence((F.floor(F.col("lo") / 12) * 12).cast("int"),
+                              (F.floor(F.col("hi") / 12) * 12 + 11).cast("int"))
     else:
-        years = sorted(set(int(y) for y in years))
-        bounds = observed.sparkSession.range(1)
-        year_list = F.array(*[F.lit(y) for y in years])
-    calendar = (
-        bounds.select(F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"), year_list.alias("ys"))
-        .select("feed", F.explode("ys").alias("year"))
-        .select("feed", "year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
-    )
-    present = observed.select("feed", "year", "month")
-    return (
-        calendar.join(present, ["feed", "year", "month"], "left_anti")
-        .select("feed", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+        months = [y * 12 + m for y in sorted(set(int(y) for y in years)) for m in range(12)]
+        calendar = F.array(*[F.lit(m) for m in months])
+    present = F.coalesce(F.col("present"), F.array().cast("array<int>"))
+    gaps = rows.select("feed", F.explode(F.array_except(calendar, present)).alias("m"))
+    return gaps.select(
+        "feed",
+        F.floor(F.col("m") / 12).cast("int").alias("year"),
+        (F.col("m") % 12 + 1).cast("int").alias("month"),
     )

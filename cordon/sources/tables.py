@@ -10,10 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.functions.time import ts_lit
 from cordon.sources.feeds import time_columns
 
 # Fixed values of the test mapping (FIXTURES.md §4): modulus of the zone ids, time
@@ -30,40 +29,38 @@ WEATHER_YEAR_SHIFT = 24
 TRIP_KEY = "trip_key"
 
 
-def _secs(n: Column, ts: Column) -> Column:
-    return F.timestamp_add("SECOND", n, ts)
+_OFFSET = f"(l_orderkey * 37 + l_linenumber * 911) % {PICKUP_OFFSET_MOD}"
+_DURATION = f"(l_partkey * 7 + l_linenumber * 13 + l_suppkey * 3) % {DURATION_MOD}"
+_FARE = (f"CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN -(l_extendedprice / {FARE_DIVISOR}D) "
+         f"ELSE l_extendedprice / {FARE_DIVISOR}D END")
+
+# The mapping as SQL expressions: one call builds the whole projection in the JVM.
+TRIP_EXPRS = (
+    f"concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), "
+    f"CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING)) AS {TRIP_KEY}",
+    f"timestampadd(SECOND, {_OFFSET}, l_shipdate) AS pickup_time",
+    f"timestampadd(SECOND, {_OFFSET} + {_DURATION}, l_shipdate) AS dropoff_time",
+    f"CAST(1 + l_partkey % {ZONE_MOD} AS BIGINT) AS pickup_loc",
+    f"CAST(1 + (l_suppkey * 5 + l_linenumber) % {ZONE_MOD} AS BIGINT) AS dropoff_loc",
+    "CASE WHEN l_quantity = 1 THEN 0.0D ELSE l_quantity / 8.0D END AS trip_distance",
+    f"{_FARE} AS fare",
+    f"({_FARE}) * (1.0D + 2.0D * l_tax) + l_discount * 25.0D AS total_amount",
+    f"CASE WHEN l_discount = {NULL_SURCHARGE_DISCOUNT}D THEN CAST(NULL AS DOUBLE) "
+    "ELSE l_discount * 25.0D END AS congestion_surcharge",
+    "CASE WHEN l_linestatus = 'O' THEN 'yellow' ELSE 'green' END AS taxi_type",
+    f"CAST(l_suppkey % {VENDOR_MOD} AS BIGINT) AS VendorID",
+)
 
 
 def lineitem_trips(lineitem: DataFrame) -> DataFrame:
     """Every lineitem row as a trip (raw surcharge, nullable) plus ``taxi_type`` and a key."""
-    li = lineitem
-    offset = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 911) % PICKUP_OFFSET_MOD
-    duration = (F.col("l_partkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_suppkey") * 3) % DURATION_MOD
-    base_fare = F.col("l_extendedprice") / F.lit(FARE_DIVISOR)
-    fare = F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R"), -base_fare).otherwise(base_fare)
-    pickup = _secs(offset, F.col("l_shipdate"))
-    return li.select(
-        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias(TRIP_KEY),
-        pickup.alias("pickup_time"),
-        _secs(offset + duration, F.col("l_shipdate")).alias("dropoff_time"),
-        (F.lit(1) + F.col("l_partkey") % ZONE_MOD).cast("bigint").alias("pickup_loc"),
-        (F.lit(1) + (F.col("l_suppkey") * 5 + F.col("l_linenumber")) % ZONE_MOD).cast("bigint").alias("dropoff_loc"),
-        F.when(F.col("l_quantity") == 1, F.lit(0.0)).otherwise(F.col("l_quantity") / F.lit(8.0)).alias("trip_distance"),
-        fare.alias("fare"),
-        (fare * (F.lit(1.0) + F.lit(2.0) * F.col("l_tax")) + F.col("l_discount") * F.lit(25.0)).alias("total_amount"),
-        F.when(F.col("l_discount") == F.lit(NULL_SURCHARGE_DISCOUNT), F.lit(None).cast("double"))
-        .otherwise(F.col("l_discount") * F.lit(25.0)).alias("congestion_surcharge"),
-        F.when(F.col("l_linestatus") == "O", F.lit("yellow")).otherwise(F.lit("green")).alias("taxi_type"),
-        (F.col("l_suppkey") % VENDOR_MOD).cast("bigint").alias("VendorID"),
-    )
+    return lineitem.selectExpr(*TRIP_EXPRS)
 
 
-def _feed_rows(lineitem: DataFrame, feed: str) -> DataFrame:
-    if feed == "yellow":
-        return lineitem.filter(F.col("l_linestatus") == "O")
-    if feed == "green":
-        return lineitem.filter((F.col("l_linestatus") != "O") | F.col("l_linestatus").isNull())
-    raise ValueError(f"unknown feed {feed!r}")
+_FEED_PRED = {
+    "yellow": "l_linestatus = 'O'",
+    "green": "(l_linestatus <> 'O' OR l_linestatus IS NULL)",
+}
 
 
 def lineitem_feed(lineitem: DataFrame, feed: str, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -72,29 +69,22 @@ def lineitem_feed(lineitem: DataFrame, feed: str, start: str | None = None, end:
     Column names follow the feed (``tpep_*`` / ``lpep_*``); ``trip_key`` is an extra raw
     column that schema unification drops and imputation carries along.
     """
-    li = _feed_rows(lineitem, feed)
+    scan_pred, trip_pred = [_FEED_PRED[feed]], []
     if start is not None:
         slack = (dt.datetime.fromisoformat(start) - dt.timedelta(days=1)).isoformat(sep=" ")
-        li = li.filter(F.col("l_shipdate") > ts_lit(slack))
-    if end is not None:
-        li = li.filter(F.col("l_shipdate") < ts_lit(end))
-    trips = lineitem_trips(li)
-    if start is not None:
-        trips = trips.filter(F.col("pickup_time") >= ts_lit(start))
+        scan_pred.append(f"l_shipdate > TIMESTAMP_NTZ '{slack}'")
+        trip_pred.append(f"pickup_time >= TIMESTAMP_NTZ '{start}'")
     if end is not None:
-        trips = trips.filter(F.col("pickup_time") < ts_lit(end))
+        scan_pred.append(f"l_shipdate < TIMESTAMP_NTZ '{end}'")
+        trip_pred.append(f"pickup_time < TIMESTAMP_NTZ '{end}'")
+    trips = lineitem_trips(lineitem.filter(" AND ".join(scan_pred)))
+    if trip_pred:
+        trips = trips.filter(" AND ".join(trip_pred))
     pickup, dropoff = time_columns(feed)
-    return trips.select(
-        "VendorID",
-        F.col("pickup_time").alias(pickup),
-        F.col("dropoff_time").alias(dropoff),
-        "trip_distance",
-        F.col("pickup_loc").alias("PULocationID"),
-        F.col("dropoff_loc").alias("DOLocationID"),
-        F.col("fare").alias("fare_amount"),
-        "total_amount",
-        "congestion_surcharge",
-        TRIP_KEY,
+    return trips.selectExpr(
+        "VendorID", f"pickup_time AS {pickup}", f"dropoff_time AS {dropoff}", "trip_distance",
+        "pickup_loc AS PULocationID", "dropoff_loc AS DOLocationID", "fare AS fare_amount",
+        "total_amount", "congestion_surcharge", TRIP_KEY,
     )
 
 

@@ -71,3 +71,20 @@ def test_fixture_counts(spark):
     assert abs(c.correlation - (-0.018656)) < 1e-6
     assert q["border_effect"](spark, SF_SMALL).count() == 0
     assert q["tip_crowding"](spark, SF_SMALL).count() == 12
+
+
+def test_missing_periods_calendar(spark):
+    from cordon.operators import missing_periods
+
+    obs = spark.createDataFrame([("yellow", 2024, 1), ("yellow", 2025, 3), ("green", 2025, 12)],
+                                "feed string, year int, month int")
+    got = missing_periods(obs, ["yellow", "green", "fhv"]).collect()
+    per_feed = {f: sum(1 for r in got if r.feed == f) for f in ("yellow", "green", "fhv")}
+    assert per_feed == {"yellow": 22, "green": 23, "fhv": 24}
+    one_year = missing_periods(obs, ["yellow"], years=[2025]).collect()
+    assert sorted(r.month for r in one_year) == [1, 2] + list(range(4, 13))
+
+
+def test_missing_periods_on_tables(spark):
+    rows = registry()["missing_periods"](spark, SF_SMALL).collect()
+    assert sorted((r.feed, r.year, r.month) for r in rows) == [("green", 2001, 12), ("yellow", 2001, 12)]
