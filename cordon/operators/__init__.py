@@ -12,7 +12,7 @@ from cordon.operators.reports import (
     velocity_after,
     velocity_before,
 )
-from cordon.operators.reshape import border_geo, velocity_grid, volume_change_kpi
+from cordon.operators.reshape import border_geo, velocity_grid, volume_change_kpi, volume_change_text
 from cordon.operators.unify import (
     TRIP_COLUMNS,
     missing_periods,
@@ -26,7 +26,7 @@ __all__ = [
     "audit_log", "clean_trips", "flag_stats", "flag_trips", "impute_month",
     "border_effect", "period_volumes", "surcharge_leakage", "suspicious_vendors", "tip_crowding",
     "velocity", "velocity_after", "velocity_before",
-    "border_geo", "velocity_grid", "volume_change_kpi",
+    "border_geo", "velocity_grid", "volume_change_kpi", "volume_change_text",
     "TRIP_COLUMNS", "missing_periods", "observed_periods", "raw_to_trips", "unify_feeds",
     "daily_trips", "rain_daily", "rain_elasticity", "rain_trend",
 ]

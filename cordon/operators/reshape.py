@@ -56,3 +56,13 @@ def volume_change_kpi(volumes: DataFrame, spec: AuditSpec) -> DataFrame:
     return wide.select(
         "v_before", "v_after", pct.alias("pct_change"), (F.col("v_before") - F.col("v_after")).alias("delta"),
     )
+
+
+def volume_change_text(kpi: DataFrame) -> DataFrame:
+    """The KPI row plus display text: percent with one decimal (``-12.5%``) and the trip
+    difference with thousands separators (``1,234 trips``)."""
+    return kpi.withColumns({
+        "pct_label": F.when(F.col("pct_change").isNull(), F.lit(None))
+        .otherwise(F.format_string("%.1f%%", F.col("pct_change"))),
+        "delta_label": F.concat(F.format_number(F.col("delta"), 0), F.lit(" trips")),
+    })

@@ -34,6 +34,10 @@ from cordon.operators import (
     unify_feeds,
     velocity_after,
     velocity_before,
+    velocity_grid,
+    volume_change_kpi,
+    volume_change_text,
+    border_geo,
 )
 from cordon.session import scratch_path
 from cordon.sinks import publish_reports, write_table
@@ -78,6 +82,11 @@ def build_reports(audited: DataFrame, baseline: DataFrame, weather: DataFrame |
         "velocity_after": velocity_after(clean, spec),
         "tips": tip_crowding(clean, spec),
     }
+    # dashboard reshapes, computed from the small reports
+    reports["velocity_grid_before"] = velocity_grid(reports["velocity_before"])
+    reports["velocity_grid_after"] = velocity_grid(reports["velocity_after"])
+    reports["border_geo"] = border_geo(reports["border"])
+    reports["volume_kpi"] = volume_change_text(volume_change_kpi(reports["volumes"], spec))
     scalars = {}
     if weather is not None:
         rain = rain_daily(clean, weather)

@@ -70,6 +70,8 @@ def test_run_audit_publishes_reports(spark, scratch):
                            "pickup_loc long, trip_count long, compliance_rate double, missing_surcharge_hits long")
     assert sorted(r.pickup_loc for r in leak.collect()) == [10, 26, 27]
     assert read_scalar(spark, f"{out}/rain_stats.txt") == "-0.0187"
+    kpi = read_report_csv(spark, f"{out}/volume_kpi.csv", "v_before long, v_after long, pct_change double, delta long, pct_label string, delta_label string").first()
+    assert (kpi.v_before, kpi.v_after, kpi.pct_label, kpi.delta_label) == (15, 58, "286.7%", "-43 trips")
     assert read_report_csv(spark, f"{out}/never_written.csv", "a int") is None
     # the written table is partitioned by flag and reads back whole
     table = spark.read.parquet(res.table_path)

@@ -149,3 +149,12 @@ def test_feb29_shift_clamps(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 2, 29, 13, 5),)], "t timestamp_ntz")
     (r,) = df.select(shift_years("t", 1).alias("a"), shift_years("t", 4).alias("b")).collect()
     assert r.a == dt.datetime(2025, 2, 28, 13, 5) and r.b == dt.datetime(2028, 2, 29, 13, 5)
+
+
+def test_kpi_text(spark):
+    from cordon.operators import volume_change_text
+
+    vols = spark.createDataFrame([("2024_Q1", 4000), ("2025_Q1", 3500)], "period string, volume long")
+    (r,) = volume_change_text(volume_change_kpi(vols, SPEC)).collect()
+    assert (r.v_before, r.v_after, r.pct_change, r.delta) == (4000, 3500, -12.5, 500)
+    assert (r.pct_label, r.delta_label) == ("-12.5%", "500 trips")
