@@ -110,10 +110,14 @@ def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame], baseline_raw
 
 
 def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
-                          template: str = DEFAULT_TEMPLATE) -> dict[str, DataFrame]:
+                          template: str = DEFAULT_TEMPLATE, write_imputed: bool = False) -> dict[str, DataFrame]:
     """Every feed of the analysis year from its monthly files.  A month whose file is
     absent is rebuilt from the donor years (any month, not only December); a missing
-    donor file raises.  Presence is a file-system check, so no data is scanned for it."""
+    donor file raises.  Presence is a file-system check, so no data is scanned for it.
+
+    With ``write_imputed`` the rebuilt month is written as that month's file under
+    ``root`` (S7) and read back, so a later run finds it present and skips the work (S4).
+    """
     y = spec.analysis_year
     feeds = {}
     for feed in spec.feeds:
@@ -127,6 +131,10 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
                     raise FileNotFoundError(f"donor {donor_path} for imputing {feed} {y}-{m:02d} is missing")
                 donors.append((read_feed_months(spark, root, feed, [(y - d.years_back, m)], template), d))
             imputed = impute_month(donors, feed)
+            if write_imputed:
+                target = feed_path(root, feed, y, m, template)
+                imputed.write.mode("errorifexists").parquet(target)
+                imputed = read_feed_months(spark, root, feed, [(y, m)], template)
             frame = imputed if frame is None else frame.unionByName(imputed, allowMissingColumns=True)
         feeds[feed] = frame
     return feeds

@@ -53,6 +53,13 @@ def test_absent_month_is_imputed_and_missing_donor_raises(spark, scratch):
     # every imputed row comes from a donor row
     donors = want.feed_month("yellow", 1998, 12).unionByName(want.feed_month("yellow", 1999, 12))
     assert dec.join(donors, "trip_key", "left_anti").count() == 0
+    # written back as the month's file: a second run reads it instead of imputing again
+    first = feeds_with_imputation(spark, scratch, spec, write_imputed=True)["yellow"]
+    n_dec = first.filter(F.month("tpep_pickup_datetime") == 12).count()
+    assert n_dec == dec.count()
+    assert os.path.exists(feed_path(scratch, "yellow", 2000, 12))
+    again = feeds_with_imputation(spark, scratch, spec)["yellow"]  # would raise if it re-imputed into an existing file
+    assert again.filter(F.month("tpep_pickup_datetime") == 12).count() == n_dec
     # a missing donor is an error
     other = scratch + "-nodonor"
     land_months(spark, other, "yellow", months)

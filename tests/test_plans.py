@@ -52,3 +52,19 @@ def test_single_shuffle_for_flag_stats(spark):
     p = plan(registry()["flag_stats"](spark, SF_SMALL))
     assert p.count("Arguments: hashpartitioning(") == 1
     assert "partial_count" in p
+
+
+def test_each_report_scans_the_written_table_once(spark, scratch):
+    from cordon.plans.audit_run import build_reports, materialise_flags
+    from cordon.plans.registry import Inputs
+
+    i = Inputs(spark, SF_SMALL)
+    path, _, audited = materialise_flags(spark, i.trips, f"{scratch}/audit")
+    reports, _ = build_reports(audited, i.baseline, i.weather, i.spec)
+    for name in ("leakage", "vendors", "tips", "velocity_after", "flag_stats"):
+        p = plan(reports[name])
+        scans = [line for line in p.splitlines() if line.startswith("Location:") and "audit" in line]
+        assert len(scans) == 1, name
+    # clean-trip reports read only the unflagged partition directory
+    p = plan(reports["leakage"])
+    assert "PartitionFilters: [isnull(forensic_flag" in p
