@@ -64,7 +64,9 @@ def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None =
           for name in (FLAG_SPEED, FLAG_TELEPORT, FLAG_STATIONARY)],
     )
     path = path or scratch_path(spark, "audit_results")
-    write_table(observed, path, partition_by=["forensic_flag"], sort_within=["pickup_time"])
+    # sorting by the partition column first satisfies the writer's required ordering, so
+    # it adds no second sort and every file stays ordered by pickup time
+    write_table(observed, path, partition_by=["forensic_flag"], sort_within=["forensic_flag", "pickup_time"])
     table = spark.read.schema(flagged.schema).parquet(path)
     return path, dict(obs.get), table
 

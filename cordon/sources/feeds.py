@@ -80,10 +80,18 @@ def read_feed_months(
     periods: Iterable[tuple[int, int]],
     template: str = DEFAULT_TEMPLATE,
 ) -> DataFrame:
-    """Read the given ``(year, month)`` files of one feed as one DataFrame."""
-    frames = [conform(spark.read.parquet(feed_path(root, feed, y, m, template)), feed) for y, m in periods]
-    if not frames:
+    """Read the given ``(year, month)`` files of one feed as one DataFrame.
+
+    Files with the same footer schema are read by one scan; each distinct schema gets
+    its own scan, conformed to the feed schema, and the scans are unioned by name.
+    """
+    paths = [feed_path(root, feed, y, m, template) for y, m in periods]
+    if not paths:
         raise ValueError("no periods given")
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    frames = [conform(spark.read.parquet(*group), feed) for group in groups.values()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

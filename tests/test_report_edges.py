@@ -158,3 +158,17 @@ def test_kpi_text(spark):
     (r,) = volume_change_text(volume_change_kpi(vols, SPEC)).collect()
     assert (r.v_before, r.v_after, r.pct_change, r.delta) == (4000, 3500, -12.5, 500)
     assert (r.pct_label, r.delta_label) == ("-12.5%", "500 trips")
+
+
+def test_durations_ignore_session_zone_dst(spark):
+    """NTZ wall-clock difference, as the reference's naive timestamps: no DST hour."""
+    from cordon.functions.time import seconds_between
+
+    df = spark.createDataFrame([(dt.datetime(2025, 3, 9, 1, 30), dt.datetime(2025, 3, 9, 3, 30, 0, 250000))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(seconds_between("a", "b").alias("s")).first().s == 7200.25
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
