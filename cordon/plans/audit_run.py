@@ -144,15 +144,36 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
 
 def main(argv=None) -> None:
     from cordon.plans.registry import Inputs
-    from cordon.session import local_session
-
-    ap = argparse.ArgumentParser(description="run the audit on the test tables and publish reports")
-    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
-    ap.add_argument("--out", required=True)
+    from cordon.session import apply_cluster_conf, local_session
+    from cordon.sources.files import read_weather_json
+
+    ap = argparse.ArgumentParser(description="run the audit and publish its reports")
+    ap.add_argument("--out", required=True, help="report folder (any Hadoop file system)")
+    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01", help="test tables (when --root is not given)")
+    ap.add_argument("--root", help="folder of monthly files {feed}_tripdata_{year}-{month:02d}.parquet")
+    ap.add_argument("--weather-json", help="daily weather JSON of parallel arrays")
+    ap.add_argument("--year", type=int, help="analysis year (with --root)")
+    ap.add_argument("--policy-start", help="policy start date, YYYY-MM-DD (with --root)")
+    ap.add_argument("--write-imputed", action="store_true", help="write rebuilt months back under --root")
+    ap.add_argument("--local", action="store_true", help="start a local session instead of the active one")
     args = ap.parse_args(argv)
-    spark = local_session()
-    i = Inputs(spark, args.sf_dir)
-    res = run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, args.out)
+    spark = local_session() if args.local or SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
+    apply_cluster_conf(spark)
+    if args.root:
+        spec = AuditSpec()
+        if args.year:
+            y = args.year
+            spec = spec.with_(analysis_year=y, q1_start=f"{y}-01-01", q1_end=f"{y}-03-31",
+                              policy_start=f"{y}-01-05", baseline_year=y - 1)
+        if args.policy_start:
+            spec = spec.with_(policy_start=args.policy_start)
+        feeds = feeds_with_imputation(spark, args.root, spec, write_imputed=args.write_imputed)
+        baseline = read_feed_months(spark, args.root, spec.baseline_feed, [(spec.baseline_year, spec.baseline_month)])
+        weather = read_weather_json(spark, args.weather_json) if args.weather_json else None
+    else:
+        i = Inputs(spark, args.sf_dir)
+        spec, feeds, baseline, weather = i.spec, i.raw_feeds, i.baseline_raw, i.weather
+    res = run_audit(spark, feeds, baseline, weather, spec, args.out)
     print({"table": res.table_path, "flags": res.flag_counts, "written": sorted(res.written)})
 
 

@@ -60,3 +60,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique location under the shared folder for a materialised table."""
     base = work_dir(spark) or ensure_work_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Runtime SQL settings the audit is designed around (all settable on a live session).
+# Only scans and written tables carry volume; every shuffle is post-aggregation, so the
+# partition-size settings matter for scans and the table write, AQE for the rest.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# static (set when the session is built): no Python call-site capture per Column call
+BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
+def apply_cluster_conf(spark: SparkSession, overwrite: bool = False) -> dict[str, str]:
+    """Set :data:`CLUSTER_CONF` on a session, keeping values the cluster already chose
+    unless ``overwrite``.  Returns what was set."""
+    applied = {}
+    for key, value in CLUSTER_CONF.items():
+        if not overwrite and spark.conf.isModifiable(key) and _explicitly_set(spark, key):
+            continue
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
+def _explicitly_set(spark: SparkSession, key: str) -> bool:
+    return spark.sparkContext.getConf().contains(key)

@@ -112,3 +112,33 @@ def test_weather_json_parallel_arrays(spark, scratch):
     rows = sorted(read_weather_json(spark, path).collect())
     assert [(r.date.isoformat(), r.precip_mm) for r in rows] == [
         ("2025-01-01", 0.0), ("2025-01-02", None), ("2025-01-03", 4.2)]
+
+
+def test_dashboard_reads_published_reports(spark, scratch):
+    from cordon.plans.dashboard import dashboard_tables
+
+    i = Inputs(spark, SF_SMALL)
+    out = os.path.join(scratch, "exports")
+    run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, out)
+    d = dashboard_tables(spark, out, i.spec)
+    assert d["rain_stats"] == "-0.0187"
+    kpi = d["volume_kpi"].first()
+    assert (kpi.v_before, kpi.v_after) == (15, 58)
+    (tr,) = d["rain_trend"].collect()
+    assert abs(tr.slope - (-0.000048)) < 1e-6 and abs(tr.intercept - 2.4369) < 1e-4
+    assert d["grid_after"].count() > 0 and d["border_map"].count() == 0
+    empty = dashboard_tables(spark, os.path.join(scratch, "nothing"), i.spec)
+    assert empty["volume_kpi"] is None and empty["rain_stats"] is None
+
+
+def test_cli_runs_on_monthly_files(spark, scratch):
+    from cordon.plans.audit_run import main
+
+    spec = fixture_spec()
+    for feed in spec.feeds:
+        land_months(spark, scratch, feed, [(2000, m) for m in range(1, 12)] + [(1998, 12), (1999, 12), (1999, 1)])
+    out = os.path.join(scratch, "exports")
+    main(["--root", scratch, "--year", "2000", "--out", out, "--write-imputed"])
+    assert os.path.exists(feed_path(scratch, "green", 2000, 12))
+    vols = read_report_csv(spark, f"{out}/volumes.csv", "period string, volume long").collect()
+    assert {r.period: r.volume for r in vols}["1999_Q1"] == 15
