@@ -8,9 +8,11 @@ and a union, no shuffle -- so it scales with the donor files.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cordon.functions.sample import in_hash_sample, sample_key
 from cordon.functions.time import shift_years
@@ -18,30 +20,52 @@ from cordon.sources.feeds import time_columns
 from cordon.spec import Donor
 
 
-def shift_feed_years(raw: DataFrame, feed: str, years: int) -> DataFrame:
-    """Move both trip times of a raw feed ``years`` forward, columns kept in place."""
+WEEKS_PER_YEAR_DAYS = 364
+
+
+def shift_feed_years(raw: DataFrame, feed: str, years: int, align_weekdays: bool = False) -> DataFrame:
+    """Move both trip times of a raw feed ``years`` forward, columns kept in place;
+    with ``align_weekdays`` by ``364 * years`` days, which keeps the weekday."""
     pickup, dropoff = time_columns(feed)
+    if align_weekdays:
+        days = WEEKS_PER_YEAR_DAYS * years
+        shift = lambda c: F.timestamp_add("DAY", F.lit(days), F.col(c))
+    else:
+        shift = lambda c: shift_years(c, years)
     return raw.withColumns({
-        pickup: shift_years(pickup, years).cast("timestamp_ntz"),
-        dropoff: shift_years(dropoff, years).cast("timestamp_ntz"),
+        pickup: shift(pickup).cast("timestamp_ntz"),
+        dropoff: shift(dropoff).cast("timestamp_ntz"),
     })
 
 
+def donor_window(year: int, month: int, donor: Donor, align_weekdays: bool = False) -> tuple[str, str]:
+    """Pickup-time window ``[start, end)`` of a donor for the target month."""
+    start = dt.date(year, month, 1)
+    end = dt.date(year + (month == 12), month % 12 + 1, 1)
+    if align_weekdays:
+        back = dt.timedelta(days=WEEKS_PER_YEAR_DAYS * donor.years_back)
+        return (start - back).isoformat(), (end - back).isoformat()
+    y = year - donor.years_back
+    return dt.date(y, month, 1).isoformat(), dt.date(y + (month == 12), month % 12 + 1, 1).isoformat()
+
+
 def impute_month(
     donors: Sequence[tuple[DataFrame, Donor]],
     feed: str,
     key_cols: Sequence[str] | None = None,
+    align_weekdays: bool = False,
 ) -> DataFrame:
     """Union of shifted, hash-sampled donor months of one feed (raw schema kept).
 
     ``key_cols`` name the columns whose hash decides membership; default is every
-    original column, so identical rows are kept or dropped together.
+    original column, so identical rows are kept or dropped together.  Each donor frame
+    holds the pickups of its :func:`donor_window`.
     """
     parts = []
     for frame, donor in donors:
         cols = list(key_cols) if key_cols else frame.columns
         sampled = frame.filter(in_hash_sample(sample_key(cols), donor.fraction))
-        parts.append(shift_feed_years(sampled, feed, donor.years_back))
+        parts.append(shift_feed_years(sampled, feed, donor.years_back, align_weekdays))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

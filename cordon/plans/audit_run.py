@@ -41,7 +41,9 @@ from cordon.operators import (
 )
 from cordon.session import scratch_path
 from cordon.sinks import publish_reports, write_table
-from cordon.sources.feeds import DEFAULT_TEMPLATE, feed_path, path_exists, read_feed_months
+from cordon.functions.time import ts_lit
+from cordon.operators.impute import donor_window
+from cordon.sources.feeds import DEFAULT_TEMPLATE, feed_path, path_exists, read_feed_months, time_columns
 from cordon.spec import FLAG_SPEED, FLAG_STATIONARY, FLAG_TELEPORT, AuditSpec
 
 
@@ -98,14 +100,27 @@ def build_reports(audited: DataFrame, baseline: DataFrame, weather: DataFrame |
     return reports, scalars
 
 
-def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame], baseline_raw: DataFrame,
+def baseline_trips(baseline_raw: DataFrame | dict[str, DataFrame], spec: AuditSpec) -> DataFrame:
+    """Baseline raw file(s) in the Trip schema; audited too when ``spec.audit_baseline``."""
+    if not isinstance(baseline_raw, dict):
+        baseline_raw = {spec.baseline_feed_list[0]: baseline_raw}
+    frames = [raw_to_trips(df, feed, fill_surcharge=False) for feed, df in baseline_raw.items()]
+    trips = frames[0]
+    for f in frames[1:]:
+        trips = trips.unionByName(f)
+    if spec.audit_baseline:
+        return clean_trips(flag_trips(trips))
+    return trips
+
+
+def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame],
+              baseline_raw: DataFrame | dict[str, DataFrame],
               weather: DataFrame | None, spec: AuditSpec, out_dir: str,
               table_path: str | None = None) -> AuditResult:
+    """``baseline_raw``: one raw frame of the baseline feed, or one per baseline feed."""
     trips = unify_feeds(raw_feeds)
     path, counts, audited = materialise_flags(spark, trips, table_path)
-    baseline = raw_to_trips(baseline_raw, spec.baseline_feed, fill_surcharge=False)
-    if spec.audit_baseline:
-        baseline = clean_trips(flag_trips(baseline))
+    baseline = baseline_trips(baseline_raw, spec)
     reports, scalars = build_reports(audited, baseline, weather, spec)
     written = publish_reports(reports, out_dir, scalars)
     return AuditResult(path, counts, reports, written)
@@ -128,11 +143,17 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
         for m in sorted(set(range(1, 13)) - set(present)):
             donors = []
             for d in spec.donors:
-                donor_path = feed_path(root, feed, y - d.years_back, m, template)
-                if not path_exists(spark, donor_path):
-                    raise FileNotFoundError(f"donor {donor_path} for imputing {feed} {y}-{m:02d} is missing")
-                donors.append((read_feed_months(spark, root, feed, [(y - d.years_back, m)], template), d))
-            imputed = impute_month(donors, feed)
+                start, end = donor_window(y, m, d, spec.align_weekdays)
+                months = _months_between(start, end)
+                for yy, mm in months:
+                    donor_path = feed_path(root, feed, yy, mm, template)
+                    if not path_exists(spark, donor_path):
+                        raise FileNotFoundError(f"donor {donor_path} for imputing {feed} {y}-{m:02d} is missing")
+                pickup = time_columns(feed)[0]
+                frame_d = read_feed_months(spark, root, feed, months, template).filter(
+                    (F.col(pickup) >= ts_lit(start)) & (F.col(pickup) < ts_lit(end)))
+                donors.append((frame_d, d))
+            imputed = impute_month(donors, feed, align_weekdays=spec.align_weekdays)
             if write_imputed:
                 target = feed_path(root, feed, y, m, template)
                 imputed.write.mode("errorifexists").parquet(target)
@@ -142,6 +163,18 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
     return feeds
 
 
+def _months_between(start: str, end: str) -> list[tuple[int, int]]:
+    """Calendar months overlapping ``[start, end)``."""
+    y, m = int(start[:4]), int(start[5:7])
+    ey, em = int(end[:4]), int(end[5:7])
+    last = (ey, em) if end[8:10] != "01" else ((ey, em - 1) if em > 1 else (ey - 1, 12))
+    out = []
+    while (y, m) <= last:
+        out.append((y, m))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
 def main(argv=None) -> None:
     from cordon.plans.registry import Inputs
     from cordon.session import apply_cluster_conf, local_session
@@ -154,6 +187,8 @@ def main(argv=None) -> None:
     ap.add_argument("--weather-json", help="daily weather JSON of parallel arrays")
     ap.add_argument("--year", type=int, help="analysis year (with --root)")
     ap.add_argument("--policy-start", help="policy start date, YYYY-MM-DD (with --root)")
+    ap.add_argument("--like-for-like", action="store_true", help="baseline = same quarter and feeds")
+    ap.add_argument("--align-weekdays", action="store_true", help="impute with 364-day shifts")
     ap.add_argument("--write-imputed", action="store_true", help="write rebuilt months back under --root")
     ap.add_argument("--local", action="store_true", help="start a local session instead of the active one")
     args = ap.parse_args(argv)
@@ -167,8 +202,12 @@ def main(argv=None) -> None:
                               policy_start=f"{y}-01-05", baseline_year=y - 1)
         if args.policy_start:
             spec = spec.with_(policy_start=args.policy_start)
+        if args.like_for_like:
+            spec = spec.like_for_like()
+        if args.align_weekdays:
+            spec = spec.with_(align_weekdays=True)
         feeds = feeds_with_imputation(spark, args.root, spec, write_imputed=args.write_imputed)
-        baseline = read_feed_months(spark, args.root, spec.baseline_feed, [(spec.baseline_year, spec.baseline_month)])
+        baseline = {f: read_feed_months(spark, args.root, f, spec.baseline_periods) for f in spec.baseline_feed_list}
         weather = read_weather_json(spark, args.weather_json) if args.weather_json else None
     else:
         i = Inputs(spark, args.sf_dir)

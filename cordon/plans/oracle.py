@@ -86,9 +86,20 @@ flagged AS (
 clean AS (SELECT * EXCLUDE (duration_sec, avg_speed_mph, forensic_flag) FROM flagged WHERE forensic_flag IS NULL),
 flog AS (SELECT * FROM flagged WHERE forensic_flag IS NOT NULL),
 baseline AS (
-  SELECT pickup_time, dropoff_time, pickup_loc, dropoff_loc, trip_distance
+  SELECT pickup_time, dropoff_time, pickup_loc, dropoff_loc, trip_distance, fare
   FROM mapped WHERE taxi_type = '{S.baseline_feed}' AND {_between(*_month(S.baseline_year, S.baseline_month))}
 ),
+baseline_q1_all AS (
+  SELECT pickup_time, dropoff_time, pickup_loc, dropoff_loc, trip_distance, fare
+  FROM mapped WHERE {_between(f"{S.baseline_year}-01-01", f"{S.baseline_year}-04-01")}
+),
+baseline_audited AS (
+  SELECT * FROM baseline
+  WHERE NOT coalesce(
+    trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0) > 65
+    OR (epoch(dropoff_time) - epoch(pickup_time) < 60 AND fare > 20)
+    OR (trip_distance = 0 AND fare > 0), false)
+),
 weather AS (
   SELECT CAST(ts - INTERVAL '24 years' AS DATE) AS date, sum(value) AS precip_mm FROM events GROUP BY 1
 ),
@@ -144,6 +155,32 @@ UNION ALL
 SELECT '{S.analysis_label}' AS period, count(*) AS volume FROM clean WHERE {TOUCHING} AND {Q1}
 """
 
+_VOLUMES_LFL = _VOLUMES.replace("FROM baseline WHERE", "FROM baseline_q1_all WHERE")
+_VOLUMES_HALF_OPEN = _VOLUMES.replace(f"AND {Q1}", f"AND {Q1_HALF_OPEN}")
+
+
+def _impute_aligned(feed: str) -> str:
+    p = "tpep" if feed == "yellow" else "lpep"
+    lo, hi = _month(Y, S.impute_month)
+    parts = []
+    for d in S.donors:
+        days = 364 * d.years_back
+        thr = f"{min(int(d.fraction * 2**32), 2**32 - 1):08x}"
+        parts.append(f"""
+SELECT * REPLACE ({p}_pickup_datetime + INTERVAL {days} DAY AS {p}_pickup_datetime,
+                  {p}_dropoff_datetime + INTERVAL {days} DAY AS {p}_dropoff_datetime)
+FROM (
+  SELECT VendorID, pickup_time AS {p}_pickup_datetime, dropoff_time AS {p}_dropoff_datetime,
+         trip_distance, pickup_loc AS PULocationID, dropoff_loc AS DOLocationID,
+         fare AS fare_amount, total_amount, congestion_surcharge, trip_key
+  FROM mapped
+  WHERE taxi_type = '{feed}'
+    AND pickup_time >= TIMESTAMP '{lo}' - INTERVAL {days} DAY
+    AND pickup_time < TIMESTAMP '{hi}' - INTERVAL {days} DAY
+) r WHERE substr(md5(trip_key), 1, 8) < '{thr}'""")
+    return "\nUNION ALL\n".join(parts)
+
+
 _COORDS = ", ".join(f"({k}, CAST({v[0]} AS DOUBLE), CAST({v[1]} AS DOUBLE))" for k, v in ZONE_COORDS.items())
 
 
@@ -250,6 +287,10 @@ FROM (SELECT max(CASE WHEN period = '{S.baseline_label}' THEN volume END) AS v_b
              max(CASE WHEN period = '{S.analysis_label}' THEN volume END) AS v_after
       FROM ({_VOLUMES}) v) w
 """, ("pct_change",)),
+        "period_volumes_like_for_like": _with(_VOLUMES_LFL),
+        "period_volumes_half_open": _with(_VOLUMES_HALF_OPEN),
+        "velocity_before_audited": _with(_velocity("baseline_audited"), ("speed",)),
+        "impute_month_weekday_aligned": _with(_impute_aligned("yellow"), RAW_DOUBLES),
         "sample_hash": f"""
 SELECT * REPLACE ({", ".join(f"round({c}, 6) AS {c}" for c in TRIP_DOUBLES)})
 FROM ({_MAPPED}) t WHERE substr(md5(trip_key), 1, 8) < '{thr30}'

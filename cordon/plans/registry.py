@@ -43,12 +43,16 @@ from cordon.operators import (
     volume_change_kpi,
 )
 from cordon.sources.feeds import time_columns
+from cordon.operators.impute import donor_window
+from cordon.plans.audit_run import baseline_trips
 from cordon.sources.tables import (
     TRIP_KEY,
     events_weather,
+    lineitem_feed,
     lineitem_feed_month,
     lineitem_feed_year,
     lineitem_trips,
+    month_bounds,
 )
 from cordon.spec import AuditSpec, fixture_spec
 
@@ -135,16 +139,21 @@ class Inputs:
         return audit_log(self.flagged)
 
     @cached_property
-    def baseline_raw(self) -> DataFrame:
+    def baseline_raw_by_feed(self) -> dict[str, DataFrame]:
         s = self.spec
-        return self.feed_month(s.baseline_feed, s.baseline_year, s.baseline_month)
+        (y0, m0), (y1, m1) = s.baseline_periods[0], s.baseline_periods[-1]
+        start = month_bounds(y0, m0)[0]
+        end = month_bounds(y1, m1)[1]
+        return {f: lineitem_feed(self.lineitem, f, start, end) for f in s.baseline_feed_list}
+
+    @cached_property
+    def baseline_raw(self) -> DataFrame:
+        """The raw baseline of the (first) baseline feed."""
+        return self.baseline_raw_by_feed[self.spec.baseline_feed_list[0]]
 
     @cached_property
     def baseline(self) -> DataFrame:
-        trips = raw_to_trips(self.baseline_raw, self.spec.baseline_feed, fill_surcharge=False)
-        if self.spec.audit_baseline:
-            return clean_trips(flag_trips(trips))
-        return trips
+        return baseline_trips(self.baseline_raw_by_feed, self.spec)
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -156,8 +165,11 @@ class Inputs:
 
     def donors(self, feed: str) -> list:
         s = self.spec
-        year = s.analysis_year
-        return [(self.feed_month(feed, year - d.years_back, s.impute_month), d) for d in s.donors]
+        out = []
+        for d in s.donors:
+            start, end = donor_window(s.analysis_year, s.impute_month, d, s.align_weekdays)
+            out.append((lineitem_feed(self.lineitem, feed, start, end), d))
+        return out
 
 
 # ---------------------------------------------------------------- composites C1-C19
@@ -287,6 +299,36 @@ def q_volume_change_kpi(spark, sf_dir):
     return finish(volume_change_kpi(period_volumes(i.baseline, i.clean, i.spec), i.spec))
 
 
+# ------------------------------------------- options of SURVEY §2.12 (Q1, Q2, Q6, Q12)
+
+@query("period_volumes_like_for_like")
+def q_period_volumes_like_for_like(spark, sf_dir):
+    """Q1 option: baseline = Q1 of the previous year, both feeds."""
+    i = Inputs(spark, sf_dir, fixture_spec().like_for_like())
+    return period_volumes(i.baseline, i.clean, i.spec)
+
+
+@query("period_volumes_half_open")
+def q_period_volumes_half_open(spark, sf_dir):
+    """Q2 option: the analysis quarter as ``[start, end + 1 day)``."""
+    i = Inputs(spark, sf_dir, fixture_spec().with_(half_open=True))
+    return period_volumes(i.baseline, i.clean, i.spec)
+
+
+@query("velocity_before_audited")
+def q_velocity_before_audited(spark, sf_dir):
+    """Q6 option: the baseline speeds after the same flag rule."""
+    i = Inputs(spark, sf_dir, fixture_spec().with_(audit_baseline=True))
+    return finish(velocity_before(i.baseline, i.spec))
+
+
+@query("impute_month_weekday_aligned")
+def q_impute_month_weekday_aligned(spark, sf_dir):
+    """Q12 option: donors shifted by 364 days per year, so weekdays are kept."""
+    i = Inputs(spark, sf_dir, fixture_spec().with_(align_weekdays=True))
+    return finish(impute_month(i.donors("yellow"), "yellow", key_cols=[TRIP_KEY], align_weekdays=True))
+
+
 # ------------------------------------------------------- primitives shown on their own
 
 @query("sample_hash")

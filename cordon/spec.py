@@ -61,10 +61,13 @@ class AuditSpec:
     q1_start: str = "2025-01-01"
     q1_end: str = "2025-03-31"
     half_open: bool = False
-    # baseline file: one month of one feed
+    # baseline: by default one month (January) of one feed, as the reference; the
+    # like-for-like option takes the same months and feeds as the analysis Q1
     baseline_feed: str = "yellow"
     baseline_year: int = 2024
     baseline_month: int = 1
+    baseline_last_month: int | None = None
+    baseline_feeds: tuple[str, ...] | None = None
     # audit the baseline with the same flag rule before speed / volume reports
     audit_baseline: bool = False
     zone_ids: tuple[int, ...] = ZONE_IDS
@@ -73,6 +76,9 @@ class AuditSpec:
     # imputation of a missing month from earlier years (row mixture)
     impute_month: int = 12
     donors: tuple[Donor, ...] = field(default_factory=lambda: (Donor(2, 0.3), Donor(1, 0.7)))
+    # shift donors by whole years (reference) or by 364 days per year, which keeps the
+    # weekday; with the latter the donor window is the target month moved back as much
+    align_weekdays: bool = False
     top_leakage: int = 3
     top_vendors: int = 5
 
@@ -84,6 +90,19 @@ class AuditSpec:
     def analysis_label(self) -> str:
         return f"{self.analysis_year}_Q1"
 
+    @property
+    def baseline_feed_list(self) -> tuple[str, ...]:
+        return self.baseline_feeds or (self.baseline_feed,)
+
+    @property
+    def baseline_periods(self) -> list[tuple[int, int]]:
+        last = self.baseline_last_month or self.baseline_month
+        return [(self.baseline_year, m) for m in range(self.baseline_month, last + 1)]
+
+    def like_for_like(self) -> "AuditSpec":
+        """Baseline = the same quarter months and feeds one year earlier."""
+        return replace(self, baseline_month=1, baseline_last_month=3, baseline_feeds=self.feeds)
+
     def with_(self, **kw) -> "AuditSpec":
         return replace(self, **kw)
 

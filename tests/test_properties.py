@@ -88,3 +88,21 @@ def test_missing_periods_calendar(spark):
 def test_missing_periods_on_tables(spark):
     rows = registry()["missing_periods"](spark, SF_SMALL).collect()
     assert sorted((r.feed, r.year, r.month) for r in rows) == [("green", 2001, 12), ("yellow", 2001, 12)]
+
+
+def test_weekday_aligned_imputation_keeps_weekday_and_month(spark):
+    i = Inputs(spark, SF_SMALL)
+    out = registry()["impute_month_weekday_aligned"](spark, SF_SMALL)
+    assert out.count() > 0
+    assert out.filter((F.year("tpep_pickup_datetime") != 2000) | (F.month("tpep_pickup_datetime") != 12)).count() == 0
+    src = lineitem_trips(i.lineitem).select(TRIP_KEY, F.col("pickup_time").alias("orig"))
+    joined = out.join(src, TRIP_KEY)
+    assert joined.count() == out.count()
+    assert joined.filter(F.dayofweek("orig") != F.dayofweek("tpep_pickup_datetime")).count() == 0
+
+
+def test_like_for_like_baseline_is_wider(spark):
+    q = registry()
+    base = {r.period: r.volume for r in q["period_volumes"](spark, SF_SMALL).collect()}
+    lfl = {r.period: r.volume for r in q["period_volumes_like_for_like"](spark, SF_SMALL).collect()}
+    assert lfl["2000_Q1"] == base["2000_Q1"] and lfl["1999_Q1"] > base["1999_Q1"]
