@@ -42,7 +42,7 @@ from cordon.operators import (
     velocity_grid,
     volume_change_kpi,
 )
-from cordon.sources.feeds import time_columns
+from cordon.sources.feeds import read_parquet, time_columns
 from cordon.operators.impute import donor_window
 from cordon.plans.audit_run import baseline_trips
 from cordon.sources.tables import (
@@ -102,7 +102,7 @@ class Inputs:
         self.spec = spec or fixture_spec()
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def lineitem(self) -> DataFrame:

@@ -120,3 +120,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
+
+
+# footer schemas of single parquet files, keyed by (path, length, modification time)
+_SCHEMA_CACHE: dict[tuple[str, int, int], T.StructType] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, skipping the footer read for schema inference when
+    the same unchanged single file was read before.  Directories are always inferred."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        status = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jpath)
+    except Exception:  # absent path: let the reader raise its usual error
+        return spark.read.parquet(path)
+    if not status.isFile():
+        return spark.read.parquet(path)
+    key = (path, int(status.getLen()), int(status.getModificationTime()))
+    schema = _SCHEMA_CACHE.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMA_CACHE[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)

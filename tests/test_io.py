@@ -142,3 +142,21 @@ def test_cli_runs_on_monthly_files(spark, scratch):
     assert os.path.exists(feed_path(scratch, "green", 2000, 12))
     vols = read_report_csv(spark, f"{out}/volumes.csv", "period string, volume long").collect()
     assert {r.period: r.volume for r in vols}["1999_Q1"] == 15
+
+
+def test_schema_cache_follows_file_changes(spark, scratch):
+    import shutil
+
+    from cordon.sources.feeds import read_parquet
+
+    spark.createDataFrame([(1, "a")], "x long, y string").coalesce(1).write.parquet(f"{scratch}/d")
+    part = [f for f in os.listdir(f"{scratch}/d") if f.endswith(".parquet")][0]
+    single = f"{scratch}/one.parquet"
+    shutil.copy(f"{scratch}/d/{part}", single)
+    assert read_parquet(spark, single).columns == ["x", "y"]
+    assert read_parquet(spark, single).collect()[0].x == 1  # cached schema
+    spark.createDataFrame([(2.5,)], "z double").coalesce(1).write.parquet(f"{scratch}/e")
+    part = [f for f in os.listdir(f"{scratch}/e") if f.endswith(".parquet")][0]
+    shutil.copy(f"{scratch}/e/{part}", single)
+    os.utime(single, (1, 1))
+    assert read_parquet(spark, single).columns == ["z"]
