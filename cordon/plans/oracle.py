@@ -9,6 +9,12 @@ from __future__ import annotations
 from cordon.spec import (
     BORDER_IDS,
     DEFAULT_COORD,
+    FLAG_SPEED,
+    FLAG_STATIONARY,
+    FLAG_TELEPORT,
+    MAX_SPEED_MPH,
+    MIN_DURATION_SEC,
+    TELEPORT_MIN_FARE,
     ZONE_COORDS,
     fixture_spec,
 )
@@ -72,9 +78,9 @@ trips AS (
 ),
 flagged AS (
   SELECT *,
-    CASE WHEN avg_speed_mph > 65 THEN 'Impossible Physics'
-         WHEN duration_sec < 60 AND fare > 20 THEN 'Teleporter'
-         WHEN trip_distance = 0 AND fare > 0 THEN 'Stationary Ride'
+    CASE WHEN avg_speed_mph > {MAX_SPEED_MPH} THEN '{FLAG_SPEED}'
+         WHEN duration_sec < {MIN_DURATION_SEC} AND fare > {TELEPORT_MIN_FARE} THEN '{FLAG_TELEPORT}'
+         WHEN trip_distance = 0 AND fare > 0 THEN '{FLAG_STATIONARY}'
     END AS forensic_flag
   FROM (
     SELECT *,
@@ -96,8 +102,8 @@ baseline_q1_all AS (
 baseline_audited AS (
   SELECT * FROM baseline
   WHERE NOT coalesce(
-    trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0) > 65
-    OR (epoch(dropoff_time) - epoch(pickup_time) < 60 AND fare > 20)
+    trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0) > {MAX_SPEED_MPH}
+    OR (epoch(dropoff_time) - epoch(pickup_time) < {MIN_DURATION_SEC} AND fare > {TELEPORT_MIN_FARE})
     OR (trip_distance = 0 AND fare > 0), false)
 ),
 weather AS (
