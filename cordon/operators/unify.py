@@ -66,8 +66,8 @@ def missing_periods(observed: DataFrame, feeds: Iterable[str], years: Iterable[i
     idx = F.col("year") * 12 + F.col("month") - 1
     per_feed = observed.groupBy("feed").agg(F.collect_set(idx.cast("int")).alias("present"))
     wanted = observed.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"))
-    # both sides hold one row per feed
-    rows = wanted.join(F.broadcast(per_feed), "feed", "left")
+    # one row per feed on each side; AQE broadcasts it from the measured size
+    rows = wanted.join(per_feed, "feed", "left")
     if years is None:
         span = Window.partitionBy()  # over one row per feed
         rows = rows.select(
