@@ -34,17 +34,20 @@ def surcharge_leakage(clean: DataFrame, spec: AuditSpec) -> DataFrame:
     return per_zone.orderBy(F.desc("missing_surcharge_hits"), F.asc("pickup_loc")).limit(spec.top_leakage)
 
 
+def volume_row(trips: DataFrame, spec: AuditSpec, label: str, q1_only: bool) -> DataFrame:
+    """Trips touching the zone as one labelled count row (present even when zero)."""
+    cond = touching("pickup_loc", "dropoff_loc", spec.zone_ids)
+    if q1_only:
+        cond = cond & in_period("pickup_time", spec.q1_start, spec.q1_end, spec.half_open)
+    return trips.filter(cond).agg(F.count(F.lit(1)).alias("volume")) \
+        .select(F.lit(label).alias("period"), "volume")
+
+
 def period_volumes(baseline: DataFrame, clean: DataFrame, spec: AuditSpec) -> DataFrame:
     """Trips touching the zone: the baseline file vs the analysis Q1, one labelled row
     each (a count row is produced even when nothing matches)."""
-    before = baseline.filter(touching("pickup_loc", "dropoff_loc", spec.zone_ids)).agg(
-        F.count(F.lit(1)).alias("volume")
-    ).select(F.lit(spec.baseline_label).alias("period"), "volume")
-    after = clean.filter(
-        touching("pickup_loc", "dropoff_loc", spec.zone_ids)
-        & in_period("pickup_time", spec.q1_start, spec.q1_end, spec.half_open)
-    ).agg(F.count(F.lit(1)).alias("volume")).select(F.lit(spec.analysis_label).alias("period"), "volume")
-    return before.unionByName(after)
+    return volume_row(baseline, spec, spec.baseline_label, q1_only=False) \
+        .unionByName(volume_row(clean, spec, spec.analysis_label, q1_only=True))
 
 
 def suspicious_vendors(log: DataFrame, spec: AuditSpec) -> DataFrame:
@@ -53,27 +56,29 @@ def suspicious_vendors(log: DataFrame, spec: AuditSpec) -> DataFrame:
     return counts.orderBy(F.desc("ghost_count"), F.asc("VendorID"), F.asc("forensic_flag")).limit(spec.top_vendors)
 
 
-def border_effect(baseline: DataFrame, clean: DataFrame, spec: AuditSpec) -> DataFrame:
-    """Drop-offs per border zone: baseline vs analysis, and the relative change.
-
-    Both sides are aggregated first and restricted to the border ids, so the join sees
-    at most ``len(border_ids)`` rows per side -- a proven bound, hence the broadcast.
-    """
-    b_before = (
-        baseline.filter(in_zone("dropoff_loc", spec.border_ids))
-        .groupBy(F.col("dropoff_loc").alias("loc_id"))
-        .agg(F.count(F.lit(1)).alias("count_24"))
-    )
-    b_after = (
-        clean.filter(in_zone("dropoff_loc", spec.border_ids))
+def border_counts(trips: DataFrame, spec: AuditSpec, name: str) -> DataFrame:
+    """Drop-offs per border zone, at most ``len(border_ids)`` rows."""
+    return (
+        trips.filter(in_zone("dropoff_loc", spec.border_ids))
         .groupBy(F.col("dropoff_loc").alias("loc_id"))
-        .agg(F.count(F.lit(1)).alias("count_25"))
+        .agg(F.count(F.lit(1)).alias(name))
     )
-    joined = b_before.join(F.broadcast(b_after), "loc_id", "inner")
+
+
+def border_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Join of the two border counts and the relative change.  Both sides hold at most
+    ``len(border_ids)`` rows -- a proven bound, hence the broadcast."""
+    joined = before.join(F.broadcast(after), "loc_id", "inner")
     change = (F.col("count_25").cast("double") - F.col("count_24")) / F.col("count_24")
     return joined.select("loc_id", "count_24", "count_25", change.alias("change_rate"))
 
 
+def border_effect(baseline: DataFrame, clean: DataFrame, spec: AuditSpec) -> DataFrame:
+    """Drop-offs per border zone: baseline vs analysis, and the relative change.
+    Both sides are aggregated (and restricted to the border ids) before the join."""
+    return border_change(border_counts(baseline, spec, "count_24"), border_counts(clean, spec, "count_25"))
+
+
 def velocity(trips: DataFrame, spec: AuditSpec, q1_only: bool) -> DataFrame:
     """Average per-trip speed of trips inside the zone, by pickup hour and weekday name."""
     rows = trips.filter(inside("pickup_loc", "dropoff_loc", spec.zone_ids))

@@ -16,23 +16,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cordon.operators.onepass import (
+    analysis_volume_from,
+    border_after_from,
+    clean_report_cube,
+    daily_from,
+    leakage_from,
+    speed_from,
+    tips_from,
+)
+from cordon.operators.reports import border_change, border_counts, volume_row
 from cordon.operators import (
     audit_log,
-    border_effect,
     clean_trips,
     flag_stats,
     flag_trips,
     impute_month,
-    period_volumes,
-    rain_daily,
     rain_elasticity,
     rain_trend,
     raw_to_trips,
-    surcharge_leakage,
     suspicious_vendors,
-    tip_crowding,
     unify_feeds,
-    velocity_after,
     velocity_before,
     velocity_grid,
     volume_change_kpi,
@@ -74,17 +78,26 @@ def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None =
 
 
 def build_reports(audited: DataFrame, baseline: DataFrame, weather: DataFrame | None,
-                  spec: AuditSpec) -> tuple[dict[str, DataFrame], dict[str, tuple[DataFrame, str]]]:
+                  spec: AuditSpec, cube_path: str | None = None
+                  ) -> tuple[dict[str, DataFrame], dict[str, tuple[DataFrame, str]]]:
+    """All reports.  The clean-trip reports come from one pass (``clean_report_cube``),
+    written to the shared folder so that each report reads a few thousand rows; the
+    baseline side reads the (one-month) baseline; vendors read the flagged partitions."""
     clean, log = clean_trips(audited), audit_log(audited)
+    spark = audited.sparkSession
+    cube_path = cube_path or scratch_path(spark, "report_cube")
+    write_table(clean_report_cube(clean, spec), cube_path)
+    cube = spark.read.parquet(cube_path)
     reports = {
         "flag_stats": flag_stats(audited),
-        "leakage": surcharge_leakage(clean, spec),
-        "volumes": period_volumes(baseline, clean, spec),
+        "leakage": leakage_from(cube, spec),
+        "volumes": volume_row(baseline, spec, spec.baseline_label, q1_only=False)
+        .unionByName(analysis_volume_from(cube, spec)),
         "vendors": suspicious_vendors(log, spec),
-        "border": border_effect(baseline, clean, spec),
+        "border": border_change(border_counts(baseline, spec, "count_24"), border_after_from(cube)),
         "velocity_before": velocity_before(baseline, spec),
-        "velocity_after": velocity_after(clean, spec),
-        "tips": tip_crowding(clean, spec),
+        "velocity_after": speed_from(cube),
+        "tips": tips_from(cube),
     }
     # dashboard reshapes, computed from the small reports
     reports["velocity_grid_before"] = velocity_grid(reports["velocity_before"])
@@ -93,7 +106,8 @@ def build_reports(audited: DataFrame, baseline: DataFrame, weather: DataFrame |
     reports["volume_kpi"] = volume_change_text(volume_change_kpi(reports["volumes"], spec))
     scalars = {}
     if weather is not None:
-        rain = rain_daily(clean, weather)
+        rain = daily_from(cube).join(weather.select("date", "precip_mm"), "date", "inner") \
+            .select("date", "daily_trips", "precip_mm")
         reports["rain_daily"] = rain
         reports["rain_trend"] = rain_trend(rain)
         scalars["rain_stats"] = (rain_elasticity(rain), "correlation")

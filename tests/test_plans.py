@@ -54,17 +54,17 @@ def test_single_shuffle_for_flag_stats(spark):
     assert "partial_count" in p
 
 
-def test_each_report_scans_the_written_table_once(spark, scratch):
+def test_reports_read_the_written_tables(spark, scratch):
     from cordon.plans.audit_run import build_reports, materialise_flags
     from cordon.plans.registry import Inputs
 
     i = Inputs(spark, SF_SMALL)
-    path, _, audited = materialise_flags(spark, i.trips, f"{scratch}/audit")
-    reports, _ = build_reports(audited, i.baseline, i.weather, i.spec)
-    for name in ("leakage", "vendors", "tips", "velocity_after", "flag_stats"):
-        p = plan(reports[name])
-        scans = [line for line in p.splitlines() if line.startswith("Location:") and "audit" in line]
-        assert len(scans) == 1, name
-    # clean-trip reports read only the unflagged partition directory
-    p = plan(reports["leakage"])
-    assert "PartitionFilters: [isnull(forensic_flag" in p
+    _, _, audited = materialise_flags(spark, i.trips, f"{scratch}/audit")
+    reports, _ = build_reports(audited, i.baseline, i.weather, i.spec, cube_path=f"{scratch}/cube")
+    # clean-trip reports read the small cube table, never the trips
+    for name in ("leakage", "tips", "velocity_after"):
+        locations = [line for line in plan(reports[name]).splitlines() if line.startswith("Location:")]
+        assert len(locations) == 1 and "/cube" in locations[0], name
+    # the vendor report reads only the flagged partitions of the audit table
+    p = plan(reports["vendors"])
+    assert "PartitionFilters: [isnotnull(forensic_flag" in p
