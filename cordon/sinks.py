@@ -8,6 +8,7 @@ dynamic partition overwrite, so re-running a period replaces only that period.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +44,19 @@ def write_scalar(df: DataFrame, column: str, path: str, fmt: str = "%.4f") -> st
 
 
 def publish_reports(reports: Mapping[str, DataFrame], out_dir: str,
-                    scalars: Mapping[str, tuple[DataFrame, str]] | None = None) -> dict[str, str]:
-    """Write each report as ``{out_dir}/{name}.csv`` and each scalar as ``{name}.txt``."""
+                    scalars: Mapping[str, tuple[DataFrame, str]] | None = None,
+                    parallel: int = 4) -> dict[str, str]:
+    """Write each report as ``{out_dir}/{name}.csv`` and each scalar as ``{name}.txt``.
+
+    The reports are independent small jobs, so up to ``parallel`` are submitted at once
+    (a SparkSession accepts jobs from several driver threads)."""
     out = out_dir.rstrip("/")
-    written = {name: write_report_csv(df, f"{out}/{name}.csv") for name, df in reports.items()}
-    for name, (df, column) in (scalars or {}).items():
-        written[name] = write_scalar(df, column, f"{out}/{name}.txt")
-    return written
+    tasks = [(name, lambda df=df, name=name: write_report_csv(df, f"{out}/{name}.csv"))
+             for name, df in reports.items()]
+    tasks += [(name, lambda df=df, c=c, name=name: write_scalar(df, c, f"{out}/{name}.txt"))
+              for name, (df, c) in (scalars or {}).items()]
+    if parallel <= 1:
+        return {name: fn() for name, fn in tasks}
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks}
+        return {name: f.result() for name, f in futures.items()}
