@@ -32,7 +32,6 @@ from cordon.operators import (
     rain_daily,
     rain_elasticity,
     rain_trend,
-    raw_to_trips,
     surcharge_leakage,
     suspicious_vendors,
     tip_crowding,
