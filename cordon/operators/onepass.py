@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cordon.functions.time import day_name, in_period, speed_mph, ts_lit
 from cordon.functions.zones import entering, in_zone, inside, touching
+from cordon.operators.reports import border_window
 from cordon.spec import AuditSpec
 
 LEAKAGE, VOLUME, SPEED, TIPS, DAILY, BORDER = "leakage", "volume", "speed", "tips", "daily", "border"
@@ -41,7 +42,7 @@ def clean_report_cube(clean: DataFrame, spec: AuditSpec) -> DataFrame:
              k_long=F.hour("pickup_time"), k_str=day_name("pickup_time")),
         _key(TIPS, after, k_long=F.month("pickup_time")),
         _key(DAILY, F.lit(True), k_date=F.to_date("pickup_time")),
-        _key(BORDER, in_zone("dropoff_loc", spec.border_ids), k_long=F.col("dropoff_loc")),
+        _key(BORDER, in_zone("dropoff_loc", spec.border_ids) & border_window(spec), k_long=F.col("dropoff_loc")),
     )
     tip = (F.col("total_amount") - F.col("fare") - F.col("congestion_surcharge")) / F.col("fare") * F.lit(100.0)
     rows = clean.select(

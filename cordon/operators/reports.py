@@ -73,10 +73,21 @@ def border_change(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.select("loc_id", "count_24", "count_25", change.alias("change_rate"))
 
 
+def border_window(spec: AuditSpec):
+    """Pickup-time bound of the analysis side of the border report (true when unbounded)."""
+    cond = F.lit(True)
+    if spec.border_start:
+        cond = cond & (F.col("pickup_time") >= ts_lit(spec.border_start))
+    if spec.border_end:
+        cond = cond & (F.col("pickup_time") < ts_lit(spec.border_end))
+    return cond
+
+
 def border_effect(baseline: DataFrame, clean: DataFrame, spec: AuditSpec) -> DataFrame:
     """Drop-offs per border zone: baseline vs analysis, and the relative change.
     Both sides are aggregated (and restricted to the border ids) before the join."""
-    return border_change(border_counts(baseline, spec, "count_24"), border_counts(clean, spec, "count_25"))
+    after = clean.filter(border_window(spec)) if (spec.border_start or spec.border_end) else clean
+    return border_change(border_counts(baseline, spec, "count_24"), border_counts(after, spec, "count_25"))
 
 
 def velocity(trips: DataFrame, spec: AuditSpec, q1_only: bool) -> DataFrame:

@@ -70,6 +70,10 @@ class AuditSpec:
     baseline_feeds: tuple[str, ...] | None = None
     # audit the baseline with the same flag rule before speed / volume reports
     audit_baseline: bool = False
+    # border report: the analysis side covers every clean trip (as the reference) unless
+    # bounded to pickups in [border_start, border_end)
+    border_start: str | None = None
+    border_end: str | None = None
     zone_ids: tuple[int, ...] = ZONE_IDS
     border_ids: tuple[int, ...] = BORDER_IDS
     feeds: tuple[str, ...] = FEEDS

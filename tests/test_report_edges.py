@@ -172,3 +172,29 @@ def test_durations_ignore_session_zone_dst(spark):
         assert df.select(seconds_between("a", "b").alias("s")).first().s == 7200.25
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_border_time_bounds(spark):
+    t_in, t_out = dt.datetime(2025, 2, 1, 9), dt.datetime(2025, 6, 1, 9)
+    base = trips(spark, [(t_in, 5, ZOUT, 236, 1.0, 5.0, 0.0, 1)])
+    clean = trips(spark, [(t_in, 5, ZOUT, 236, 1.0, 5.0, 0.0, 1), (t_out, 5, ZOUT, 236, 1.0, 5.0, 0.0, 1)])
+    assert border_effect(base, clean, SPEC).first().count_25 == 2
+    bounded = SPEC.with_(border_start="2025-01-01", border_end="2025-04-01")
+    assert border_effect(base, clean, bounded).first().count_25 == 1
+    from cordon.operators.onepass import border_after_from, clean_report_cube
+    assert border_after_from(clean_report_cube(clean, bounded)).first().count_25 == 1
+
+
+def test_weather_failure_modes(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from cordon.sources import read_weather_json
+
+    with pytest.raises(AnalysisException):
+        read_weather_json(spark, str(tmp_path / "absent.json")).count()
+    d = dt.datetime(2025, 5, 1, 10)
+    clean = trips(spark, [(d, 5, 1, 1, 1.0, 5.0, 0.0, 1)])
+    rain = rain_daily(clean, _weather(spark, [(dt.date(2025, 6, 1), 1.0)]))  # no common day
+    assert rain.count() == 0
+    assert rain_elasticity(rain).first().correlation is None
