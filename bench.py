@@ -43,16 +43,24 @@ def main() -> None:
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in sorted(queries):
         t0 = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # keep timing the rest; the failure is reported
+            errors[name] = str(exc).splitlines()[0][:200]
 
     i = Inputs(spark, sf_dir)
     out = tempfile.mkdtemp(prefix="cordon-bench-out-")
     t0 = time.perf_counter()
-    run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, out)
-    pipeline = round(time.perf_counter() - t0, 3)
+    try:
+        run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, out)
+        pipeline = round(time.perf_counter() - t0, 3)
+    except Exception as exc:
+        pipeline = None
+        errors["pipeline"] = str(exc).splitlines()[0][:200]
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     headline = round(sum(times[q] for q in HEADLINE if q in times), 3)
@@ -65,6 +73,7 @@ def main() -> None:
         "pipeline_sec": pipeline,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
