@@ -48,3 +48,27 @@ def start_incremental_audit(
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def feed_table_path(table_root: str, feed: str) -> str:
+    """Each feed streams into its own folder: a file sink keeps one commit log per path."""
+    return f"{table_root.rstrip('/')}/feed={feed}"
+
+
+def start_incremental_audits(spark: SparkSession, root: str, feeds, table_root: str,
+                             available_now: bool = True) -> list[StreamingQuery]:
+    """One stream per feed, each into :func:`feed_table_path`."""
+    return [start_incremental_audit(spark, root, f, feed_table_path(table_root, f), available_now=available_now)
+            for f in feeds]
+
+
+def read_incremental_table(spark: SparkSession, table_root: str, feeds):
+    """Committed output of every feed's stream, unioned, with a ``feed`` column.  Each
+    folder is read through its own commit log, so files of unfinished batches are skipped."""
+    from pyspark.sql import functions as F
+
+    frames = [spark.read.parquet(feed_table_path(table_root, f)).withColumn("feed", F.lit(f)) for f in feeds]
+    out = frames[0]
+    for fr in frames[1:]:
+        out = out.unionByName(fr)
+    return out

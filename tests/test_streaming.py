@@ -37,3 +37,18 @@ def test_incremental_runs_process_new_files_once(spark, scratch):
         F.month("pickup_time") <= 3).groupBy("forensic_flag").count()
     stream = out.groupBy("forensic_flag").count()
     assert sorted(map(tuple, batch.collect()), key=str) == sorted(map(tuple, stream.collect()), key=str)
+
+
+def test_both_feeds_stream_into_their_own_folders(spark, scratch):
+    from cordon.streaming import read_incremental_table, start_incremental_audits
+
+    i = Inputs(spark, SF_SMALL)
+    landing, table = f"{scratch}/landing", f"{scratch}/audit"
+    for feed in ("yellow", "green"):
+        i.feed_month(feed, 2000, 1).drop("trip_key").coalesce(1).write.parquet(feed_path(landing, feed, 2000, 1))
+    for q in start_incremental_audits(spark, landing, ["yellow", "green"], table):
+        q.awaitTermination(120)
+    out = read_incremental_table(spark, table, ["yellow", "green"])
+    want = {f: i.feed_month(f, 2000, 1).count() for f in ("yellow", "green")}
+    got = {r.feed: r["count"] for r in out.groupBy("feed").count().collect()}
+    assert got == want
