@@ -16,18 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cordon.operators.onepass import (
-    analysis_volume_from,
-    border_after_from,
-    clean_report_cube,
-    daily_from,
-    leakage_from,
-    speed_from,
-    tips_from,
-)
-from cordon.operators.reports import border_change, border_counts, volume_row
+from cordon.functions.time import ts_lit
 from cordon.operators import (
     audit_log,
+    border_geo,
     clean_trips,
     flag_stats,
     flag_trips,
@@ -41,12 +33,20 @@ from cordon.operators import (
     velocity_grid,
     volume_change_kpi,
     volume_change_text,
-    border_geo,
 )
+from cordon.operators.impute import donor_window
+from cordon.operators.onepass import (
+    analysis_volume_from,
+    border_after_from,
+    clean_report_cube,
+    daily_from,
+    leakage_from,
+    speed_from,
+    tips_from,
+)
+from cordon.operators.reports import border_change, border_counts, volume_row
 from cordon.session import scratch_path
 from cordon.sinks import publish_reports, write_table
-from cordon.functions.time import ts_lit
-from cordon.operators.impute import donor_window
 from cordon.sources.feeds import DEFAULT_TEMPLATE, feed_path, path_exists, read_feed_months, time_columns
 from cordon.spec import FLAG_SPEED, FLAG_STATIONARY, FLAG_TELEPORT, AuditSpec
 
