@@ -54,12 +54,14 @@ def impute_month(
     feed: str,
     key_cols: Sequence[str] | None = None,
     align_weekdays: bool = False,
+    mark_column: str | None = None,
 ) -> DataFrame:
     """Union of shifted, hash-sampled donor months of one feed (raw schema kept).
 
     ``key_cols`` name the columns whose hash decides membership; default is every
     original column, so identical rows are kept or dropped together.  Each donor frame
-    holds the pickups of its :func:`donor_window`.
+    holds the pickups of its :func:`donor_window`.  ``mark_column`` adds a boolean column
+    set to true, so synthetic rows stay traceable downstream.
     """
     parts = []
     for frame, donor in donors:
@@ -69,4 +71,6 @@ def impute_month(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
+    if mark_column:
+        out = out.withColumn(mark_column, F.lit(True))
     return out

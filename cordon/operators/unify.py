@@ -15,8 +15,9 @@ TRIP_COLUMNS = (
 )
 
 
-def raw_to_trips(raw: DataFrame, feed: str, fill_surcharge: bool = True) -> DataFrame:
-    """Rename one feed's raw columns to the canonical Trip schema and tag the feed."""
+def raw_to_trips(raw: DataFrame, feed: str, fill_surcharge: bool = True, keep: Iterable[str] = ()) -> DataFrame:
+    """Rename one feed's raw columns to the canonical Trip schema and tag the feed;
+    ``keep`` names extra raw columns carried along (null where a feed lacks them)."""
     pickup, dropoff = time_columns(feed)
     surcharge = F.col("congestion_surcharge")
     if fill_surcharge:
@@ -32,12 +33,14 @@ def raw_to_trips(raw: DataFrame, feed: str, fill_surcharge: bool = True) -> Data
         surcharge.alias("congestion_surcharge"),
         F.lit(feed).alias("taxi_type"),
         "VendorID",
+        *[F.col(c) if c in raw.columns else F.lit(None).alias(c) for c in keep],
     )
 
 
-def unify_feeds(raw_by_feed: Mapping[str, DataFrame]) -> DataFrame:
+def unify_feeds(raw_by_feed: Mapping[str, DataFrame], keep: Iterable[str] = ()) -> DataFrame:
     """``UNION ALL`` of every feed in the canonical schema; a plain union, no shuffle."""
-    frames = [raw_to_trips(df, feed) for feed, df in raw_by_feed.items()]
+    keep = list(keep)
+    frames = [raw_to_trips(df, feed, keep=keep) for feed, df in raw_by_feed.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

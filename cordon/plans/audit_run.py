@@ -130,9 +130,10 @@ def baseline_trips(baseline_raw: DataFrame | dict[str, DataFrame], spec: AuditSp
 def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame],
               baseline_raw: DataFrame | dict[str, DataFrame],
               weather: DataFrame | None, spec: AuditSpec, out_dir: str,
-              table_path: str | None = None) -> AuditResult:
-    """``baseline_raw``: one raw frame of the baseline feed, or one per baseline feed."""
-    trips = unify_feeds(raw_feeds)
+              table_path: str | None = None, keep: tuple[str, ...] = ()) -> AuditResult:
+    """``baseline_raw``: one raw frame of the baseline feed, or one per baseline feed;
+    ``keep``: extra raw columns carried into the audit table (e.g. ``imputed``)."""
+    trips = unify_feeds(raw_feeds, keep=keep)
     path, counts, audited = materialise_flags(spark, trips, table_path)
     baseline = baseline_trips(baseline_raw, spec)
     reports, scalars = build_reports(audited, baseline, weather, spec)
@@ -141,19 +142,23 @@ def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame],
 
 
 def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
-                          template: str = DEFAULT_TEMPLATE, write_imputed: bool = False) -> dict[str, DataFrame]:
+                          template: str = DEFAULT_TEMPLATE, write_imputed: bool = False,
+                          mark_imputed: bool = False) -> dict[str, DataFrame]:
     """Every feed of the analysis year from its monthly files.  A month whose file is
     absent is rebuilt from the donor years (any month, not only December); a missing
     donor file raises.  Presence is a file-system check, so no data is scanned for it.
 
     With ``write_imputed`` the rebuilt month is written as that month's file under
     ``root`` (S7) and read back, so a later run finds it present and skips the work (S4).
+    With ``mark_imputed`` every row gets a boolean ``imputed`` column.
     """
     y = spec.analysis_year
     feeds = {}
     for feed in spec.feeds:
         present = [m for m in range(1, 13) if path_exists(spark, feed_path(root, feed, y, m, template))]
         frame = read_feed_months(spark, root, feed, [(y, m) for m in present], template) if present else None
+        if frame is not None and mark_imputed and "imputed" not in frame.columns:
+            frame = frame.withColumn("imputed", F.lit(False))
         for m in sorted(set(range(1, 13)) - set(present)):
             donors = []
             for d in spec.donors:
@@ -167,7 +172,8 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
                 frame_d = read_feed_months(spark, root, feed, months, template).filter(
                     (F.col(pickup) >= ts_lit(start)) & (F.col(pickup) < ts_lit(end)))
                 donors.append((frame_d, d))
-            imputed = impute_month(donors, feed, align_weekdays=spec.align_weekdays)
+            imputed = impute_month(donors, feed, align_weekdays=spec.align_weekdays,
+                                   mark_column="imputed" if mark_imputed else None)
             if write_imputed:
                 target = feed_path(root, feed, y, m, template)
                 imputed.write.mode("errorifexists").parquet(target)

@@ -160,3 +160,18 @@ def test_schema_cache_follows_file_changes(spark, scratch):
     shutil.copy(f"{scratch}/e/{part}", single)
     os.utime(single, (1, 1))
     assert read_parquet(spark, single).columns == ["z"]
+
+
+def test_imputed_rows_are_traceable(spark, scratch):
+    spec = fixture_spec()
+    for feed in spec.feeds:
+        land_months(spark, scratch, feed, [(2000, m) for m in range(1, 12)] + [(1998, 12), (1999, 12)])
+    feeds = feeds_with_imputation(spark, scratch, spec, mark_imputed=True)
+    i = Inputs(spark, SF_SMALL)
+    res = run_audit(spark, feeds, i.baseline_raw, None, spec, os.path.join(scratch, "out"), keep=("imputed",))
+    table = spark.read.parquet(res.table_path)
+    marked = table.filter("imputed")
+    assert marked.count() > 0
+    assert marked.filter(F.month("pickup_time") != 12).count() == 0
+    assert table.filter(~F.col("imputed") & (F.month("pickup_time") == 12)).count() == 0
+    assert table.filter(F.col("imputed").isNull()).count() == 0
