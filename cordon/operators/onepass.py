@@ -46,13 +46,13 @@ def clean_report_cube(clean: DataFrame, spec: AuditSpec) -> DataFrame:
     )
     tip = (F.col("total_amount") - F.col("fare") - F.col("congestion_surcharge")) / F.col("fare") * F.lit(100.0)
     rows = clean.select(
-        F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("k"),
+        F.explode(keys).alias("k"),
         F.when(F.col("congestion_surcharge") > 0, 1).otherwise(0).alias("pos"),
         F.when(F.col("congestion_surcharge") == 0, 1).otherwise(0).alias("zero"),
         F.col("congestion_surcharge").alias("surcharge"),
         speed_mph("trip_distance", "pickup_time", "dropoff_time").alias("speed"),
         F.when(F.col("fare") > 0, tip).otherwise(F.lit(0.0)).alias("tip"),
-    )
+    ).filter(F.col("k").isNotNull())
     return rows.groupBy("k.grain", "k.k_long", "k.k_str", "k.k_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("pos").cast("bigint").alias("n_pos"),
