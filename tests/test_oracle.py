@@ -28,3 +28,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_gives_top3(spark):
     rows = entry(spark).collect()
     assert [(r.pickup_loc, r.trip_count, r.missing_surcharge_hits) for r in rows] == [(10, 1, 1), (26, 1, 1), (27, 2, 1)]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, con, name):
+    spark_types = dict(queries()[name](spark, SF_SMALL).dtypes)
+    rel = con.sql(oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t) for c, t in spark_types.items()} == duck_types
