@@ -52,9 +52,14 @@ TRIP_EXPRS = (
 )
 
 
-def lineitem_trips(lineitem: DataFrame) -> DataFrame:
-    """Every lineitem row as a trip (raw surcharge, nullable) plus ``taxi_type`` and a key."""
-    return lineitem.selectExpr(*TRIP_EXPRS)
+def lineitem_trips(lineitem: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Every lineitem row as a trip (raw surcharge, nullable) plus ``taxi_type`` and a key.
+    ``names`` maps trip columns to output names, in output order (e.g. a feed's raw
+    columns); trip columns not named are left out."""
+    if names is None:
+        return lineitem.selectExpr(*TRIP_EXPRS)
+    bodies = dict(reversed(e.rsplit(" AS ", 1)) for e in TRIP_EXPRS)
+    return lineitem.selectExpr(*[f"{bodies[src]} AS {dst}" for src, dst in names.items()])
 
 
 _FEED_PRED = {
@@ -63,29 +68,35 @@ _FEED_PRED = {
 }
 
 
+# raw-file column of each trip column, in raw-file order (times follow the feed)
+_RAW_NAMES = (
+    ("VendorID", "VendorID"), ("pickup_time", "{pickup}"), ("dropoff_time", "{dropoff}"),
+    ("trip_distance", "trip_distance"), ("pickup_loc", "PULocationID"), ("dropoff_loc", "DOLocationID"),
+    ("fare", "fare_amount"), ("total_amount", "total_amount"),
+    ("congestion_surcharge", "congestion_surcharge"), (TRIP_KEY, TRIP_KEY),
+)
+
+
 def lineitem_feed(lineitem: DataFrame, feed: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Raw monthly-file schema of one feed for pickups in ``[start, end)``.
 
     Column names follow the feed (``tpep_*`` / ``lpep_*``); ``trip_key`` is an extra raw
     column that schema unification drops and imputation carries along.
     """
+    pickup, dropoff = time_columns(feed)
     scan_pred, trip_pred = [_FEED_PRED[feed]], []
     if start is not None:
         slack = (dt.datetime.fromisoformat(start) - dt.timedelta(days=1)).isoformat(sep=" ")
         scan_pred.append(f"l_shipdate > TIMESTAMP_NTZ '{slack}'")
-        trip_pred.append(f"pickup_time >= TIMESTAMP_NTZ '{start}'")
+        trip_pred.append(f"{pickup} >= TIMESTAMP_NTZ '{start}'")
     if end is not None:
         scan_pred.append(f"l_shipdate < TIMESTAMP_NTZ '{end}'")
-        trip_pred.append(f"pickup_time < TIMESTAMP_NTZ '{end}'")
-    trips = lineitem_trips(lineitem.filter(" AND ".join(scan_pred)))
+        trip_pred.append(f"{pickup} < TIMESTAMP_NTZ '{end}'")
+    names = {src: dst.format(pickup=pickup, dropoff=dropoff) for src, dst in _RAW_NAMES}
+    trips = lineitem_trips(lineitem.filter(" AND ".join(scan_pred)), names)  # raw-file order
     if trip_pred:
         trips = trips.filter(" AND ".join(trip_pred))
-    pickup, dropoff = time_columns(feed)
-    return trips.selectExpr(
-        "VendorID", f"pickup_time AS {pickup}", f"dropoff_time AS {dropoff}", "trip_distance",
-        "pickup_loc AS PULocationID", "dropoff_loc AS DOLocationID", "fare AS fare_amount",
-        "total_amount", "congestion_surcharge", TRIP_KEY,
-    )
+    return trips
 
 
 def month_bounds(year: int, month: int) -> tuple[str, str]:
