@@ -59,8 +59,17 @@ class AuditResult:
     written: dict[str, str]
 
 
-def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None = None) -> tuple[str, dict, DataFrame]:
-    """Flag and write the trips once; flag counts are observed during the write."""
+def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None = None,
+                      layout: str = "by_flag") -> tuple[str, dict, DataFrame]:
+    """Flag and write the trips once; flag counts are observed during the write.
+
+    ``layout="by_flag"`` partitions the table by flag (readers prune directories; each
+    task writes up to four files).  ``layout="sorted"`` writes one file per task, rows
+    ordered by flag then pickup time, and readers skip row groups by null counts and
+    min/max statistics (no small files).
+    """
+    if layout not in ("by_flag", "sorted"):
+        raise ValueError(f"unknown layout {layout!r}")
     flagged = flag_trips(trips)
     obs = Observation("flags")
     observed = flagged.observe(
@@ -70,9 +79,10 @@ def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None =
           for name in (FLAG_SPEED, FLAG_TELEPORT, FLAG_STATIONARY)],
     )
     path = path or scratch_path(spark, "audit_results")
-    # sorting by the partition column first satisfies the writer's required ordering, so
+    # sorting by the flag first satisfies the partitioned writer's required ordering, so
     # it adds no second sort and every file stays ordered by pickup time
-    write_table(observed, path, partition_by=["forensic_flag"], sort_within=["forensic_flag", "pickup_time"])
+    write_table(observed, path, partition_by=["forensic_flag"] if layout == "by_flag" else (),
+                sort_within=["forensic_flag", "pickup_time"])
     table = spark.read.schema(flagged.schema).parquet(path)
     return path, dict(obs.get), table
 
@@ -130,11 +140,12 @@ def baseline_trips(baseline_raw: DataFrame | dict[str, DataFrame], spec: AuditSp
 def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame],
               baseline_raw: DataFrame | dict[str, DataFrame],
               weather: DataFrame | None, spec: AuditSpec, out_dir: str,
-              table_path: str | None = None, keep: tuple[str, ...] = ()) -> AuditResult:
+              table_path: str | None = None, keep: tuple[str, ...] = (),
+              layout: str = "by_flag") -> AuditResult:
     """``baseline_raw``: one raw frame of the baseline feed, or one per baseline feed;
     ``keep``: extra raw columns carried into the audit table (e.g. ``imputed``)."""
     trips = unify_feeds(raw_feeds, keep=keep)
-    path, counts, audited = materialise_flags(spark, trips, table_path)
+    path, counts, audited = materialise_flags(spark, trips, table_path, layout)
     baseline = baseline_trips(baseline_raw, spec)
     reports, scalars = build_reports(audited, baseline, weather, spec)
     written = publish_reports(reports, out_dir, scalars)

@@ -68,3 +68,21 @@ def test_reports_read_the_written_tables(spark, scratch):
     # the vendor report reads only the flagged partitions of the audit table
     p = plan(reports["vendors"])
     assert "PartitionFilters: [isnotnull(forensic_flag" in p
+
+
+def test_sorted_layout_gives_same_reports_and_pushes_null_filters(spark, scratch):
+    from cordon.plans.audit_run import build_reports, materialise_flags
+    from cordon.plans.registry import Inputs
+
+    i = Inputs(spark, SF_SMALL)
+    _, counts_a, by_flag = materialise_flags(spark, i.trips, f"{scratch}/a", layout="by_flag")
+    _, counts_b, by_sort = materialise_flags(spark, i.trips, f"{scratch}/b", layout="sorted")
+    assert counts_a == counts_b
+    ra, _ = build_reports(by_flag, i.baseline, i.weather, i.spec, cube_path=f"{scratch}/ca")
+    rb, _ = build_reports(by_sort, i.baseline, i.weather, i.spec, cube_path=f"{scratch}/cb")
+    for name in ("leakage", "vendors", "tips", "volumes", "border", "velocity_after", "flag_stats"):
+        a = sorted(map(tuple, ra[name].collect()), key=str)
+        b = sorted(map(tuple, rb[name].collect()), key=str)
+        assert a == b, name
+    p = plan(rb["vendors"])
+    assert any("IsNotNull(forensic_flag)" in line for line in p.splitlines() if line.startswith("PushedFilters"))
