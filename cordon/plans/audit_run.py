@@ -221,6 +221,7 @@ def main(argv=None) -> None:
     ap.add_argument("--like-for-like", action="store_true", help="baseline = same quarter and feeds")
     ap.add_argument("--align-weekdays", action="store_true", help="impute with 364-day shifts")
     ap.add_argument("--write-imputed", action="store_true", help="write rebuilt months back under --root")
+    ap.add_argument("--layout", choices=("by_flag", "sorted"), default="by_flag", help="audit table layout")
     ap.add_argument("--local", action="store_true", help="start a local session instead of the active one")
     args = ap.parse_args(argv)
     spark = local_session() if args.local or SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
@@ -243,7 +244,7 @@ def main(argv=None) -> None:
     else:
         i = Inputs(spark, args.sf_dir)
         spec, feeds, baseline, weather = i.spec, i.raw_feeds, i.baseline_raw, i.weather
-    res = run_audit(spark, feeds, baseline, weather, spec, args.out)
+    res = run_audit(spark, feeds, baseline, weather, spec, args.out, layout=args.layout)
     print({"table": res.table_path, "flags": res.flag_counts, "written": sorted(res.written)})
 
 

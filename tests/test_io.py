@@ -138,7 +138,7 @@ def test_cli_runs_on_monthly_files(spark, scratch):
     for feed in spec.feeds:
         land_months(spark, scratch, feed, [(2000, m) for m in range(1, 12)] + [(1998, 12), (1999, 12), (1999, 1)])
     out = os.path.join(scratch, "exports")
-    main(["--root", scratch, "--year", "2000", "--out", out, "--write-imputed"])
+    main(["--root", scratch, "--year", "2000", "--out", out, "--write-imputed", "--layout", "sorted"])
     assert os.path.exists(feed_path(scratch, "green", 2000, 12))
     vols = read_report_csv(spark, f"{out}/volumes.csv", "period string, volume long").collect()
     assert {r.period: r.volume for r in vols}["1999_Q1"] == 15
