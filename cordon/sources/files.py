@@ -43,4 +43,5 @@ def read_scalar(spark: SparkSession, path: str) -> str | None:
     if not path_exists(spark, path):
         return None
     rows = spark.read.text(path).limit(1).collect()
-    return rows[0][0].strip() if rows else None
+    text = rows[0][0].strip() if rows and rows[0][0] is not None else ""
+    return text or None  # an undefined value (e.g. a null correlation) is written empty

@@ -89,6 +89,8 @@ def test_scalar_and_csv_roundtrip(spark, scratch):
     df = spark.createDataFrame([(0.123456,)], "c double")
     write_scalar(df, "c", f"{scratch}/s.txt")
     assert read_scalar(spark, f"{scratch}/s.txt") == "0.1235"
+    write_scalar(spark.createDataFrame([(None,)], "c double"), "c", f"{scratch}/n.txt")
+    assert read_scalar(spark, f"{scratch}/n.txt") is None
     rep = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
     write_report_csv(rep, f"{scratch}/r.csv")
     back = read_report_csv(spark, f"{scratch}/r.csv", "k string, v long")
