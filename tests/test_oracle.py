@@ -40,3 +40,16 @@ def test_query_types_match_oracle(spark, con, name):
     rel = con.sql(oracle_sql()[name])
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {c: SPARK_TO_DUCK.get(t) for c, t in spark_types.items()} == duck_types
+
+
+def test_results_do_not_depend_on_session_settings(spark, con):
+    """Same answers with ANSI off and a zone with daylight saving."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        bad = [n for n in NAMES if not compare(queries()[n](spark, SF_SMALL), con, oracle_sql()[n])[0]]
+        assert bad == []
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
