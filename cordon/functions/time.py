@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ts_lit(value: str) -> Column:
@@ -15,11 +16,19 @@ def ts_lit(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+_SECONDS = T.DayTimeIntervalType(T.DayTimeIntervalType.SECOND, T.DayTimeIntervalType.SECOND)
+
+
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """``end - start`` in seconds as double, keeping fractions (``epoch(b) - epoch(a)``)."""
+    """``end - start`` in seconds as double, keeping fractions (``epoch(b) - epoch(a)``).
+
+    NTZ minus NTZ is a day-time interval computed on the wall-clock values, with no time
+    zone involved; ``timestamp_diff`` would pass through the session zone and shift a
+    time inside a daylight-saving gap by an hour.
+    """
     start_c = F.col(start) if isinstance(start, str) else start
     end_c = F.col(end) if isinstance(end, str) else end
-    return F.timestamp_diff("MICROSECOND", start_c, end_c).cast("double") / F.lit(1_000_000.0)
+    return (end_c - start_c).cast(_SECONDS).cast("decimal(18,6)").cast("double")
 
 
 def speed_mph(distance: str | Column, start: str | Column, end: str | Column) -> Column:

@@ -164,12 +164,16 @@ def test_durations_ignore_session_zone_dst(spark):
     """NTZ wall-clock difference, as the reference's naive timestamps: no DST hour."""
     from cordon.functions.time import seconds_between
 
-    df = spark.createDataFrame([(dt.datetime(2025, 3, 9, 1, 30), dt.datetime(2025, 3, 9, 3, 30, 0, 250000))],
-                               "a timestamp_ntz, b timestamp_ntz")
+    df = spark.createDataFrame([
+        (dt.datetime(2025, 3, 9, 1, 30), dt.datetime(2025, 3, 9, 3, 30, 0, 250000), 7200.25),  # across the gap
+        (dt.datetime(2000, 4, 2, 2, 58, 26), dt.datetime(2000, 4, 2, 3, 13, 35), 909.0),  # starts in the gap
+        (dt.datetime(2025, 11, 2, 1, 30), dt.datetime(2025, 11, 2, 1, 10), -1200.0),  # repeated hour
+    ], "a timestamp_ntz, b timestamp_ntz, want double")
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        assert df.select(seconds_between("a", "b").alias("s")).first().s == 7200.25
+        for r in df.select(seconds_between("a", "b").alias("s"), "want").collect():
+            assert r.s == r.want
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
