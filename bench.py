@@ -11,7 +11,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -33,7 +32,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from cordon.plans.audit_run import run_audit
     from cordon.plans.registry import Inputs, registry
-    from cordon.session import local_session
+    from cordon.session import local_session, scratch_path
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="cordon-bench")
     queries = registry()
@@ -53,7 +52,7 @@ def main() -> None:
             errors[name] = str(exc).splitlines()[0][:200]
 
     i = Inputs(spark, sf_dir)
-    out = tempfile.mkdtemp(prefix="cordon-bench-out-")
+    out = scratch_path(spark, "bench-exports")  # under the session's shared folder
     t0 = time.perf_counter()
     try:
         run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, out)
