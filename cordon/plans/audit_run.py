@@ -170,7 +170,10 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
         frame = read_feed_months(spark, root, feed, [(y, m) for m in present], template) if present else None
         if frame is not None and mark_imputed and "imputed" not in frame.columns:
             frame = frame.withColumn("imputed", F.lit(False))
-        for m in sorted(set(range(1, 13)) - set(present)):
+        absent = sorted(set(range(1, 13)) - set(present))
+        if spec.impute_only is not None:
+            absent = [m for m in absent if m in spec.impute_only]  # other gaps stay gaps
+        for m in absent:
             donors = []
             for d in spec.donors:
                 start, end = donor_window(y, m, d, spec.align_weekdays)

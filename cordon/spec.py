@@ -77,8 +77,11 @@ class AuditSpec:
     zone_ids: tuple[int, ...] = ZONE_IDS
     border_ids: tuple[int, ...] = BORDER_IDS
     feeds: tuple[str, ...] = FEEDS
-    # imputation of a missing month from earlier years (row mixture)
+    # imputation of a missing month from earlier years (row mixture); ``impute_only``
+    # limits which absent months are rebuilt (the reference: only (12,), other gaps
+    # skipped); None rebuilds any absent month
     impute_month: int = 12
+    impute_only: tuple[int, ...] | None = None
     donors: tuple[Donor, ...] = field(default_factory=lambda: (Donor(2, 0.3), Donor(1, 0.7)))
     # shift donors by whole years (reference) or by 364 days per year, which keeps the
     # weekday; with the latter the donor window is the target month moved back as much

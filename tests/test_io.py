@@ -177,3 +177,11 @@ def test_imputed_rows_are_traceable(spark, scratch):
     assert marked.filter(F.month("pickup_time") != 12).count() == 0
     assert table.filter(~F.col("imputed") & (F.month("pickup_time") == 12)).count() == 0
     assert table.filter(F.col("imputed").isNull()).count() == 0
+
+
+def test_impute_only_december_skips_other_gaps(spark, scratch):
+    spec = fixture_spec().with_(feeds=("yellow",), impute_only=(12,))
+    land_months(spark, scratch, "yellow", [(2000, m) for m in range(1, 12) if m != 6] + [(1998, 12), (1999, 12)])
+    y = feeds_with_imputation(spark, scratch, spec)["yellow"]
+    months = {r[0] for r in y.select(F.month("tpep_pickup_datetime")).distinct().collect()}
+    assert 12 in months and 6 not in months
