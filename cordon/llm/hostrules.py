@@ -125,12 +125,11 @@ def host_verdicts(assessed: DataFrame, rules: HostRules = DEFAULT) -> DataFrame:
     per = assessed.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"),
                                        F.sum((F.col("n_failed") > 0).cast("long")).alias("n_bad"))
     moments = per.agg(F.avg(F.col("n_bad") / F.col("n_docs")).alias("mean"),
-                      F.var_pop(F.col("n_bad") / F.col("n_docs")).alias("var")).withColumn("one", F.lit(0))
-    strength = F.when(F.col("var") > 0, F.col("mean") * (1 - F.col("mean")) / F.col("var") - 1).otherwise(F.lit(rules.max_prior))
-    shrunk = per.withColumn("one", F.lit(0)).join(F.broadcast(moments), "one") \
-        .withColumn("strength", F.least(F.greatest(strength, F.lit(1.0)), F.lit(rules.max_prior)))
-    return shrunk.select("host", "n_docs", "n_bad",
-                         ((F.col("n_bad") + F.col("mean") * F.col("strength")) / (F.col("n_docs") + F.col("strength"))).alias("rate")) \
+                      F.var_pop(F.col("n_bad") / F.col("n_docs")).alias("var")).first()  # two numbers
+    mean, var = moments["mean"] or 0.0, moments["var"] or 0.0
+    strength = min(max(mean * (1 - mean) / var - 1, 1.0), rules.max_prior) if var > 0 else rules.max_prior
+    return per.select("host", "n_docs", "n_bad",
+                      ((F.col("n_bad") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength))).alias("rate")) \
         .withColumn("rejected", F.col("rate") > rules.reject_rate)
 
 

@@ -124,10 +124,9 @@ def budget_cut(queue: DataFrame, max_rounds: int = MAX_ROUNDS, rows_per_slot: in
     Copies are dealt into slots of virtual time, about ``n / rows_per_slot`` of them up to time 1.  The
     slots' sums tell the slot in which the budget ends; copies are ordered in it and the one before.
     """
-    slots = queue.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_slot))), F.lit(1)).alias("slots"))
-    copies = queue.withColumn("one", F.lit(0)).join(F.broadcast(slots.withColumn("one", F.lit(0))), "one")  # one row
-    copies = copies.withColumn("c", F.explode(_rounds(max_rounds))) \
-        .select("size", "budget", F.floor(F.col("c.finish") * F.col("slots")).alias("slot"),
+    slots = max(1, -(-queue.count() // rows_per_slot))
+    copies = queue.withColumn("c", F.explode(_rounds(max_rounds))) \
+        .select("size", "budget", F.floor(F.col("c.finish") * F.lit(float(slots))).alias("slot"),
                 _order(F.col("c.finish"), F.col("c.round")).alias("place"))
     sums = copies.groupBy("slot").agg(F.sum("size").alias("slot_size"), F.max("budget").alias("budget"))
     upto = Window.partitionBy(F.lit(0)).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -152,12 +151,16 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     sized = written(sized_rows(docs, id_col, text_col, source_col, seed), "mix-sizes")
     queue = written(virtual_queue(sized, weights, max_rounds, budget_share), "mix-queue")
-    cut = budget_cut(queue, max_rounds).withColumn("one", F.lit(0))  # one row
-    copies = F.size(F.filter(_rounds(max_rounds), lambda c: _order(c["finish"], c["round"]) <= F.col("cut")))
-    return queue.withColumn("one", F.lit(0)).join(F.broadcast(cut), "one", "left").select(
+    cut = budget_cut(queue, max_rounds).first()["cut"]  # the place of one copy
+    if cut is None:
+        copies = F.lit(0)
+    else:
+        last = F.struct(*[F.lit(v).alias(k) for k, v in cut.asDict().items()])
+        copies = F.size(F.filter(_rounds(max_rounds), lambda c: _order(c["finish"], c["round"]) <= last))
+    return queue.select(
         "id", "source", "size", "source_size", "target",
         F.when(F.col("target") > 0, F.col("served") / F.col("target")).alias("finish"),
-        F.when(F.col("cut").isNull(), F.lit(0)).otherwise(copies).cast("long").alias("copies"), "key", "tie")
+        copies.cast("long").alias("copies"), "key", "tie")
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", seed: str = "mix", **options) -> DataFrame:
