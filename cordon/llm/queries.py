@@ -23,6 +23,16 @@ def op6_candidate_boosting_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         span_text(F.sort_array(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def op7_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from cordon.llm.tokens import read_documents, write_tokens
+    from cordon.session import scratch_path
+
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_documents(spark, path)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.hostrules import judge
 
@@ -55,6 +65,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_candidate_boosting_pii": op6_candidate_boosting_pii,
+        "op7_simple8b_tokens": op7_simple8b_tokens,
         "op8_host_rules": op8_host_rules,
         "op9_entropy_secrets": op9_entropy_secrets,
         "op10_fair_queue_mix": op10_fair_queue_mix,
