@@ -12,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.jaccard import similar_components
+
+    found = similar_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+
+
 def op6_candidate_boosting_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.pii import KINDS, find_personal_data
     from cordon.llm.secrets import count_kind, span_text
@@ -64,6 +71,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_jaccard_metric_join": op4_jaccard_metric_join,
         "op6_candidate_boosting_pii": op6_candidate_boosting_pii,
         "op7_simple8b_tokens": op7_simple8b_tokens,
         "op8_host_rules": op8_host_rules,
