@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.suffixdedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.jaccard import similar_components
 
@@ -71,6 +77,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_merge_dedup": op1_suffix_merge_dedup,
         "op4_jaccard_metric_join": op4_jaccard_metric_join,
         "op6_candidate_boosting_pii": op6_candidate_boosting_pii,
         "op7_simple8b_tokens": op7_simple8b_tokens,

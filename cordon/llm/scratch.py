@@ -14,3 +14,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark) -> None:
+    """Let Spark delete the shuffle files of steps whose results were written: it does so once the
+    driver's objects for them are collected."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
