@@ -18,6 +18,12 @@ def op1_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("detections")
+
+
 def op4_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.jaccard import similar_components
 
@@ -25,6 +31,12 @@ def op4_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
+def op5_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def op6_candidate_boosting_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.pii import KINDS, find_personal_data
     from cordon.llm.secrets import count_kind, span_text
@@ -78,7 +90,9 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_merge_dedup": op1_suffix_merge_dedup,
+        "op3_license_rules": op3_license_rules,
         "op4_jaccard_metric_join": op4_jaccard_metric_join,
+        "op5_seed_align_decontamination": op5_seed_align_decontamination,
         "op6_candidate_boosting_pii": op6_candidate_boosting_pii,
         "op7_simple8b_tokens": op7_simple8b_tokens,
         "op8_host_rules": op8_host_rules,
