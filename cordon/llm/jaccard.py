@@ -147,7 +147,8 @@ def _within(inter: Column, na: Column, nb: Column, t: Fraction) -> Column:
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
                        t: Fraction = THRESHOLD) -> DataFrame:
-    """One row per input row: ``id, n_shingles, point, component_id, n_links``.
+    """One row per input row: ``id, tie`` (a hash of the text)``, n_shingles, point`` (the set)``, group,
+    component_id, n_links``.
 
     ``component_id`` is the smallest id reachable by links; ``n_links`` counts the links of the row's set
     that the join computed (pairs within a component are not all compared).  Null or empty text: no
@@ -186,13 +187,32 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     smallest = ids.groupBy("root").agg(F.min("least").alias("component"))
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     found = ids.join(smallest, "root").join(degree, F.col("point") == F.col("node"), "left") \
-        .select(F.col("point").alias("c_point"), "component", "n_links")
+        .select(F.col("point").alias("c_point"), "root", "component", "n_links")
     return own.join(found, (F.col("point") == F.col("c_point")) & (F.col("n") > 0), "left").select(
-        "id", "tie", F.col("n").alias("n_shingles"), "point",
+        "id", "tie", F.col("n").alias("n_shingles"), "point", F.col("root").alias("group"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
+                  t: Fraction = THRESHOLD) -> DataFrame:
+    """The input's rows and columns, one row of each group of linked documents: the one with the smallest id
+    (null ids last).  Rows alike in id and text count as one document; of those, too, one row stays.
+    Texts without words are in no group and stay.
+    """
+    found = similar_components(docs, id_col, text_col, k, t).select("id", "tie", "group")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "tie")
+    kept = found.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(place).alias("first")).select("first.id", "first.tie") \
+        .unionByName(found.filter(F.col("group").isNull()).select("id", "tie").distinct())
+    kept = kept.select(F.coalesce("id", F.lit(0)).alias("k_id"), F.col("id").isNull().alias("k_null"), F.col("tie").alias("k_tie"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = F.col(f"`{id_col}`").cast("long")
+    rows = docs.select(row, F.coalesce(own, F.lit(0)).alias("k_id"), own.isNull().alias("k_null"),
+                       F.coalesce(F.xxhash64(F.col(f"`{text_col}`").cast("string")), F.lit(0)).alias("k_tie"))
+    joined = rows.join(kept, ["k_id", "k_null", "k_tie"]).groupBy("k_id", "k_null", "k_tie").agg(F.first("row").alias("row"))
+    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def _texts_of(involved: DataFrame, own: DataFrame, rows: DataFrame) -> DataFrame:
     """``(point, text)``: one text of each point that shares a region."""
     one = own.join(involved, "point", "left_semi").groupBy("point").agg(F.min(F.struct(F.coalesce("id", F.lit(-1)).alias("id"), "tie")).alias("row"))

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cordon.llm.scratch import importable
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -18,6 +21,12 @@ def op1_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.quotes import link_quotes
+
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op3_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.licenses import scan_licenses
 
@@ -90,6 +99,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_merge_dedup": op1_suffix_merge_dedup,
+        "op2_quote_linking": op2_quote_linking,
         "op3_license_rules": op3_license_rules,
         "op4_jaccard_metric_join": op4_jaccard_metric_join,
         "op5_seed_align_decontamination": op5_seed_align_decontamination,

@@ -23,3 +23,15 @@ def release(spark) -> None:
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def importable(spark) -> None:
+    """Let Python workers import this package from where the driver did.  A cluster that ships the package
+    (``--py-files``) or has it installed finds it there as well."""
+    import os
+    from pathlib import Path
+
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
