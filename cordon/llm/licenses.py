@@ -32,7 +32,7 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
 #: a text without any of these stems matches no rule and no base phrase
-GATE = (r"(?i)licen[sc]|copyright|copyleft|spdx|public[^0-9a-z]+domain|rights[^0-9a-z]+reserved|creative[^0-9a-z]+commons"
+GATE = (r"(?i)licen[sc]|copyright|copyleft|spdx|hereby|redistribut|unencumbered|warranty|public[^0-9a-z]+domain|rights[^0-9a-z]+reserved|creative[^0-9a-z]+commons"
         r"|(?<![0-9a-z])(?:cc[^0-9a-z]*(?:by|0|zero)|[al]?gpl|unlicense|wtfpl|creativecommons)")
 
 #: label, the license's names over normalised words, a word that every match holds
