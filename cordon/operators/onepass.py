@@ -1,4 +1,4 @@
-"""Every clean-trip report from one pass over the clean trips.
+"""Every clean-trip report from one pass over the clean trips, and the baseline's from one over the baseline.
 
 Run separately, the leakage, volume, speed, tip, daily-count and border reports each scan
 the clean trips.  Here each trip emits one keyed row per report it belongs to (the
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cordon.functions.time import day_name, in_period, speed_mph, ts_lit
 from cordon.functions.zones import entering, in_zone, inside, touching
-from cordon.operators.reports import border_window
+from cordon.operators.reports import border_window, tip_share, top_leakage
 from cordon.spec import AuditSpec
 
 LEAKAGE, VOLUME, SPEED, TIPS, DAILY, BORDER = "leakage", "volume", "speed", "tips", "daily", "border"
@@ -31,78 +31,92 @@ def _key(grain: str, cond: Column, k_long: Column | None = None, k_str: Column |
     ))
 
 
-def clean_report_cube(clean: DataFrame, spec: AuditSpec) -> DataFrame:
-    """``(grain, k_long, k_str, k_date)`` -> n, surcharge counts and sums, speed and tip sums."""
-    after = F.col("pickup_time") >= ts_lit(spec.policy_start)
-    q1 = in_period("pickup_time", spec.q1_start, spec.q1_end, spec.half_open)
-    keys = F.array(
-        _key(LEAKAGE, entering("pickup_loc", "dropoff_loc", spec.zone_ids) & after, k_long=F.col("pickup_loc")),
-        _key(VOLUME, touching("pickup_loc", "dropoff_loc", spec.zone_ids) & q1),
-        _key(SPEED, inside("pickup_loc", "dropoff_loc", spec.zone_ids) & q1,
-             k_long=F.hour("pickup_time"), k_str=day_name("pickup_time")),
-        _key(TIPS, after, k_long=F.month("pickup_time")),
-        _key(DAILY, F.lit(True), k_date=F.to_date("pickup_time")),
-        _key(BORDER, in_zone("dropoff_loc", spec.border_ids) & border_window(spec), k_long=F.col("dropoff_loc")),
-    )
-    tip = (F.col("total_amount") - F.col("fare") - F.col("congestion_surcharge")) / F.col("fare") * F.lit(100.0)
-    rows = clean.select(
-        F.explode(keys).alias("k"),
+def _cube(trips: DataFrame, keys: list[Column]) -> DataFrame:
+    """One keyed row per trip and report, aggregated once.  An average is a sum and a count of its own
+    non-null values, so nulls drop out of it as they do in ``avg``."""
+    rows = trips.select(
+        F.explode(F.array(*keys)).alias("k"),
         F.when(F.col("congestion_surcharge") > 0, 1).otherwise(0).alias("pos"),
         F.when(F.col("congestion_surcharge") == 0, 1).otherwise(0).alias("zero"),
         F.col("congestion_surcharge").alias("surcharge"),
         speed_mph("trip_distance", "pickup_time", "dropoff_time").alias("speed"),
-        F.when(F.col("fare") > 0, tip).otherwise(F.lit(0.0)).alias("tip"),
+        tip_share().alias("tip"),
     ).filter(F.col("k").isNotNull())
     return rows.groupBy("k.grain", "k.k_long", "k.k_str", "k.k_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("pos").cast("bigint").alias("n_pos"),
         F.sum("zero").cast("bigint").alias("n_zero"),
-        F.count("surcharge").alias("n_surcharge"),
-        F.sum("surcharge").alias("sum_surcharge"),
-        F.count("speed").alias("n_speed"),
-        F.sum("speed").alias("sum_speed"),
-        F.sum("tip").alias("sum_tip"),
+        *[f for c in ("surcharge", "speed", "tip") for f in (F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"sum_{c}"))],
     )
 
 
+def clean_report_cube(clean: DataFrame, spec: AuditSpec) -> DataFrame:
+    """``(grain, k_long, k_str, k_date)`` -> n, surcharge counts, and a count and sum of surcharge, speed and tip."""
+    after = F.col("pickup_time") >= ts_lit(spec.policy_start)
+    q1 = in_period("pickup_time", spec.q1_start, spec.q1_end, spec.half_open)
+    return _cube(clean, [
+        _key(LEAKAGE, entering("pickup_loc", "dropoff_loc", spec.zone_ids) & after, k_long=F.col("pickup_loc")),
+        _key(VOLUME, touching("pickup_loc", "dropoff_loc", spec.zone_ids) & q1),
+        _key(SPEED, inside("pickup_loc", "dropoff_loc", spec.zone_ids) & q1,
+             k_long=F.hour("pickup_time"), k_str=day_name("pickup_time")),
+        _key(TIPS, after, k_long=F.month("pickup_time")),
+        _key(DAILY, F.lit(True), k_date=F.to_date("pickup_time")),
+        _key(BORDER, in_zone("dropoff_loc", spec.border_ids) & border_window(spec), k_long=F.col("dropoff_loc")),
+    ])
+
+
+def baseline_report_cube(baseline: DataFrame, spec: AuditSpec) -> DataFrame:
+    """The baseline's share of the reports (volume, speed, border) in the same shape, unbounded in time."""
+    return _cube(baseline, [
+        _key(VOLUME, touching("pickup_loc", "dropoff_loc", spec.zone_ids)),
+        _key(SPEED, inside("pickup_loc", "dropoff_loc", spec.zone_ids),
+             k_long=F.hour("pickup_time"), k_str=day_name("pickup_time")),
+        _key(BORDER, in_zone("dropoff_loc", spec.border_ids), k_long=F.col("dropoff_loc")),
+    ])
+
+
+def _mean(name: str) -> Column:
+    return F.col(f"sum_{name}") / F.nullif(F.col(f"n_{name}"), F.lit(0))
+
+
 def _grain(cube: DataFrame, grain: str) -> DataFrame:
     return cube.filter(F.col("grain") == grain)
 
 
 def leakage_from(cube: DataFrame, spec: AuditSpec) -> DataFrame:
-    return _grain(cube, LEAKAGE).select(
+    return top_leakage(_grain(cube, LEAKAGE).select(
         F.col("k_long").alias("pickup_loc"),
         F.col("n").alias("trip_count"),
         (F.col("n_pos") / F.col("n")).alias("compliance_rate"),
         F.col("n_zero").alias("missing_surcharge_hits"),
-    ).orderBy(F.desc("missing_surcharge_hits"), F.asc("pickup_loc")).limit(spec.top_leakage)
+    ), spec)
 
 
-def analysis_volume_from(cube: DataFrame, spec: AuditSpec) -> DataFrame:
+def volume_from(cube: DataFrame, label: str) -> DataFrame:
     """One row even when no trip matched (count 0), like ``COUNT(*)``."""
     return _grain(cube, VOLUME).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("volume")) \
-        .select(F.lit(spec.analysis_label).alias("period"), "volume")
+        .select(F.lit(label).alias("period"), "volume")
 
 
 def speed_from(cube: DataFrame) -> DataFrame:
     return _grain(cube, SPEED).select(
         F.col("k_long").alias("hour"),
         F.col("k_str").alias("dow"),
-        (F.col("sum_speed") / F.nullif(F.col("n_speed"), F.lit(0))).alias("speed"),
+        _mean("speed").alias("speed"),
     )
 
 
 def tips_from(cube: DataFrame) -> DataFrame:
     return _grain(cube, TIPS).select(
         F.col("k_long").alias("month"),
-        (F.col("sum_surcharge") / F.nullif(F.col("n_surcharge"), F.lit(0))).alias("avg_surcharge"),
-        (F.col("sum_tip") / F.col("n")).alias("avg_tip_pct"),
-    ).coalesce(1).sortWithinPartitions("month")
+        _mean("surcharge").alias("avg_surcharge"),
+        _mean("tip").alias("avg_tip_pct"),
+    ).orderBy("month")
 
 
 def daily_from(cube: DataFrame) -> DataFrame:
     return _grain(cube, DAILY).select(F.col("k_date").alias("date"), F.col("n").alias("daily_trips"))
 
 
-def border_after_from(cube: DataFrame) -> DataFrame:
-    return _grain(cube, BORDER).select(F.col("k_long").alias("loc_id"), F.col("n").alias("count_25"))
+def border_from(cube: DataFrame, name: str) -> DataFrame:
+    return _grain(cube, BORDER).select(F.col("k_long").alias("loc_id"), F.col("n").alias(name))

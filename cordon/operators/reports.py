@@ -31,7 +31,12 @@ def surcharge_leakage(clean: DataFrame, spec: AuditSpec) -> DataFrame:
         F.avg(_ones(F.col("congestion_surcharge") > 0)).alias("compliance_rate"),
         F.sum(_ones(F.col("congestion_surcharge") == 0)).cast("bigint").alias("missing_surcharge_hits"),
     )
-    return per_zone.orderBy(F.desc("missing_surcharge_hits"), F.asc("pickup_loc")).limit(spec.top_leakage)
+    return top_leakage(per_zone, spec)
+
+
+def top_leakage(per_zone: DataFrame, spec: AuditSpec) -> DataFrame:
+    """Most hits first; ties by zone id, a null zone last."""
+    return per_zone.orderBy(F.desc("missing_surcharge_hits"), F.asc_nulls_last("pickup_loc")).limit(spec.top_leakage)
 
 
 def volume_row(trips: DataFrame, spec: AuditSpec, label: str, q1_only: bool) -> DataFrame:
@@ -51,9 +56,9 @@ def period_volumes(baseline: DataFrame, clean: DataFrame, spec: AuditSpec) -> Da
 
 
 def suspicious_vendors(log: DataFrame, spec: AuditSpec) -> DataFrame:
-    """Vendors x flag with the most flagged trips."""
+    """Vendors x flag with the most flagged trips; ties by vendor (null last) and flag."""
     counts = log.groupBy("VendorID", "forensic_flag").agg(F.count(F.lit(1)).alias("ghost_count"))
-    return counts.orderBy(F.desc("ghost_count"), F.asc("VendorID"), F.asc("forensic_flag")).limit(spec.top_vendors)
+    return counts.orderBy(F.desc("ghost_count"), F.asc_nulls_last("VendorID"), F.asc("forensic_flag")).limit(spec.top_vendors)
 
 
 def border_counts(trips: DataFrame, spec: AuditSpec, name: str) -> DataFrame:
@@ -109,19 +114,20 @@ def velocity_after(clean: DataFrame, spec: AuditSpec) -> DataFrame:
     return velocity(clean, spec, q1_only=True)
 
 
-def tip_crowding(clean: DataFrame, spec: AuditSpec) -> DataFrame:
-    """Monthly average surcharge and tip share (% of fare; 0 where fare <= 0).
+def tip_share():
+    """Tip as % of the fare: 0 where the fare isn't positive, null where an input is null."""
+    share = (F.col("total_amount") - F.col("fare") - F.col("congestion_surcharge")) / F.col("fare") * F.lit(100.0)
+    return F.when(F.col("fare") > 0, share).otherwise(F.lit(0.0))
 
-    At most 12 rows remain after the aggregate, so they are ordered inside one
-    partition instead of by a range shuffle."""
-    tip = (F.col("total_amount") - F.col("fare") - F.col("congestion_surcharge")) / F.col("fare") * F.lit(100.0)
+
+def tip_crowding(clean: DataFrame, spec: AuditSpec) -> DataFrame:
+    """Monthly average surcharge and tip share (% of fare; 0 where fare <= 0)."""
     rows = clean.filter(F.col("pickup_time") >= ts_lit(spec.policy_start))
     return (
         rows.groupBy(F.month("pickup_time").cast("bigint").alias("month"))
         .agg(
             F.avg("congestion_surcharge").alias("avg_surcharge"),
-            F.avg(F.when(F.col("fare") > 0, tip).otherwise(F.lit(0.0))).alias("avg_tip_pct"),
+            F.avg(tip_share()).alias("avg_tip_pct"),
         )
-        .coalesce(1)
-        .sortWithinPartitions("month")
+        .orderBy("month")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.spec import DEFAULT_COORD, ZONE_COORDS, AuditSpec
+from cordon.spec import AuditSpec
 
 HOURS = list(range(24))
 
@@ -19,31 +19,29 @@ def velocity_grid(speeds: DataFrame) -> DataFrame:
 
     The long report holds one row per (hour, weekday), at most 168 rows, so the pivot is
     one conditional aggregation by weekday: one tiny shuffle, no pivot-value job.
-    Rows come out sorted by weekday name inside one partition of at most 7 rows.
+    Rows come out sorted by weekday name.
     """
     cells = [F.max(F.when(F.col("hour") == h, F.col("speed"))).alias(hour_column(h)) for h in HOURS]
-    return speeds.groupBy("dow").agg(*cells).coalesce(1).sortWithinPartitions("dow")
+    return speeds.groupBy("dow").agg(*cells).orderBy("dow")
 
 
-def _coord_map(index: int):
+def _coordinate(spec: AuditSpec, index: int):
+    default = F.lit(float(spec.default_coord[index]))
+    if not spec.zone_coords:
+        return default
     pairs = []
-    for loc, coord in ZONE_COORDS.items():
-        pairs += [F.lit(loc).cast("bigint"), F.lit(coord[index])]
-    return F.create_map(*pairs)
+    for loc, coord in spec.zone_coords.items():
+        pairs += [F.lit(loc).cast("bigint"), F.lit(float(coord[index]))]
+    return F.coalesce(F.element_at(F.create_map(*pairs), F.col("loc_id").cast("bigint")), default)
 
 
-def border_geo(border: DataFrame) -> DataFrame:
-    """Border report with map coordinates; unknown zones get the default point.
+def border_geo(border: DataFrame, spec: AuditSpec = AuditSpec()) -> DataFrame:
+    """Border report with the spec's map coordinates; unknown zones get its default point.
 
-    The coordinates are a fixed 8-entry lookup, so they travel inside the plan as map
+    The coordinates are a lookup of a few entries, so they travel inside the plan as map
     literals: a per-row hash lookup with no join, no broadcast and no Python data.
     """
-    loc = F.col("loc_id").cast("bigint")
-    return border.select(
-        *border.columns,
-        F.coalesce(F.element_at(_coord_map(0), loc), F.lit(DEFAULT_COORD[0])).alias("lat"),
-        F.coalesce(F.element_at(_coord_map(1), loc), F.lit(DEFAULT_COORD[1])).alias("lon"),
-    )
+    return border.select(*border.columns, _coordinate(spec, 0).alias("lat"), _coordinate(spec, 1).alias("lon"))
 
 
 def volume_change_kpi(volumes: DataFrame, spec: AuditSpec) -> DataFrame:

@@ -17,7 +17,9 @@ TRIP_COLUMNS = (
 
 def raw_to_trips(raw: DataFrame, feed: str, fill_surcharge: bool = True, keep: Iterable[str] = ()) -> DataFrame:
     """Rename one feed's raw columns to the canonical Trip schema and tag the feed;
-    ``keep`` names extra raw columns carried along (null where a feed lacks them)."""
+    ``keep`` names extra raw columns carried along, whatever their case in the files
+    (null where a feed lacks them)."""
+    present = {c.lower(): c for c in raw.columns}
     pickup, dropoff = time_columns(feed)
     surcharge = F.col("congestion_surcharge")
     if fill_surcharge:
@@ -33,7 +35,7 @@ def raw_to_trips(raw: DataFrame, feed: str, fill_surcharge: bool = True, keep: I
         surcharge.alias("congestion_surcharge"),
         F.lit(feed).alias("taxi_type"),
         "VendorID",
-        *[F.col(c) if c in raw.columns else F.lit(None).alias(c) for c in keep],
+        *[F.col(present[c.lower()]).alias(c) if c.lower() in present else F.lit(None).alias(c) for c in keep],
     )
 
 

@@ -1,16 +1,15 @@
-"""End-to-end audit: unify -> flag -> materialise once -> reports -> files.
-
-The flagged table is written once (partitioned by flag, rows sorted by pickup time)
-under the cluster's shared folder, and every report reads it back: clean-trip reports
-prune to the ``forensic_flag=__HIVE_DEFAULT_PARTITION__`` directory, the vendor report
-to the flagged ones, and time filters skip row groups by min/max statistics.  A written
-table survives the loss of any executor, unlike cached blocks, and cuts the lineage
-of every report to one scan.
+"""End-to-end audit: unify -> flag -> write once -> two report cubes -> reports -> files.
+
+The flagged table is written once under the cluster's shared folder.  One pass over its clean
+trips and one over the baseline give two cubes of a few thousand rows, which are written as well;
+every report but the vendors' is a projection of those.  A written table survives the loss of any
+executor, unlike cached blocks, and cuts the lineage of every report to one scan.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,28 +28,46 @@ from cordon.operators import (
     raw_to_trips,
     suspicious_vendors,
     unify_feeds,
-    velocity_before,
     velocity_grid,
     volume_change_kpi,
     volume_change_text,
 )
 from cordon.operators.impute import donor_window
 from cordon.operators.onepass import (
-    analysis_volume_from,
-    border_after_from,
+    baseline_report_cube,
+    border_from,
     clean_report_cube,
     daily_from,
     leakage_from,
     speed_from,
     tips_from,
+    volume_from,
 )
-from cordon.operators.reports import border_change, border_counts, volume_row
+from cordon.operators.reports import border_change
 from cordon.session import scratch_path
 from cordon.sinks import publish_reports, write_table
-from cordon.sources.feeds import DEFAULT_TEMPLATE, feed_path, path_exists, read_feed_months, time_columns
+from cordon.sources.feeds import (
+    DEFAULT_TEMPLATE,
+    feed_path,
+    is_complete,
+    path_exists,
+    read_feed_months,
+    time_columns,
+    write_month,
+)
 from cordon.spec import FLAG_SPEED, FLAG_STATIONARY, FLAG_TELEPORT, AuditSpec
 
 
+FLAGS = (FLAG_SPEED, FLAG_TELEPORT, FLAG_STATIONARY)
+
+# fixed values: the report names that existing dashboards read
+EXPORT_NAMES = {
+    "leakage": "leakage_report", "volumes": "q1_decline", "vendors": "suspicious_vendors", "border": "border_effect",
+    "velocity_before": "velocity_24", "velocity_after": "velocity_25", "tips": "tip_crowding", "rain_daily": "rain_data",
+    "rain_stats": "rain_stats",
+}
+
+
 @dataclass
 class AuditResult:
     table_path: str
@@ -60,23 +77,22 @@ class AuditResult:
 
 
 def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None = None,
-                      layout: str = "by_flag") -> tuple[str, dict, DataFrame]:
-    """Flag and write the trips once; flag counts are observed during the write.
+                      layout: str = "sorted", spec: AuditSpec = AuditSpec()) -> tuple[str, dict, DataFrame]:
+    """Flag and write the trips once, in place of what ``path`` held before; flag counts are observed
+    during the write.
 
-    ``layout="by_flag"`` partitions the table by flag (readers prune directories; each
-    task writes up to four files).  ``layout="sorted"`` writes one file per task, rows
-    ordered by flag then pickup time, and readers skip row groups by null counts and
-    min/max statistics (no small files).
+    ``layout="sorted"`` writes one file per task, rows ordered by flag then pickup time, and
+    readers skip row groups by null counts and min/max statistics.  ``layout="by_flag"``
+    partitions the table by flag (readers prune directories; each task writes up to four files).
     """
     if layout not in ("by_flag", "sorted"):
         raise ValueError(f"unknown layout {layout!r}")
-    flagged = flag_trips(trips)
+    flagged = flag_trips(trips, spec)
     obs = Observation("flags")
     observed = flagged.observe(
         obs,
         F.count(F.lit(1)).alias("trips"),
-        *[F.count_if(F.col("forensic_flag") == F.lit(name)).alias(name)
-          for name in (FLAG_SPEED, FLAG_TELEPORT, FLAG_STATIONARY)],
+        *[F.count_if(F.col("forensic_flag") == F.lit(name)).alias(name) for name in FLAGS],
     )
     path = path or scratch_path(spark, "audit_results")
     # sorting by the flag first satisfies the partitioned writer's required ordering, so
@@ -87,37 +103,46 @@ def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None =
     return path, dict(obs.get), table
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a small table to the shared folder and read it back."""
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_reports(audited: DataFrame, baseline: DataFrame, weather: DataFrame | None,
-                  spec: AuditSpec, cube_path: str | None = None
+                  spec: AuditSpec, work_path: str | None = None, flag_counts: dict | None = None
                   ) -> tuple[dict[str, DataFrame], dict[str, tuple[DataFrame, str]]]:
-    """All reports.  The clean-trip reports come from one pass (``clean_report_cube``),
-    written to the shared folder so that each report reads a few thousand rows; the
-    baseline side reads the (one-month) baseline; vendors read the flagged partitions."""
-    clean, log = clean_trips(audited), audit_log(audited)
+    """All reports.  The clean trips, the baseline and the weather are read once each, into
+    cubes under the shared folder (``work_path``); the vendor report reads the flagged rows.
+    ``flag_counts``, as observed while the table was written, saves another pass."""
     spark = audited.sparkSession
-    cube_path = cube_path or scratch_path(spark, "report_cube")
-    write_table(clean_report_cube(clean, spec), cube_path)
-    cube = spark.read.parquet(cube_path)
+    work = (work_path or scratch_path(spark, "reports")).rstrip("/")
+    after = stored(clean_report_cube(clean_trips(audited), spec), f"{work}/clean_cube")
+    before = stored(baseline_report_cube(baseline, spec), f"{work}/baseline_cube")
+    if flag_counts is None:
+        stats = flag_stats(audited)
+    else:
+        stats = spark.createDataFrame([(k, int(flag_counts[k])) for k in FLAGS if flag_counts.get(k)],
+                                      "forensic_flag string, n bigint")
     reports = {
-        "flag_stats": flag_stats(audited),
-        "leakage": leakage_from(cube, spec),
-        "volumes": volume_row(baseline, spec, spec.baseline_label, q1_only=False)
-        .unionByName(analysis_volume_from(cube, spec)),
-        "vendors": suspicious_vendors(log, spec),
-        "border": border_change(border_counts(baseline, spec, "count_24"), border_after_from(cube)),
-        "velocity_before": velocity_before(baseline, spec),
-        "velocity_after": speed_from(cube),
-        "tips": tips_from(cube),
+        "flag_stats": stats,
+        "leakage": leakage_from(after, spec),
+        "volumes": volume_from(before, spec.baseline_label).unionByName(volume_from(after, spec.analysis_label)),
+        "vendors": suspicious_vendors(audit_log(audited), spec),
+        "border": border_change(border_from(before, "count_24"), border_from(after, "count_25")),
+        "velocity_before": speed_from(before),
+        "velocity_after": speed_from(after),
+        "tips": tips_from(after),
     }
-    # dashboard reshapes, computed from the small reports
+    # what the dashboard derives, from the same small tables
     reports["velocity_grid_before"] = velocity_grid(reports["velocity_before"])
     reports["velocity_grid_after"] = velocity_grid(reports["velocity_after"])
-    reports["border_geo"] = border_geo(reports["border"])
+    reports["border_geo"] = border_geo(reports["border"], spec)
     reports["volume_kpi"] = volume_change_text(volume_change_kpi(reports["volumes"], spec))
     scalars = {}
     if weather is not None:
-        rain = daily_from(cube).join(weather.select("date", "precip_mm"), "date", "inner") \
-            .select("date", "daily_trips", "precip_mm")
+        rain = stored(daily_from(after).join(weather.select("date", "precip_mm"), "date", "inner")
+                      .select("date", "daily_trips", "precip_mm"), f"{work}/rain")
         reports["rain_daily"] = rain
         reports["rain_trend"] = rain_trend(rain)
         scalars["rain_stats"] = (rain_elasticity(rain), "correlation")
@@ -133,7 +158,7 @@ def baseline_trips(baseline_raw: DataFrame | dict[str, DataFrame], spec: AuditSp
     for f in frames[1:]:
         trips = trips.unionByName(f)
     if spec.audit_baseline:
-        return clean_trips(flag_trips(trips))
+        return clean_trips(flag_trips(trips, spec))
     return trips
 
 
@@ -141,23 +166,29 @@ def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame],
               baseline_raw: DataFrame | dict[str, DataFrame],
               weather: DataFrame | None, spec: AuditSpec, out_dir: str,
               table_path: str | None = None, keep: tuple[str, ...] = (),
-              layout: str = "by_flag") -> AuditResult:
+              layout: str = "sorted", names: Mapping[str, str] | None = None) -> AuditResult:
     """``baseline_raw``: one raw frame of the baseline feed, or one per baseline feed;
-    ``keep``: extra raw columns carried into the audit table (e.g. ``imputed``)."""
+    ``keep``: extra raw columns carried into the audit table (e.g. ``imputed``);
+    ``names``: other file names for reports (e.g. :data:`EXPORT_NAMES`)."""
     trips = unify_feeds(raw_feeds, keep=keep)
-    path, counts, audited = materialise_flags(spark, trips, table_path, layout)
+    path, counts, audited = materialise_flags(spark, trips, table_path, layout, spec)
     baseline = baseline_trips(baseline_raw, spec)
-    reports, scalars = build_reports(audited, baseline, weather, spec)
-    written = publish_reports(reports, out_dir, scalars)
+    reports, scalars = build_reports(audited, baseline, weather, spec, flag_counts=counts)
+    written = publish_reports(reports, out_dir, scalars, names=names)
     return AuditResult(path, counts, reports, written)
 
 
 def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
                           template: str = DEFAULT_TEMPLATE, write_imputed: bool = False,
                           mark_imputed: bool = False) -> dict[str, DataFrame]:
-    """Every feed of the analysis year from its monthly files.  A month whose file is
-    absent is rebuilt from the donor years (any month, not only December); a missing
-    donor file raises.  Presence is a file-system check, so no data is scanned for it.
+    """Every feed of the analysis year from its monthly files.  A month of ``spec.impute_only``
+    that is absent is rebuilt from the donor years; other gaps stay gaps.  A missing donor
+    raises, and so does a feed without any month.  Donor files are sampled as a whole; with
+    ``align_weekdays`` from the days that land in the month.
+
+    Presence is a file-system check, so no data is scanned for it.  A folder without its
+    writer's ``_SUCCESS`` mark is not a month: it is rebuilt like an absent one if it may be,
+    and otherwise raises.
 
     With ``write_imputed`` the rebuilt month is written as that month's file under
     ``root`` (S7) and read back, so a later run finds it present and skips the work (S4).
@@ -166,13 +197,20 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
     y = spec.analysis_year
     feeds = {}
     for feed in spec.feeds:
-        present = [m for m in range(1, 13) if path_exists(spark, feed_path(root, feed, y, m, template))]
+        paths = {m: feed_path(root, feed, y, m, template) for m in range(1, 13)}
+        present = [m for m, p in paths.items() if is_complete(spark, p)]
+        absent = [m for m in paths if m not in present and (spec.impute_only is None or m in spec.impute_only)]
+        for m in set(paths) - set(present) - set(absent):
+            if path_exists(spark, paths[m]):
+                raise ValueError(f"{paths[m]} has no _SUCCESS mark: its writer did not finish")
+        if not present and spec.impute_only is not None:
+            raise FileNotFoundError(f"no monthly file of feed {feed!r} for {y} under {root}")
         frame = read_feed_months(spark, root, feed, [(y, m) for m in present], template) if present else None
-        if frame is not None and mark_imputed and "imputed" not in frame.columns:
-            frame = frame.withColumn("imputed", F.lit(False))
-        absent = sorted(set(range(1, 13)) - set(present))
-        if spec.impute_only is not None:
-            absent = [m for m in absent if m in spec.impute_only]  # other gaps stay gaps
+        if frame is not None and mark_imputed:
+            # months written by an earlier run carry the mark, the others have none
+            known = next((c for c in frame.columns if c.lower() == "imputed"), None)
+            mark = F.coalesce(F.col(known), F.lit(False)) if known else F.lit(False)
+            frame = frame.withColumn("imputed", mark)
         for m in absent:
             donors = []
             for d in spec.donors:
@@ -182,15 +220,15 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
                     donor_path = feed_path(root, feed, yy, mm, template)
                     if not path_exists(spark, donor_path):
                         raise FileNotFoundError(f"donor {donor_path} for imputing {feed} {y}-{m:02d} is missing")
-                pickup = time_columns(feed)[0]
-                frame_d = read_feed_months(spark, root, feed, months, template).filter(
-                    (F.col(pickup) >= ts_lit(start)) & (F.col(pickup) < ts_lit(end)))
+                frame_d = read_feed_months(spark, root, feed, months, template)
+                if spec.align_weekdays:  # the window reaches into neighbouring months' files
+                    pickup = F.col(time_columns(feed)[0])
+                    frame_d = frame_d.filter((pickup >= ts_lit(start)) & (pickup < ts_lit(end)))
                 donors.append((frame_d, d))
             imputed = impute_month(donors, feed, align_weekdays=spec.align_weekdays,
                                    mark_column="imputed" if mark_imputed else None)
             if write_imputed:
-                target = feed_path(root, feed, y, m, template)
-                imputed.write.mode("errorifexists").parquet(target)
+                write_month(imputed, paths[m])
                 imputed = read_feed_months(spark, root, feed, [(y, m)], template)
             frame = imputed if frame is None else frame.unionByName(imputed, allowMissingColumns=True)
         feeds[feed] = frame
@@ -224,10 +262,15 @@ def main(argv=None) -> None:
     ap.add_argument("--like-for-like", action="store_true", help="baseline = same quarter and feeds")
     ap.add_argument("--align-weekdays", action="store_true", help="impute with 364-day shifts")
     ap.add_argument("--write-imputed", action="store_true", help="write rebuilt months back under --root")
-    ap.add_argument("--layout", choices=("by_flag", "sorted"), default="by_flag", help="audit table layout")
-    ap.add_argument("--local", action="store_true", help="start a local session instead of the active one")
+    ap.add_argument("--impute-only", type=lambda v: None if v == "any" else tuple(int(m) for m in v.split(",")), default=(12,),
+                    help="months that may be rebuilt, e.g. 11,12, or 'any' (default 12)")
+    ap.add_argument("--mark-imputed", action="store_true", help="carry a boolean column 'imputed' into the audit table")
+    ap.add_argument("--layout", choices=("by_flag", "sorted"), default="sorted", help="audit table layout")
+    ap.add_argument("--export-names", action="store_true", help="name the reports as existing dashboards expect them")
+    ap.add_argument("--local", action="store_true", help="run on this machine, whatever master was submitted")
     args = ap.parse_args(argv)
-    spark = local_session() if args.local or SparkSession.getActiveSession() is None else SparkSession.getActiveSession()
+    # the submitted master and settings hold unless --local asks for this machine
+    spark = local_session() if args.local else SparkSession.builder.appName("cordon-audit").getOrCreate()
     apply_cluster_conf(spark)
     if args.root:
         spec = AuditSpec()
@@ -241,13 +284,15 @@ def main(argv=None) -> None:
             spec = spec.like_for_like()
         if args.align_weekdays:
             spec = spec.with_(align_weekdays=True)
-        feeds = feeds_with_imputation(spark, args.root, spec, write_imputed=args.write_imputed)
+        spec = spec.with_(impute_only=args.impute_only)
+        feeds = feeds_with_imputation(spark, args.root, spec, write_imputed=args.write_imputed, mark_imputed=args.mark_imputed)
         baseline = {f: read_feed_months(spark, args.root, f, spec.baseline_periods) for f in spec.baseline_feed_list}
         weather = read_weather_json(spark, args.weather_json) if args.weather_json else None
     else:
         i = Inputs(spark, args.sf_dir)
         spec, feeds, baseline, weather = i.spec, i.raw_feeds, i.baseline_raw, i.weather
-    res = run_audit(spark, feeds, baseline, weather, spec, args.out, layout=args.layout)
+    res = run_audit(spark, feeds, baseline, weather, spec, args.out, layout=args.layout,
+                    keep=("imputed",) if args.root and args.mark_imputed else (), names=EXPORT_NAMES if args.export_names else None)
     print({"table": res.table_path, "flags": res.flag_counts, "written": sorted(res.written)})
 
 

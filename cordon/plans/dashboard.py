@@ -36,7 +36,7 @@ def dashboard_tables(spark: SparkSession, out_dir: str, spec: AuditSpec) -> dict
     correlation text; each is ``None`` when its source report is absent."""
     r = load_reports(spark, out_dir)
     return {
-        "border_map": border_geo(r["border"]) if r["border"] is not None else None,
+        "border_map": border_geo(r["border"], spec) if r["border"] is not None else None,
         "grid_before": velocity_grid(r["velocity_before"]) if r["velocity_before"] is not None else None,
         "grid_after": velocity_grid(r["velocity_after"]) if r["velocity_after"] is not None else None,
         "volume_kpi": volume_change_text(volume_change_kpi(r["volumes"], spec)) if r["volumes"] is not None else None,

@@ -217,10 +217,18 @@ _PREDICATES = {
 }
 
 
+def _thresholds(speed: float, duration: float, fare: float) -> str:
+    """``flag_trips`` with other limits."""
+    sql = _with("SELECT * FROM flagged", TRIP_DOUBLES + ("duration_sec", "avg_speed_mph"))
+    for old, new in ((f"WHEN avg_speed_mph > {MAX_SPEED_MPH}", f"WHEN avg_speed_mph > {speed}"),
+                     (f"WHEN duration_sec < {MIN_DURATION_SEC} AND fare > {TELEPORT_MIN_FARE}", f"WHEN duration_sec < {duration} AND fare > {fare}")):
+        sql = sql.replace(old, new)
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
-    d1, d2 = _month(Y - 2, 12), _month(Y - 1, 12)
     thr30 = f"{int(S.donors[0].fraction * 2**32):08x}"
-    return {
+    sql = {
         "unify_feeds": _with("SELECT * FROM trips", TRIP_DOUBLES),
         "missing_periods": f"""
 WITH mapped AS ({_MAPPED}),
@@ -249,13 +257,13 @@ FROM clean
 WHERE pickup_loc NOT IN ({ZONES}) AND dropoff_loc IN ({ZONES})
   AND pickup_time >= TIMESTAMP '{S.policy_start}'
 GROUP BY 1
-ORDER BY missing_surcharge_hits DESC, pickup_loc
+ORDER BY missing_surcharge_hits DESC, pickup_loc NULLS LAST
 LIMIT {S.top_leakage}
 """, ("compliance_rate",)),
         "period_volumes": _with(_VOLUMES),
         "suspicious_vendors": _with(f"""
 SELECT VendorID, forensic_flag, count(*) AS ghost_count FROM flog GROUP BY 1, 2
-ORDER BY ghost_count DESC, VendorID, forensic_flag LIMIT {S.top_vendors}
+ORDER BY ghost_count DESC, VendorID NULLS LAST, forensic_flag LIMIT {S.top_vendors}
 """),
         "border_effect": _with(_BORDER, ("change_rate",)),
         "velocity_before": _with(_velocity("baseline"), ("speed",)),
@@ -306,28 +314,52 @@ SELECT trip_key, pickup_time, pickup_time + INTERVAL '1 year' AS pickup_plus_1y,
        dropoff_time + INTERVAL '2 years' AS dropoff_plus_2y
 FROM ({_MAPPED}) t
 """,
-        "project_exclude": _with(f"""
-SELECT * EXCLUDE (tpep_pickup_datetime, tpep_dropoff_datetime)
-FROM ({_raw("yellow", f"{Y}-01-01", f"{Y + 1}-01-01")}) r
-""", RAW_DOUBLES),
+        "project_exclude": _with("SELECT * EXCLUDE (pickup_time, dropoff_time) FROM mapped", TRIP_DOUBLES),
         "zone_predicates": _with(
             "SELECT * FROM ("
             + "\nUNION ALL\n".join(
-                f"SELECT '{name}' AS predicate, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS n FROM trips"
+                f"SELECT '{name}' AS predicate, CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS n FROM mapped"
                 for name, cond in _PREDICATES.items()
             )
             + ") p"
         ),
         "topk_ties": _with("""
-SELECT pickup_loc, dropoff_loc, count(*) AS trips FROM trips GROUP BY 1, 2
-ORDER BY trips DESC, pickup_loc, dropoff_loc LIMIT 5
+SELECT pickup_loc, dropoff_loc, count(*) AS trips FROM mapped GROUP BY 1, 2
+ORDER BY trips DESC, pickup_loc NULLS LAST, dropoff_loc NULLS LAST LIMIT 5
 """),
-        "union_widening": _with(f"""
-SELECT * FROM ({_raw("yellow", *d1)}) cur
+        "union_widening": _with("""
+SELECT * FROM mapped WHERE taxi_type = 'yellow'
 UNION ALL BY NAME
-SELECT CAST(VendorID AS INTEGER) AS VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance,
-       CAST(PULocationID AS INTEGER) AS PULocationID, CAST(DOLocationID AS INTEGER) AS DOLocationID,
-       fare_amount, total_amount, trip_key
-FROM ({_raw("yellow", *d2)}) old
-""", RAW_DOUBLES),
+SELECT * EXCLUDE (congestion_surcharge) REPLACE (CAST(VendorID AS INTEGER) AS VendorID, CAST(pickup_loc AS INTEGER) AS pickup_loc,
+                                                 CAST(dropoff_loc AS INTEGER) AS dropoff_loc)
+FROM mapped WHERE taxi_type = 'green'
+""", TRIP_DOUBLES),
+        "flag_trips_thresholds": _thresholds(40, 300, 10),
+        "monthly_files": _with("""
+SELECT * REPLACE (CASE WHEN year(pickup_time) % 2 = 1 THEN congestion_surcharge END AS congestion_surcharge) FROM mapped
+""", TRIP_DOUBLES),
+        "table_roundtrip": _with(f"""
+SELECT * FROM (
+  SELECT *,
+    CASE WHEN avg_speed_mph > {MAX_SPEED_MPH} THEN '{FLAG_SPEED}'
+         WHEN duration_sec < {MIN_DURATION_SEC} AND fare > {TELEPORT_MIN_FARE} THEN '{FLAG_TELEPORT}'
+         WHEN trip_distance = 0 AND fare > 0 THEN '{FLAG_STATIONARY}' END AS forensic_flag
+  FROM (SELECT *, epoch(dropoff_time) - epoch(pickup_time) AS duration_sec,
+               trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0) AS avg_speed_mph FROM mapped) c
+) f WHERE forensic_flag IS NOT NULL
+""", TRIP_DOUBLES + ("duration_sec", "avg_speed_mph")),
+        "weather_json": _with("SELECT date, precip_mm FROM weather", ("precip_mm",)),
+        "scalar_text": _with(f"""
+SELECT (SELECT CASE WHEN isnan(c) OR c IS NULL THEN NULL ELSE printf('%.4f', c) END FROM (
+          SELECT corr(daily_trips, precip_mm) AS c FROM rain WHERE daily_trips IS NOT NULL AND precip_mm IS NOT NULL) t) AS correlation,
+       CASE WHEN v_before = 0 THEN NULL ELSE printf('%.1f%%', (v_after - v_before) / CAST(v_before AS DOUBLE) * 100.0) END AS pct_label,
+       format('{{:,}}', v_before - v_after) || ' trips' AS delta_label
+FROM (SELECT max(CASE WHEN period = '{S.baseline_label}' THEN volume END) AS v_before,
+             max(CASE WHEN period = '{S.analysis_label}' THEN volume END) AS v_after FROM ({_VOLUMES}) v) w
+"""),
     }
+    # the published run and the file round trips give what the plain operators give
+    same = {"audit_run_flag_stats": "flag_stats", "audit_run_leakage": "surcharge_leakage", "audit_run_tips": "tip_crowding",
+            "audit_run_volumes": "period_volumes", "audit_run_border": "border_effect", "audit_run_velocity_after": "velocity_after",
+            "audit_run_rain": "rain_elasticity", "sql_leakage": "surcharge_leakage", "csv_roundtrip": "velocity_after"}
+    return sql | {name: sql[plain] for name, plain in same.items()}

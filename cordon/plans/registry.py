@@ -32,6 +32,7 @@ from cordon.operators import (
     rain_daily,
     rain_elasticity,
     rain_trend,
+    raw_to_trips,
     surcharge_leakage,
     suspicious_vendors,
     tip_crowding,
@@ -40,10 +41,15 @@ from cordon.operators import (
     velocity_before,
     velocity_grid,
     volume_change_kpi,
+    volume_change_text,
 )
 from cordon.operators.impute import donor_window
-from cordon.plans.audit_run import baseline_trips
-from cordon.sources.feeds import read_parquet, time_columns
+from cordon.plans.audit_run import baseline_trips, build_reports, materialise_flags
+from cordon.plans.views import register_leakage_view, register_views
+from cordon.session import scratch_path
+from cordon.sinks import write_report_csv, write_scalar, write_table
+from cordon.sources.feeds import read_feed, read_parquet, time_columns
+from cordon.sources.files import read_report_csv, read_scalar, read_weather_json
 from cordon.sources.tables import (
     TRIP_KEY,
     events_weather,
@@ -127,7 +133,7 @@ class Inputs:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return flag_trips(self.trips)
+        return flag_trips(self.trips, self.spec)
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -289,7 +295,7 @@ def q_velocity_grid_after(spark, sf_dir):
 @query("border_geo")
 def q_border_geo(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return finish(border_geo(border_effect(i.baseline, i.clean, i.spec)))
+    return finish(border_geo(border_effect(i.baseline, i.clean, i.spec), i.spec))
 
 
 @query("volume_change_kpi")
@@ -352,14 +358,13 @@ def q_shift_year(spark, sf_dir):
 
 @query("project_exclude")
 def q_project_exclude(spark, sf_dir):
-    """``* EXCLUDE (pickup, dropoff)`` on the raw yellow feed of the analysis year."""
-    i = Inputs(spark, sf_dir)
-    return finish(i.raw_feeds["yellow"].drop(*time_columns("yellow")))
+    """``* EXCLUDE (pickup, dropoff)`` on every trip."""
+    return finish(lineitem_trips(Inputs(spark, sf_dir).lineitem).drop("pickup_time", "dropoff_time"))
 
 
 @query("zone_predicates")
 def q_zone_predicates(spark, sf_dir):
-    """F1-F9 as labelled counts over the unified trips, one pass and one tiny shuffle."""
+    """F1-F9 as labelled counts over every trip, one pass and one tiny shuffle."""
     i = Inputs(spark, sf_dir)
     s = i.spec
     preds = {
@@ -374,31 +379,129 @@ def q_zone_predicates(spark, sf_dir):
         "surcharge_null": F.col("congestion_surcharge").isNull(),
         "fare_positive": F.col("fare") > 0,
     }
-    counts = i.trips.agg(*[F.count_if(c).alias(name) for name, c in preds.items()])
+    counts = lineitem_trips(i.lineitem).agg(*[F.count_if(c).alias(name) for name, c in preds.items()])
     return counts.unpivot([], list(preds), "predicate", "n").select("predicate", F.col("n").cast("bigint").alias("n"))
 
 
 @query("topk_ties")
 def q_topk_ties(spark, sf_dir):
     """O1: top 5 (pickup, dropoff) pairs by trips, ties broken by the key."""
-    trips = Inputs(spark, sf_dir).trips
+    trips = lineitem_trips(Inputs(spark, sf_dir).lineitem)
     pairs = trips.groupBy("pickup_loc", "dropoff_loc").agg(F.count(F.lit(1)).alias("trips"))
-    return pairs.orderBy(F.desc("trips"), "pickup_loc", "dropoff_loc").limit(5)
+    return pairs.orderBy(F.desc("trips"), F.asc_nulls_last("pickup_loc"), F.asc_nulls_last("dropoff_loc")).limit(5)
+
+
+def _older(trips: DataFrame) -> DataFrame:
+    """Trips in an older file schema: narrower ids, no surcharge column."""
+    return trips.withColumns({c: F.col(c).cast("int") for c in ("VendorID", "pickup_loc", "dropoff_loc")}).drop("congestion_surcharge")
 
 
 @query("union_widening")
 def q_union_widening(spark, sf_dir):
-    """A current-schema month unioned by name with an older-schema month
+    """One feed in the current schema unioned by name with the other in an older one
     (narrower id types, no surcharge column); missing -> null, ints widened."""
+    trips = lineitem_trips(Inputs(spark, sf_dir).lineitem)
+    return finish(trips.filter("taxi_type = 'yellow'").unionByName(_older(trips.filter("taxi_type = 'green'")), allowMissingColumns=True))
+
+
+@query("flag_trips_thresholds")
+def q_flag_trips_thresholds(spark, sf_dir):
+    """The flag rule with other limits."""
+    spec = fixture_spec().with_(max_speed_mph=40, min_duration_sec=300, teleport_min_fare=10)
+    i = Inputs(spark, sf_dir, spec)
+    return finish(flag_trips(i.trips, spec))
+
+
+# ------------------------------------------------------------- the published audit run
+
+def _published(spark, sf_dir) -> dict[str, DataFrame]:
+    """Reports as ``run_audit`` makes them: table written, cubes written, reports from those."""
     i = Inputs(spark, sf_dir)
-    y = i.spec.analysis_year
-    current = i.feed_month("yellow", y - 2, 12)
-    older = i.feed_month("yellow", y - 1, 12).select(
-        F.col("VendorID").cast("int").alias("VendorID"),
-        *time_columns("yellow"),
-        "trip_distance",
-        F.col("PULocationID").cast("int").alias("PULocationID"),
-        F.col("DOLocationID").cast("int").alias("DOLocationID"),
-        "fare_amount", "total_amount", TRIP_KEY,
-    )
-    return finish(current.unionByName(older, allowMissingColumns=True))
+    _, counts, audited = materialise_flags(spark, i.trips, spec=i.spec)
+    reports, scalars = build_reports(audited, i.baseline, i.weather, i.spec, flag_counts=counts)
+    return reports | {name: df for name, (df, _) in scalars.items()}
+
+
+def _published_query(name: str, report: str):
+    query(name)(lambda spark, sf_dir: finish(_published(spark, sf_dir)[report]))
+
+
+for _name, _report in (("audit_run_flag_stats", "flag_stats"), ("audit_run_leakage", "leakage"), ("audit_run_tips", "tips"),
+                       ("audit_run_volumes", "volumes"), ("audit_run_border", "border"), ("audit_run_velocity_after", "velocity_after"),
+                       ("audit_run_rain", "rain_stats")):
+    _published_query(_name, _report)
+
+
+# --------------------------------------------------------------- files, views, scalars
+
+MONTH_FOLDERS = "{root}/feed={feed}/year={year}/month={month}"
+
+
+@query("monthly_files")
+def q_monthly_files(spark, sf_dir):
+    """Every trip written as monthly folders per feed, even years in an older schema, and all
+    months read back as one feed each."""
+    i = Inputs(spark, sf_dir)
+    root = scratch_path(spark, "monthly")
+    trips = lineitem_trips(i.lineitem)
+    years = trips.agg(F.min(F.year("pickup_time")).alias("lo"), F.max(F.year("pickup_time")).alias("hi")).first()
+    for feed in i.spec.feeds:
+        pickup, dropoff = time_columns(feed)
+        raw = trips.filter(F.col("taxi_type") == feed).withColumns({"year": F.year("pickup_time"), "month": F.month("pickup_time")})
+        renamed = {"pickup_time": pickup, "dropoff_time": dropoff, "pickup_loc": "PULocationID", "dropoff_loc": "DOLocationID", "fare": "fare_amount"}
+        for part in (raw.filter("year % 2 = 1"), _older(raw.filter("year % 2 = 0"))):
+            part.drop("taxi_type").withColumnsRenamed(renamed).repartition("year", "month") \
+                .write.mode("append").partitionBy("year", "month").parquet(f"{root}/feed={feed}")
+    if years["lo"] is None:
+        return finish(trips)
+    frames = [raw_to_trips(read_feed(spark, root, feed, range(years["lo"], years["hi"] + 1), template=MONTH_FOLDERS, complete_only=False),
+                           feed, fill_surcharge=False, keep=[TRIP_KEY]) for feed in i.spec.feeds]
+    return finish(frames[0].unionByName(frames[1]))
+
+
+@query("sql_leakage")
+def q_sql_leakage(spark, sf_dir):
+    """The leakage report read with SQL from its view."""
+    i = Inputs(spark, sf_dir)
+    register_views(spark, i.raw_feeds, prefix="audit_views_", spec=i.spec)
+    register_leakage_view(spark, i.spec, "audit_views_clean_trips", "audit_views_leakage")
+    return finish(spark.sql("SELECT * FROM audit_views_leakage"))
+
+
+@query("table_roundtrip")
+def q_table_roundtrip(spark, sf_dir):
+    """A table of all flagged and clean trips, replaced by one of the flagged alone."""
+    i = Inputs(spark, sf_dir)
+    flagged = flag_trips(lineitem_trips(i.lineitem), i.spec)
+    path = scratch_path(spark, "table")
+    write_table(flagged, path, partition_by=["forensic_flag"])
+    write_table(audit_log(flagged), path, partition_by=["forensic_flag"])
+    return finish(spark.read.schema(flagged.schema).parquet(path))
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """The speed report as CSV and back."""
+    i = Inputs(spark, sf_dir)
+    report = velocity_after(i.clean, i.spec)
+    path = write_report_csv(report, scratch_path(spark, "speeds.csv"))
+    return finish(read_report_csv(spark, path, report.schema))
+
+
+@query("scalar_text")
+def q_scalar_text(spark, sf_dir):
+    """The correlation as written text, read back, beside the KPI's display texts."""
+    i = Inputs(spark, sf_dir)
+    text = read_scalar(spark, write_scalar(rain_elasticity(i.rain), "correlation", scratch_path(spark, "rain_stats.txt")))
+    kpi = volume_change_text(volume_change_kpi(period_volumes(i.baseline, i.clean, i.spec), i.spec))
+    return kpi.select(F.lit(text).cast("string").alias("correlation"), "pct_label", "delta_label")
+
+
+@query("weather_json")
+def q_weather_json(spark, sf_dir):
+    """Daily weather written as one JSON object of parallel arrays (a value per day) and read back."""
+    days = Inputs(spark, sf_dir).weather.agg(F.sort_array(F.collect_list(F.struct("date", "precip_mm"))).alias("d"))
+    path = scratch_path(spark, "weather.json")
+    daily = F.struct(F.transform("d.date", lambda x: x.cast("string")).alias("time"), F.col("d.precip_mm").alias("precipitation_sum"))
+    days.select(F.to_json(F.struct(daily.alias("daily"))).alias("value")).write.text(path)
+    return finish(read_weather_json(spark, path))

@@ -8,16 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cordon.operators import audit_log, clean_trips, flag_trips, unify_feeds
+from cordon.operators import audit_log, clean_trips, flag_trips, surcharge_leakage, unify_feeds
 from cordon.spec import AuditSpec
 
 
 def register_views(spark: SparkSession, raw_feeds: dict[str, DataFrame], baseline_raw: DataFrame | None = None,
-                   audited: DataFrame | None = None, prefix: str = "") -> dict[str, DataFrame]:
+                   audited: DataFrame | None = None, prefix: str = "", spec: AuditSpec = AuditSpec()) -> dict[str, DataFrame]:
     """Create or replace ``trips_raw``, ``audit_results``, ``audit_log``, ``clean_trips``
     (and ``baseline_raw``).  ``audited`` may be a materialised flagged table."""
     trips = unify_feeds(raw_feeds)
-    flagged = audited if audited is not None else flag_trips(trips)
+    flagged = audited if audited is not None else flag_trips(trips, spec)
     views = {
         "trips_raw": trips,
         "audit_results": flagged,
@@ -31,21 +31,9 @@ def register_views(spark: SparkSession, raw_feeds: dict[str, DataFrame], baselin
     return views
 
 
-def leakage_sql(spec: AuditSpec, view: str = "clean_trips") -> str:
-    """The leakage report in SQL over the ``clean_trips`` view."""
-    zones = ", ".join(map(str, spec.zone_ids))
-    return f"""
-        WITH entering AS (
-          SELECT pickup_loc, congestion_surcharge FROM {view}
-          WHERE pickup_loc NOT IN ({zones}) AND dropoff_loc IN ({zones})
-            AND pickup_time >= TIMESTAMP_NTZ '{spec.policy_start}'
-        )
-        SELECT pickup_loc,
-               COUNT(*) AS trip_count,
-               AVG(CASE WHEN congestion_surcharge > 0 THEN 1 ELSE 0 END) AS compliance_rate,
-               CAST(SUM(CASE WHEN congestion_surcharge = 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing_surcharge_hits
-        FROM entering
-        GROUP BY 1
-        ORDER BY missing_surcharge_hits DESC, pickup_loc
-        LIMIT {spec.top_leakage}
-    """
+def register_leakage_view(spark: SparkSession, spec: AuditSpec, source: str = "clean_trips", name: str = "leakage_report") -> DataFrame:
+    """The leakage report as a view of its own over ``clean_trips``, so that SQL users read the same
+    definition as everyone else: ``SELECT * FROM leakage_report``."""
+    report = surcharge_leakage(spark.table(source), spec)
+    report.createOrReplaceTempView(name)
+    return report

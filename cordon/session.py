@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,12 +38,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_work_dir(spark: SparkSession) -> str:
     """Return the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a fresh scratch folder set.
+    Only on a local master is a fresh scratch folder set where the session has none; on a
+    cluster, a folder of the driver's machine would be another one on each executor.
     """
     current = work_dir(spark)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master or ""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"{CHECKPOINT_KEY} is not set: a cluster ({master}) needs a folder that all its executors share")
     path = tempfile.mkdtemp(prefix="cordon-ckpt-")
     spark.conf.set(CHECKPOINT_KEY, path)
     spark.sparkContext.setCheckpointDir(path)
@@ -72,7 +77,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 # static (set when the session is built): no Python call-site capture per Column call
 BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}

@@ -9,7 +9,9 @@ stays its own scan: column pruning and pushed filters still apply per file.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,10 +90,12 @@ def read_feed_months(
     paths = [feed_path(root, feed, y, m, template) for y, m in periods]
     if not paths:
         raise ValueError("no periods given")
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    frames = [conform(spark.read.parquet(*group), feed) for group in groups.values()]
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    with ThreadPoolExecutor(max_workers=min(8, len(paths))) as pool:  # a footer each, no data
+        schemas = list(pool.map(lambda p: read_parquet(spark, p).schema, paths))
+    for path, schema in zip(paths, schemas):
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    frames = [conform(spark.read.schema(schema).parquet(*group), feed) for schema, group in groups.values()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -102,26 +106,58 @@ def read_feed(
     spark: SparkSession,
     root: str,
     feed: str,
-    year: int,
+    year: int | Iterable[int],
     months: Iterable[int] = range(1, 13),
     template: str = DEFAULT_TEMPLATE,
     skip_missing: bool = True,
+    complete_only: bool = True,
 ) -> DataFrame:
-    """All monthly files of one feed and year; absent months are skipped like a glob."""
-    periods = [(year, m) for m in months]
+    """All monthly files of one feed and year (or years); absent months are skipped like a glob, and so are
+    folders without a ``_SUCCESS`` mark unless ``complete_only`` is off (one write may fill many months)."""
+    months = list(months)
+    periods = [(y, m) for y in ([year] if isinstance(year, int) else year) for m in months]
     if skip_missing:
-        periods = [(y, m) for y, m in periods if path_exists(spark, feed_path(root, feed, y, m, template))]
+        there = is_complete if complete_only else path_exists
+        periods = [(y, m) for y, m in periods if there(spark, feed_path(root, feed, y, m, template))]
     return read_feed_months(spark, root, feed, periods, template)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return bool(fs.exists(jpath))
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a month is there as a whole: a file, or a folder that its writer marked ``_SUCCESS``."""
+    fs, jpath = _file_system(spark, path)
+    if not fs.exists(jpath):
+        return False
+    return bool(fs.getFileStatus(jpath).isFile()) or path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def write_month(df: DataFrame, path: str) -> None:
+    """Write a month beside its place and rename it there when it is whole, so that no reader ever sees part
+    of it.  What an earlier, broken write left in the place is moved aside, not deleted."""
+    spark, tag = df.sparkSession, uuid.uuid4().hex[:12]
+    head, _, name = path.rstrip("/").rpartition("/")
+    building, aside = f"{head}/_building-{tag}-{name}", f"{head}/_incomplete-{tag}-{name}"
+    df.write.mode("errorifexists").parquet(building)
+    fs, place = _file_system(spark, path)
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if is_complete(spark, path):
+        raise FileExistsError(path)
+    if fs.exists(place) and not fs.rename(place, to_path(aside)):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(to_path(building), place):
+        raise OSError(f"cannot rename {building} to {path}")
+
+
 # footer schemas of single parquet files, keyed by (path, length, modification time)
 _SCHEMA_CACHE: dict[tuple[str, int, int], T.StructType] = {}
 

@@ -7,6 +7,7 @@ here they live in one frozen dataclass so that every operator is a pure function
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 # ---------------------------------------------------------------------------
@@ -78,16 +79,23 @@ class AuditSpec:
     border_ids: tuple[int, ...] = BORDER_IDS
     feeds: tuple[str, ...] = FEEDS
     # imputation of a missing month from earlier years (row mixture); ``impute_only``
-    # limits which absent months are rebuilt (the reference: only (12,), other gaps
-    # skipped); None rebuilds any absent month
+    # limits which absent months are rebuilt: December alone by default, other gaps stay
+    # gaps, so a year in progress can be audited; None rebuilds any absent month
     impute_month: int = 12
-    impute_only: tuple[int, ...] | None = None
+    impute_only: tuple[int, ...] | None = (12,)
     donors: tuple[Donor, ...] = field(default_factory=lambda: (Donor(2, 0.3), Donor(1, 0.7)))
     # shift donors by whole years (reference) or by 364 days per year, which keeps the
     # weekday; with the latter the donor window is the target month moved back as much
     align_weekdays: bool = False
     top_leakage: int = 3
     top_vendors: int = 5
+    # flag rule
+    max_speed_mph: float = MAX_SPEED_MPH
+    min_duration_sec: float = MIN_DURATION_SEC
+    teleport_min_fare: float = TELEPORT_MIN_FARE
+    # map points of the border report
+    zone_coords: Mapping[int, tuple[float, float]] = field(default_factory=lambda: dict(ZONE_COORDS))
+    default_coord: tuple[float, float] = DEFAULT_COORD
 
     @property
     def baseline_label(self) -> str:

@@ -17,10 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 from cordon.operators.flags import flag_trips
 from cordon.operators.unify import raw_to_trips
 from cordon.sources.feeds import raw_schema
+from cordon.spec import AuditSpec
 
 
-def feed_glob(root: str, feed: str) -> str:
-    return f"{root.rstrip('/')}/{feed}_tripdata_*.parquet"
+def feed_glob(root: str, feed: str, year: int) -> str:
+    """The monthly files of one year: donor and baseline years lie in the same folder."""
+    return f"{root.rstrip('/')}/{feed}_tripdata_{year}-*.parquet"
 
 
 def start_incremental_audit(
@@ -31,13 +33,14 @@ def start_incremental_audit(
     checkpoint: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    spec: AuditSpec = AuditSpec(),
 ) -> StreamingQuery:
-    """Start (or resume) the stream for one feed; returns the running query."""
+    """Start (or resume) the stream for one feed's files of the analysis year; returns the running query."""
     reader = spark.readStream.schema(raw_schema(feed))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.parquet(feed_glob(root, feed))
-    flagged = flag_trips(raw_to_trips(raw, feed))
+    raw = reader.parquet(feed_glob(root, feed, spec.analysis_year))
+    flagged = flag_trips(raw_to_trips(raw, feed), spec)
     writer = (
         flagged.writeStream.format("parquet")
         .outputMode("append")
@@ -56,9 +59,9 @@ def feed_table_path(table_root: str, feed: str) -> str:
 
 
 def start_incremental_audits(spark: SparkSession, root: str, feeds, table_root: str,
-                             available_now: bool = True) -> list[StreamingQuery]:
+                             available_now: bool = True, spec: AuditSpec = AuditSpec()) -> list[StreamingQuery]:
     """One stream per feed, each into :func:`feed_table_path`."""
-    return [start_incremental_audit(spark, root, f, feed_table_path(table_root, f), available_now=available_now)
+    return [start_incremental_audit(spark, root, f, feed_table_path(table_root, f), available_now=available_now, spec=spec)
             for f in feeds]
 
 

@@ -12,7 +12,7 @@ from cordon.plans.registry import Inputs
 from cordon.sinks import write_report_csv, write_scalar, write_table
 from cordon.sources import read_feed, read_report_csv, read_scalar, read_weather_json
 from cordon.sources.feeds import feed_path, raw_schema
-from cordon.spec import fixture_spec
+from cordon.spec import Donor, fixture_spec
 
 from conftest import SF_SMALL
 
@@ -101,9 +101,11 @@ def test_partition_overwrite_is_dynamic(spark, scratch):
     path = f"{scratch}/t"
     a = spark.createDataFrame([(1, "x"), (2, "y")], "v int, p string")
     write_table(a, path, partition_by=["p"])
-    write_table(spark.createDataFrame([(3, "y")], "v int, p string"), path, partition_by=["p"])
+    write_table(spark.createDataFrame([(3, "y")], "v int, p string"), path, partition_by=["p"], replace_partitions=True)
     got = sorted(map(tuple, spark.read.parquet(path).select("v", "p").collect()))
     assert got == [(1, "x"), (3, "y")]
+    write_table(spark.createDataFrame([(4, "y")], "v int, p string"), path, partition_by=["p"])  # the whole table
+    assert [tuple(r) for r in spark.read.parquet(path).select("v", "p").collect()] == [(4, "y")]
 
 
 def test_weather_json_parallel_arrays(spark, scratch):
@@ -185,3 +187,104 @@ def test_impute_only_december_skips_other_gaps(spark, scratch):
     y = feeds_with_imputation(spark, scratch, spec)["yellow"]
     months = {r[0] for r in y.select(F.month("tpep_pickup_datetime")).distinct().collect()}
     assert 12 in months and 6 not in months
+
+
+def test_a_second_run_replaces_the_first_ones_rows(spark, scratch):
+    i = Inputs(spark, SF_SMALL)
+    path = f"{scratch}/audit"
+    for layout in ("by_flag", "sorted"):
+        run_audit(spark, i.raw_feeds, i.baseline_raw, None, i.spec, f"{scratch}/out", table_path=path, layout=layout)
+        few = {f: df.filter("trip_distance > 0 AND fare_amount < 15") for f, df in i.raw_feeds.items()}
+        res = run_audit(spark, few, i.baseline_raw, None, i.spec, f"{scratch}/out", table_path=path, layout=layout)
+        table = spark.read.parquet(path)
+        assert table.count() == res.flag_counts["trips"]
+        assert table.filter("forensic_flag = 'Teleporter'").count() == res.flag_counts["Teleporter"] == 0
+
+
+def test_the_imputed_mark_outlives_a_second_run(spark, scratch):
+    spec = fixture_spec().with_(feeds=("yellow",))
+    land_months(spark, scratch, "yellow", [(2000, m) for m in range(1, 12)] + [(1998, 12), (1999, 12)])
+    first = feeds_with_imputation(spark, scratch, spec, write_imputed=True, mark_imputed=True)["yellow"]
+    counts = lambda df: {r.imputed: r["count"] for r in df.groupBy("imputed").count().collect()}
+    want = counts(first)
+    assert set(want) == {True, False}
+    assert counts(feeds_with_imputation(spark, scratch, spec, write_imputed=True, mark_imputed=True)["yellow"]) == want
+
+
+def test_a_half_written_month_is_rebuilt(spark, scratch):
+    spec = fixture_spec().with_(feeds=("yellow",))
+    land_months(spark, scratch, "yellow", [(2000, m) for m in range(1, 12)] + [(1998, 12), (1999, 12)])
+    whole = feeds_with_imputation(spark, scratch, spec, write_imputed=True)["yellow"].count()
+    december = feed_path(scratch, "yellow", 2000, 12)
+    os.remove(f"{december}/_SUCCESS")
+    part = next(f for f in os.listdir(december) if f.startswith("part-"))
+    os.remove(f"{december}/{part}")
+    assert feeds_with_imputation(spark, scratch, spec, write_imputed=True)["yellow"].count() == whole
+    assert os.path.exists(f"{december}/_SUCCESS")
+    os.remove(f"{feed_path(scratch, 'yellow', 2000, 3)}/_SUCCESS")
+    with pytest.raises(ValueError, match="2000-03"):
+        feeds_with_imputation(spark, scratch, spec)
+
+
+def test_nine_landed_months_can_be_audited(spark, scratch):
+    spec = fixture_spec().with_(feeds=("yellow",))
+    land_months(spark, scratch, "yellow", [(2000, m) for m in range(1, 10)] + [(1998, 12), (1999, 12)])
+    y = feeds_with_imputation(spark, scratch, spec)["yellow"]
+    assert {r[0] for r in y.select(F.month("tpep_pickup_datetime")).distinct().collect()} <= {*range(1, 10), 12}
+    only = feeds_with_imputation(spark, scratch, spec.with_(impute_only=()))["yellow"]
+    assert only.filter(F.month("tpep_pickup_datetime") == 12).count() == 0
+    with pytest.raises(FileNotFoundError, match="green"):
+        feeds_with_imputation(spark, scratch, spec.with_(feeds=("green",)))
+
+
+def test_donor_files_are_sampled_whole(spark, scratch):
+    """Stray pickups in a donor file belong to the file, as they do for the reader of it."""
+    spec = fixture_spec().with_(feeds=("yellow",), donors=(Donor(1, 1.0),))
+    land_months(spark, scratch, "yellow", [(2000, m) for m in range(1, 12)])
+    i = Inputs(spark, SF_SMALL)
+    stray = i.feed_month("yellow", 1999, 12).unionByName(i.feed_month("yellow", 1999, 11).limit(4))
+    stray.coalesce(1).write.parquet(feed_path(scratch, "yellow", 1999, 12))
+    y = feeds_with_imputation(spark, scratch, spec, mark_imputed=True)["yellow"]
+    assert y.filter("imputed").count() == stray.count()
+
+
+def test_kept_columns_are_found_in_any_case(spark):
+    from cordon.operators import raw_to_trips
+
+    raw = Inputs(spark, SF_SMALL).feed_month("yellow", 2000, 1).withColumn("Airport_fee", F.lit(1.25))
+    assert {r[0] for r in raw_to_trips(raw, "yellow", keep=("airport_fee",)).select("airport_fee").collect()} == {1.25}
+
+
+def test_reports_under_the_names_dashboards_read(spark, scratch):
+    from cordon.plans.audit_run import EXPORT_NAMES
+
+    i = Inputs(spark, SF_SMALL)
+    run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, f"{scratch}/out", names=EXPORT_NAMES)
+    for name in ("leakage_report.csv", "q1_decline.csv", "velocity_24.csv", "rain_data.csv", "rain_stats.txt"):
+        assert os.path.exists(f"{scratch}/out/{name}/_SUCCESS")
+
+
+def test_the_submitted_master_holds_and_a_cluster_needs_a_shared_folder(scratch):
+    """In sessions of their own: the CLI takes the submitted master; without a shared folder only a local master gets one."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cli = f"""
+import os, sys
+os.environ["PYSPARK_SUBMIT_ARGS"] = "--master local[2] --conf spark.ui.enabled=false --conf spark.checkpoint.dir={scratch}/ckpt pyspark-shell"
+from cordon.plans.audit_run import main
+main(["--sf-dir", "{SF_SMALL}", "--out", "{scratch}/cli"])
+from pyspark.sql import SparkSession
+print("MASTER", SparkSession.getActiveSession().sparkContext.master)
+"""
+    done = subprocess.run([sys.executable, "-c", cli], cwd=root, capture_output=True, text=True, timeout=300)
+    assert "MASTER local[2]" in done.stdout, done.stderr[-2000:]
+    from types import SimpleNamespace
+
+    from cordon.session import ensure_work_dir
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None),
+                              sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: {}))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_work_dir(cluster)

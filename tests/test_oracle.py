@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
-from cordon.plans.compare import compare, duck_connection
+from __spark_entry__ import entry, oracle_sql
+from cordon.plans.registry import registry as queries
+from tools.compare import compare, duck_connection
 
 from conftest import SF_SMALL
 
@@ -16,7 +17,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(oracle_sql()) == NAMES
+    assert set(NAMES) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

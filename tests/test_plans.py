@@ -59,8 +59,8 @@ def test_reports_read_the_written_tables(spark, scratch):
     from cordon.plans.registry import Inputs
 
     i = Inputs(spark, SF_SMALL)
-    _, _, audited = materialise_flags(spark, i.trips, f"{scratch}/audit")
-    reports, _ = build_reports(audited, i.baseline, i.weather, i.spec, cube_path=f"{scratch}/cube")
+    _, _, audited = materialise_flags(spark, i.trips, f"{scratch}/audit", layout="by_flag")
+    reports, _ = build_reports(audited, i.baseline, i.weather, i.spec, work_path=f"{scratch}/cube")
     # clean-trip reports read the small cube table, never the trips
     for name in ("leakage", "tips", "velocity_after"):
         locations = [line for line in plan(reports[name]).splitlines() if line.startswith("Location:")]
@@ -78,11 +78,38 @@ def test_sorted_layout_gives_same_reports_and_pushes_null_filters(spark, scratch
     _, counts_a, by_flag = materialise_flags(spark, i.trips, f"{scratch}/a", layout="by_flag")
     _, counts_b, by_sort = materialise_flags(spark, i.trips, f"{scratch}/b", layout="sorted")
     assert counts_a == counts_b
-    ra, _ = build_reports(by_flag, i.baseline, i.weather, i.spec, cube_path=f"{scratch}/ca")
-    rb, _ = build_reports(by_sort, i.baseline, i.weather, i.spec, cube_path=f"{scratch}/cb")
+    ra, _ = build_reports(by_flag, i.baseline, i.weather, i.spec, work_path=f"{scratch}/ca")
+    rb, _ = build_reports(by_sort, i.baseline, i.weather, i.spec, work_path=f"{scratch}/cb")
     for name in ("leakage", "vendors", "tips", "volumes", "border", "velocity_after", "flag_stats"):
         a = sorted(map(tuple, ra[name].collect()), key=str)
         b = sorted(map(tuple, rb[name].collect()), key=str)
         assert a == b, name
     p = plan(rb["vendors"])
     assert any("IsNotNull(forensic_flag)" in line for line in p.splitlines() if line.startswith("PushedFilters"))
+
+
+def test_a_run_reads_baseline_and_weather_once(spark, scratch):
+    """Counted as plans are executed: only the cube writes scan the sources."""
+    from cordon.plans.audit_run import run_audit
+    from cordon.plans.registry import Inputs
+
+    i = Inputs(spark, SF_SMALL)
+    for name in ("trips", "base", "weather"):
+        frame = {"trips": i.feed_year("yellow", 2000), "base": i.baseline_raw, "weather": i.weather}[name]
+        frame.write.parquet(f"{scratch}/{name}")
+    read = lambda name: spark.read.parquet(f"{scratch}/{name}")
+    seen = {"trips": 0, "base": 0, "weather": 0}
+    result = run_audit(spark, {"yellow": read("trips")}, read("base"), read("weather"), i.spec, f"{scratch}/out")
+    for df in result.reports.values():  # the published reports read written tables only
+        for name in seen:
+            seen[name] += plan(df).count(f"{scratch}/{name}]")
+    assert seen == {"trips": 0, "base": 0, "weather": 0}
+
+
+def test_final_aggregates_keep_their_partitions(spark):
+    from cordon.operators import tip_crowding, velocity_before, velocity_grid
+    from cordon.plans.registry import Inputs
+
+    i = Inputs(spark, SF_SMALL)
+    for df in (tip_crowding(i.clean, i.spec), velocity_grid(velocity_before(i.baseline, i.spec))):
+        assert "Coalesce" not in plan(df).replace("coalesce", "")

@@ -185,8 +185,8 @@ def test_border_time_bounds(spark):
     assert border_effect(base, clean, SPEC).first().count_25 == 2
     bounded = SPEC.with_(border_start="2025-01-01", border_end="2025-04-01")
     assert border_effect(base, clean, bounded).first().count_25 == 1
-    from cordon.operators.onepass import border_after_from, clean_report_cube
-    assert border_after_from(clean_report_cube(clean, bounded)).first().count_25 == 1
+    from cordon.operators.onepass import border_from, clean_report_cube
+    assert border_from(clean_report_cube(clean, bounded), "count_25").first().count_25 == 1
 
 
 def test_weather_failure_modes(spark, tmp_path):

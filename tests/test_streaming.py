@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cordon.operators import flag_trips, raw_to_trips
 from cordon.plans.registry import Inputs
 from cordon.sources.feeds import feed_path
+from cordon.spec import fixture_spec
 from cordon.streaming import start_incremental_audit
 
 from conftest import SF_SMALL
@@ -20,14 +21,16 @@ def test_incremental_runs_process_new_files_once(spark, scratch):
 
     land(1)
     land(2)
-    q = start_incremental_audit(spark, landing, "yellow", table)
+    # a baseline year's file in the same folder is none of the stream's
+    i.feed_month("yellow", 1999, 1).drop("trip_key").coalesce(1).write.parquet(feed_path(landing, "yellow", 1999, 1))
+    q = start_incremental_audit(spark, landing, "yellow", table, spec=fixture_spec())
     q.awaitTermination(120)
     first = spark.read.parquet(table).count()
     expected12 = sum(i.feed_month("yellow", 2000, m).count() for m in (1, 2))
     assert first == expected12
 
     land(3)
-    q = start_incremental_audit(spark, landing, "yellow", table)  # resumes from the checkpoint
+    q = start_incremental_audit(spark, landing, "yellow", table, spec=fixture_spec())  # resumes from the checkpoint
     q.awaitTermination(120)
     out = spark.read.parquet(table)
     assert out.count() == expected12 + i.feed_month("yellow", 2000, 3).count()
@@ -46,7 +49,7 @@ def test_both_feeds_stream_into_their_own_folders(spark, scratch):
     landing, table = f"{scratch}/landing", f"{scratch}/audit"
     for feed in ("yellow", "green"):
         i.feed_month(feed, 2000, 1).drop("trip_key").coalesce(1).write.parquet(feed_path(landing, feed, 2000, 1))
-    for q in start_incremental_audits(spark, landing, ["yellow", "green"], table):
+    for q in start_incremental_audits(spark, landing, ["yellow", "green"], table, spec=fixture_spec()):
         q.awaitTermination(120)
     out = read_incremental_table(spark, table, ["yellow", "green"])
     want = {f: i.feed_month(f, 2000, 1).count() for f in ("yellow", "green")}

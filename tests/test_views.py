@@ -2,7 +2,7 @@
 
 from cordon.operators import surcharge_leakage
 from cordon.plans.registry import Inputs
-from cordon.plans.views import leakage_sql, register_views
+from cordon.plans.views import register_leakage_view, register_views
 
 from conftest import SF_MID
 
@@ -10,7 +10,8 @@ from conftest import SF_MID
 def test_sql_views_match_dataframe_reports(spark):
     i = Inputs(spark, SF_MID)
     register_views(spark, i.raw_feeds, i.baseline_raw)
-    via_sql = spark.sql(leakage_sql(i.spec)).collect()
+    register_leakage_view(spark, i.spec)
+    via_sql = spark.sql("SELECT * FROM leakage_report").collect()
     via_df = surcharge_leakage(i.clean, i.spec).collect()
     assert [tuple(r) for r in via_sql] == [tuple(r) for r in via_df]
     assert [(r.pickup_loc, r.trip_count, r.missing_surcharge_hits) for r in via_sql] == \
