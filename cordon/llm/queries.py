@@ -37,7 +37,7 @@ def op4_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cordon.llm.jaccard import similar_components
 
     found = similar_components(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def op5_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
