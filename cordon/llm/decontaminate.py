@@ -25,7 +25,7 @@ GRAM = 3
 STRIDE = 4
 SLICE = 1_000_000
 #: a document is contaminated from this share of the best score on
-LIMIT = 0.5
+LIMIT = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1
 _FILTER = 1 << 20
 _PAIRS = 512
