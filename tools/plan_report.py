@@ -1,7 +1,7 @@
 """Summarise the executed physical plan of every registered query as markdown.
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
-Runs each query (noop sink) so that AQE's final plan is reported.
+Collects each query's result so that AQE's final plan is reported.
 """
 
 from __future__ import annotations
