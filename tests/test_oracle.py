@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
+from functools import cache
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql
@@ -19,8 +21,7 @@ def con():
 @pytest.fixture(scope="module")
 def frame(spark):
     """Each query built once: some write tables first."""
-    built = {}
-    return lambda name: built.setdefault(name, None) or built.update({name: queries()[name](spark, SF_SMALL)}) or built[name]
+    return cache(lambda name: queries()[name](spark, SF_SMALL))
 
 
 def test_every_query_has_an_oracle():
