@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.llm.scratch import written
+from cordon.llm.scratch import discard, written
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -29,7 +29,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = written(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "links")
     mark = None
     while True:
-        now = written(_star(_star(now, True), False), "stars")
+        before, now = now, written(_star(_star(now, True), False), "stars")
+        discard(before)
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

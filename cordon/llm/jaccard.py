@@ -31,15 +31,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm.components import components
-from cordon.llm.scratch import written
+from cordon.llm.scratch import discard, written
 from cordon.llm.wordhash import mix, shingle_sets
 
 WORDS = 5
 THRESHOLD = Fraction(8, 10)
 #: shingles are counted by this many hash slots, to put frequent ones last in the pivots' order
 SLOTS = 1 << 16
-#: regions of up to so many points are compared in one go
+#: regions of up to so many points are compared in one go in the first round of the recursion; twice as many in the next
 SMALL = 24
+#: a point's profile: how many of its shingles fall into each of so many parts of their universe
+PARTS = 256
 #: members of a pivot in one group of the distance step
 GROUP = 512
 
@@ -54,26 +56,28 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 
 def _points(rows: DataFrame, k: int) -> DataFrame:
-    """``kind, id, tie, n, point``: of each row (kind 0) its set's size and hash; and (kind 1) counts of
-    shingles by slot, summed per task."""
-    names = ["kind", "id", "tie", "n", "point"]
+    """``kind, id, tie, n, point, profile``: of each row (kind 0) its set's size, hash and profile; and
+    (kind 1) counts of shingles by slot, summed per task."""
+    names = ["kind", "id", "tie", "n", "point", "profile"]
 
     def run(batches):
         slots = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            n, point, seen = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64), []
+            n, point, seen, profile = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64), [], [b""] * batch.num_rows
             for i, s in shingle_sets(batch.column(1), k):
                 n[i], point[i] = len(s), mix(s).sum(dtype=np.uint64)
                 seen.append(s & np.uint64(SLOTS - 1))
+                profile[i] = np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=PARTS), 0xFFFF).astype("<u2").tobytes()
             if seen:
                 slots += np.bincount(np.concatenate(seen).astype(np.int64), minlength=SLOTS)
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int8)), batch.column(0), batch.column(2), pa.array(n),
-                                              _as_long(point)], names)
+                                              _as_long(point), pa.array(profile, pa.binary())], names)
         held = np.flatnonzero(slots)
         none = pa.array(np.zeros(len(held), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(held), np.int8)), pa.array(held), none, pa.array(slots[held]), none], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(held), np.int8)), pa.array(held), none, pa.array(slots[held]), none,
+                                          pa.nulls(len(held), pa.binary())], names)
 
-    return rows.mapInArrow(run, "kind tinyint, id bigint, tie bigint, n bigint, point bigint")
+    return rows.mapInArrow(run, "kind tinyint, id bigint, tie bigint, n bigint, point bigint, profile binary")
 
 
 def _order(points: DataFrame) -> np.ndarray:
@@ -111,34 +115,57 @@ def _near_size(a: Column, b: Column, t: Fraction) -> Column:
     return (F.least(a, b) * t.denominator >= F.greatest(a, b) * t.numerator)
 
 
+def _not_too_far(pairs: DataFrame, profiles: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs ``(a, b, na, nb)`` without those that the parts of the universe rule out.
+
+    Each part is a pivot: what two sets hold of it differs by at most what they differ in, so the sum of
+    these differences is never more than the size of the symmetric difference, which for a link is at
+    most ``(na + nb) (1 - t) / (1 + t)``.
+    """
+    joined = pairs.join(profiles.select(F.col("point").alias("a"), F.col("profile").alias("pa")), "a") \
+        .join(profiles.select(F.col("point").alias("b"), F.col("profile").alias("pb")), "b").select("a", "b", "na", "nb", "pa", "pb")
+    lo, hi = t.denominator - t.numerator, t.denominator + t.numerator
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, PARTS).astype(np.int32) for i in (4, 5))
+                n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(np.abs(x - y).sum(axis=1, dtype=np.int64) * hi <= n * lo))
+
+    return joined.select("a", "b", F.col("na").cast("long"), F.col("nb").cast("long"), "pa", "pb") \
+        .mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
+
+
 def _distances(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """``(a, b, inter)`` of each pair ``(a, b)``; ``texts`` is ``(point, text)``, one row per point.
+    """``(a, b, na, nb, inter)`` of each pair ``(a, b, na, nb)``; ``texts`` is ``(point, text)``, one row per point.
 
     Pairs are grouped by ``a`` and a part of its partners, so a pivot with very many partners is many
     groups.  A task reads its groups sorted, the pivot's text first, and holds one set at a time.
     """
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(GROUP))).cast("int").alias("parts"))
     dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    partner = dealt.join(texts, F.col("b") == F.col("point")).select("a", "part", "b", "text")
-    own = parts.join(texts, F.col("a") == F.col("point")) \
-        .select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"), "text")
-    rows = partner.unionByName(own).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    own = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("bigint").alias("b"),
+                       F.lit(0).alias("na"), F.lit(0).alias("nb"), F.col("a").alias("needs"))
+    wanted = dealt.select("a", "part", "b", "na", "nb", F.col("b").alias("needs")).unionByName(own)
+    rows = wanted.join(texts, F.col("needs") == F.col("point")).select("a", "part", "b", "text", "na", "nb") \
+        .repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def run(batches):
         held, mine = None, None
         for batch in batches:
-            a, part, b = (batch.column(i).to_pylist() for i in (0, 1, 2))
-            out = ([], [], [])
+            a, part, b, na, nb = (batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5))
+            out = ([], [], [], [], [])
             for i, s in shingle_sets(batch.column(3), k):
                 if b[i] is None:
                     held, mine = s, (a[i], part[i])
                 elif mine == (a[i], part[i]):
-                    out[0].append(a[i])
-                    out[1].append(b[i])
-                    out[2].append(len(np.intersect1d(held, s, assume_unique=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "inter"])
+                    row = a[i], b[i], na[i], nb[i], len(np.intersect1d(held, s, assume_unique=True))
+                    for x, v in zip(out, row):
+                        x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "na", "nb", "inter"])
 
-    return rows.mapInArrow(run, "a bigint, b bigint, inter bigint")
+    return rows.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, inter bigint")
 
 
 def _within(inter: Column, na: Column, nb: Column, t: Fraction) -> Column:
@@ -160,26 +187,37 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     points = written(_points(rows, k), "points")
     own = points.filter("kind = 0").select("id", "tie", "n", "point")
     classes = own.filter("n > 0").groupBy("point").agg(F.min("id").alias("least"))
-    cells = written(_cells(rows, _order(points), k, t), "cells")
-
-    # regions with two points or more; equal rows fall together before the shuffle
-    regions = cells.groupBy("pivot").agg(F.min(F.struct("point", "n")).alias("p"), F.max("point").alias("last")) \
-        .filter(F.col("p.point") < F.col("last")).select(F.col("pivot").alias("region"), F.col("p.point").alias("p"), F.col("p.n").alias("np"))
-    members = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "p", "np", "point", "n").distinct(), "regions")
-    texts = _texts_of(members.select("point").distinct(), own, rows)
-
-    pairs = members.filter("p <> point").select(F.col("p").alias("a"), F.col("point").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb"))
-    known = _measured(pairs, texts, None, k, t)
+    # cells are computed twice and not kept: almost all are of one point, and all together are large.
+    # First the regions with two points or more; equal rows fall together before the shuffle
+    cells = _cells(rows, _order(points), k, t)
+    regions = written(cells.groupBy("pivot").agg(F.min("point").alias("p"), F.max("point").alias("last"))
+                      .filter("p < last").select(F.col("pivot").alias("region"), "p"), "regions")
+    members = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "p", "point", "n").distinct(), "members")
+    discard(regions)
+    involved = members.select("point").distinct()
+    profiles = written(points.filter("kind = 0").join(involved, "point", "left_semi").groupBy("point").agg(F.first("profile").alias("profile")), "profiles")
+    texts = _texts_of(involved, own, rows)
+
+    pivot_sizes = members.filter("p = point").select(F.col("region").alias("r"), F.col("n").alias("np"))
+    pairs = members.filter("p <> point").join(pivot_sizes, F.col("region") == F.col("r")) \
+        .select(F.col("p").alias("a"), F.col("point").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb"))
+    known = _measured(pairs, texts, profiles, None, k, t)
     labels = components(_links(known, t))
     # what the first pivots' distances say about their regions' points; the pivots are done
     d = known.select(F.col("a").alias("p"), F.col("b").alias("point"), _distance().alias("d"))
     rest = members.filter("p <> point").join(d, ["p", "point"], "left").select("region", "p", "point", "n", "d")
+    rest = written(rest, "rest")
+    discard(members)
+    small = SMALL
     while True:
-        rest, pairs = _next_round(rest, labels, t)
+        rest, pairs = _next_round(rest, labels, t, small)
+        small *= 2  # so the number of rounds is logarithmic in the size of the largest region
         if pairs.isEmpty():
             break
-        known = _measured(pairs, texts, known, k, t)
+        known = _measured(pairs, texts, profiles, known, k, t)
+        discard(labels)
         labels = components(_links(known, t))
+    discard(texts, profiles, rest, pairs)
     links = _links(known, t)
 
     named = _roots(labels)
@@ -233,23 +271,30 @@ def _roots(labels: DataFrame) -> DataFrame:
     return labels.unionByName(labels.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, known: DataFrame | None, k: int, t: Fraction) -> DataFrame:
-    """``known`` and the pairs ``(a, b, na, nb)`` that are new, with the size of their intersection."""
+def _measured(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, known: DataFrame | None, k: int, t: Fraction) -> DataFrame:
+    """``known`` and the pairs ``(a, b, na, nb)`` that are new and may be near, with the size of their
+    intersection.  The pairs are taken in slices that ship about as many texts as there are."""
     new = pairs.filter(_near_size(F.col("na"), F.col("nb"), t)).distinct()
     if known is not None:
         new = new.join(known.select("a", "b"), ["a", "b"], "left_anti") \
             .join(known.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    new = written(new, "pairs")
-    found = _distances(new.select("a", "b"), texts, k).join(new, ["a", "b"]).select("a", "b", "na", "nb", "inter")
-    return written(found if known is None else known.unionByName(found), "distances")
-
-
-def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
+    new = written(_not_too_far(new, profiles, t), "pairs")
+    slices = max(1, -(-2 * new.count() // max(1, texts.count())))
+    parts = [written(_distances(new.filter(F.pmod(F.xxhash64("a"), F.lit(slices)) == i), texts, k), "slice") for i in range(slices)]
+    out = known
+    for part in parts:
+        out = part if out is None else out.unionByName(part)
+    out = written(out, "distances")
+    discard(new, known, *parts)
+    return out
+
+
+def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) -> tuple[DataFrame, DataFrame]:
     """One step of the recursion: the points of regions that are still open, without the new pivots, and
     the pairs of new pivots with the other points of their regions.
 
     In an open region two points can only be apart if one is outside the first pivot's component, so new
-    pivots are drawn from those: all of them in a small region, up to ``SMALL`` in a larger one.
+    pivots are drawn from those: all of them in a region of up to ``small`` points, up to ``small`` in a larger one.
     """
     named = _roots(labels)
     home = named.select(F.col("node").alias("p"), F.col("root").alias("p_root"))
@@ -259,8 +304,8 @@ def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction) -> tuple[DataFr
         .filter("r0 <> r1").select("region", "size")
     at = written(at.join(open_, "region"), "open")
     outside = at.filter("root <> home")
-    few = outside.filter(F.col("size") <= SMALL).select("region", F.col("point").alias("a"))
-    many = outside.filter(F.col("size") > SMALL).groupBy("region", F.pmod(F.xxhash64("point"), F.lit(SMALL)).alias("part")) \
+    few = outside.filter(F.col("size") <= small).select("region", F.col("point").alias("a"))
+    many = outside.filter(F.col("size") > small).groupBy("region", F.pmod(F.xxhash64("point"), F.lit(small)).alias("part")) \
         .agg(F.min("point").alias("a")).select("region", "a")
     chosen = few.unionByName(many)
     pivots = written(chosen.join(at, (chosen["region"] == at["region"]) & (F.col("a") == F.col("point"))).select(
@@ -270,5 +315,8 @@ def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction) -> tuple[DataFr
         .select(F.least("a", "point").alias("lo"), F.greatest("a", "point").alias("hi"), "a", "na", F.col("n"))
     pairs = pairs.select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.when(F.col("lo") == F.col("a"), F.col("na")).otherwise(F.col("n")).alias("na"),
                          F.when(F.col("lo") == F.col("a"), F.col("n")).otherwise(F.col("na")).alias("nb"))
-    rest = at.join(pivots.select("region", F.col("a").alias("point")), ["region", "point"], "left_anti").select("region", "p", "point", "n", "d")
-    return rest, written(pairs.distinct(), "round")
+    pairs = written(pairs.distinct(), "round")
+    left = written(at.join(pivots.select("region", F.col("a").alias("point")), ["region", "point"], "left_anti")
+                   .select("region", "p", "point", "n", "d"), "rest")
+    discard(rest, at, pivots)
+    return left, pairs

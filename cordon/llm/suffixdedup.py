@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm.losertree import common_prefix, decode_run, front_code, merge
-from cordon.llm.scratch import release, written
+from cordon.llm.scratch import discard, written
 from cordon.llm.wordhash import pieces, prefix_hash, span_hash
 
 LENGTH = 100
@@ -328,7 +328,6 @@ def _hashed(texts: DataFrame, length: int) -> DataFrame:
 def covered_ranges(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, many: int = MANY, part: int = PART) -> DataFrame:
     """``(doc, sub, start, stop)``: ranges to remove; they may overlap."""
     found = written(_classes(_scan(keyed, length, gram), length), "classes")
-    release(keyed.sparkSession)
     as_range = ["doc", "sub", F.col("lo").alias("start"), (F.col("lo") + F.col("box")).alias("stop")]
     out = found.filter(F.col("kind") == COVERED).select(*as_range)
     reps = found.filter(F.col("kind") == ANCHOR)
@@ -338,8 +337,8 @@ def covered_ranges(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, man
     reps = reps.join(big, "gram", "left").withColumn("many", F.coalesce("many", F.lit(False))) \
         .withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(parts)).cast("int"))
     runs = written(_runs(_with_text(keyed, reps.filter("not many")), length), "runs")
-    release(keyed.sparkSession)
     out = out.unionByName(written(_merged(runs, length), "merged").select(*as_range))
+    discard(runs)
     windows = written(_hashed(_with_text(keyed, reps.filter("many")), length), "windows")
     earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "sub", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = windows.join(earliest, ["h1", "h2"]).filter(F.struct("doc", "sub", "start") != F.col("first"))
