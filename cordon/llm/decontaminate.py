@@ -1,10 +1,11 @@
 """Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment (operator 5).
 
 1. How many documents hold each word n-gram of the benchmark is counted over the whole corpus.
-2. Seeds: of every ``STRIDE`` consecutive n-grams of an item the rarest.  There is no limit on how
-   common a seed may be, so an item of common n-grams, or one copied into many documents, has seeds too.
-3. A document with a seed is aligned, word by word, with the item around the seed.  The local alignment
-   score over the best possible one is the degree of contamination; edited copies keep most of it.
+2. Seeds: every n-gram of an item that some document holds.  There is no limit on how common a seed may
+   be: which n-grams an edited copy keeps cannot be told from counts, so none is left out.
+3. Around a seed the words that the stretch and the item share bound the score.  Where the bound reaches
+   the limit the stretch is aligned, word by word, with the item.  The local alignment score over the
+   best possible one is the degree of contamination; edited copies keep most of it.
 
 The documents are only read: two passes, no shuffle of text.  What goes to the tasks is the benchmark,
 in slices of at most ``SLICE`` words (one pass for each slice), so its size is bounded whatever it holds.
@@ -22,13 +23,14 @@ from pyspark.sql import functions as F
 from cordon.llm.wordhash import NOT_ALNUM, lowered, pieces, prefix_hash, shingles, span_hash, word_spans
 
 GRAM = 3
-STRIDE = 4
 SLICE = 1_000_000
 #: a document is contaminated from this share of the best score on
 LIMIT = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1
 _FILTER = 1 << 20
 _PAIRS = 512
+#: seed hits, and words of stretches, that are looked at together
+_AT_ONCE = 1 << 20
 
 
 def _words(data: np.ndarray, offsets: np.ndarray):
@@ -65,11 +67,13 @@ class Lookup:
 
 @dataclass
 class Items:
-    """A slice of the benchmark: word hashes of each item, and later its seeds as ``(hash, item, word)``."""
+    """A slice of the benchmark: word hashes of each item, and later its seeds as ``(hash, item, word)`` and
+    its words as hashes of ``(item, word)``."""
 
     ids: list
     words: list[np.ndarray]
     seeds: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+    held: Lookup | None = None
 
 
 def _slices(benchmark: DataFrame, id_col: str, text_col: str):
@@ -115,18 +119,23 @@ def _document_counts(docs: DataFrame, items: Items, gram: int) -> dict[int, int]
     return dict(zip(rows["h"].to_numpy(np.int64).view(np.uint64).tolist(), rows["n"].tolist()))
 
 
-def pick_seeds(items: Items, counts: dict[int, int], gram: int = GRAM, stride: int = STRIDE) -> None:
-    """Of every ``stride`` consecutive n-grams of an item the one in fewest documents."""
-    out = [[], [], []]
+def _in_item(words: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Hashes of ``(item, word)``; pairs that fall together can only raise a bound."""
+    return words ^ ((item.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def pick_seeds(items: Items, counts: dict[int, int], gram: int = GRAM) -> None:
+    """Every n-gram of an item that is in some document."""
+    out = [[np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64)]
     for i, w in enumerate(items.words):
-        h, _ = _grams(w, np.zeros(len(w), np.int64), gram)
-        n = [counts.get(x, 0) for x in h.tolist()]
-        for lo in range(0, len(h), stride):
-            best = min(range(lo, min(lo + stride, len(h))), key=lambda j: (n[j], j))
-            for x, v in zip(out, (h[best], i, best)):
-                x.append(v)
-    order = np.argsort(np.array(out[0], np.uint64), kind="stable")
-    items.seeds = tuple(np.array(x, t)[order] for x, t in zip(out, (np.uint64, np.int64, np.int64)))
+        h, at = _grams(w, np.zeros(len(w), np.int64), gram)
+        live = np.array([counts.get(x, 0) > 0 for x in h.tolist()], bool)
+        for x, v in zip(out, (h[live], np.full(int(live.sum()), i, np.int64), at[live])):
+            x.append(v)
+    seed, item, place = (np.concatenate(x) for x in out)
+    order = np.argsort(seed, kind="stable")
+    items.seeds = seed[order], item[order], place[order]
+    items.held = Lookup(np.concatenate([np.zeros(0, np.uint64), *[_in_item(w, np.full(len(w), i)) for i, w in enumerate(items.words)]]))
 
 
 def align(left: np.ndarray, left_size: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,28 +162,64 @@ def align(left: np.ndarray, left_size: np.ndarray, right: np.ndarray) -> tuple[n
     return best, where
 
 
-def _hits(words: np.ndarray, doc: np.ndarray, n_docs: int, items: Items, look: Lookup, gram: int):
-    """``(document, item, first word, score, last word)`` of the best alignment of each pair that shares a seed."""
+def _parts(sizes: np.ndarray):
+    """Ranges ``(lo, hi)`` of ``_AT_ONCE`` together at most, or of one."""
+    ends = np.cumsum(sizes)
+    lo = 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _AT_ONCE, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def _each(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``first[i]``, ``first[i] + 1``, ... ``n[i]`` times for each ``i``: the ``i`` and the numbers."""
+    which = np.repeat(np.arange(len(n)), n)
+    return which, first[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _one_per_step(d, item, step, offset):
+    """The first offset of each ``(document, item, step)``."""
+    order = np.lexsort((step, item, d))
+    d, item, step, offset = (x[order] for x in (d, item, step, offset))
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1]) | (step[1:] != step[:-1])
+    return d[new], item[new], step[new], offset[new]
+
+
+def _hits(words: np.ndarray, doc: np.ndarray, n_docs: int, items: Items, look: Lookup, gram: int, limit: float):
+    """``(document, item, first word, score, last word)`` of the best alignment of each pair that shares a seed;
+    pairs that cannot reach ``limit`` may be missing."""
     h, at = _grams(words, doc, gram)
     hit = look(h)
     none = [np.zeros(0, np.int64)] * 5
     if len(hit) == 0:
         return none
-    seed, item, place = items.seeds
+    seed, item_of, place_of = items.seeds
     lo, hi = np.searchsorted(seed, h[hit], "left"), np.searchsorted(seed, h[hit], "right")
-    which = np.repeat(np.arange(len(hit)), hi - lo)
-    k = lo[which] + np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
-    word, item, place = at[hit][which], item[k], place[k]
     size = np.array([len(w) for w in items.words], np.int64)
     begin = np.searchsorted(doc, np.arange(n_docs + 1))
-    d = doc[word]
-    slack = size[item] // 4 + 4
-    start = np.maximum(word - place - slack, begin[d])
-    stop = np.minimum(word - place + size[item] + slack, begin[d + 1])
     # seeds of one copy ask for nearly the same stretch: one is aligned for each step of half an item
-    step = np.maximum((word - place - begin[d]) // np.maximum(size[item] // 2, 1), -1) + 1
-    _, one = np.unique(np.stack([d, item, step]), axis=1, return_index=True)
-    d, item, start, stop = d[one], item[one], start[one], stop[one]
+    found = []
+    for a, b in _parts(hi - lo):
+        which, k = _each(lo[a:b], (hi - lo)[a:b])
+        word, item = at[hit[a:b]][which], item_of[k]
+        offset = word - place_of[k]
+        step = np.maximum((offset - begin[doc[word]]) // np.maximum(size[item] // 2, 1), -1) + 1
+        found.append(_one_per_step(doc[word], item, step, offset))
+    d, item, _, offset = _one_per_step(*(np.concatenate(x) for x in zip(*found)))
+    slack = size[item] // 4 + 4
+    start = np.maximum(offset - slack, begin[d])
+    stop = np.minimum(offset + size[item] + slack, begin[d + 1])
+    # a score is at most MATCH for each word of the stretch that the item holds
+    able = np.zeros(len(d), bool)
+    for a, b in _parts(stop - start):
+        which, k = _each(start[a:b], (stop - start)[a:b])
+        same = items.held(_in_item(words[k], item[a:b][which]))
+        able[a:b] = np.bincount(which[same], minlength=b - a) >= limit * size[item[a:b]] - 1e-9
+    d, item, start, stop = d[able], item[able], start[able], stop[able]
+    if len(d) == 0:
+        return none
     score, last = np.zeros(len(d), np.int64), np.zeros(len(d), np.int64)
     by_size = np.argsort(size[item], kind="stable")
     for c in range(0, len(d), _PAIRS):
@@ -194,14 +239,14 @@ def _hits(words: np.ndarray, doc: np.ndarray, n_docs: int, items: Items, look: L
     return d, item, start - begin[d], score, last - begin[d]
 
 
-def _prepared(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, gram: int, stride: int):
+def _prepared(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, gram: int):
     for items in _slices(benchmark, item_col, item_text_col):
-        pick_seeds(items, _document_counts(docs, items, gram), gram, stride)
+        pick_seeds(items, _document_counts(docs, items, gram), gram)
         yield docs.sparkSession.sparkContext.broadcast((items, Lookup(items.seeds[0])))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", gram: int = GRAM, stride: int = STRIDE,
+                 item_col: str = "item_id", item_text_col: str = "text", gram: int = GRAM,
                  limit: float = LIMIT) -> DataFrame:
     """``id, item_id, score, first_word, last_word``: every document and item that share a seed and align with
     at least ``limit`` of the item's best score; the best alignment of each pair, words counted from 0
@@ -214,14 +259,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     names = ["id", "item_id", "score", "first_word", "last_word"]
     schema = "id bigint, item_id bigint, score double, first_word bigint, last_word bigint"
     out = None
-    for held in _prepared(rows.select("text"), benchmark, item_col, item_text_col, gram, stride):
+    for held in _prepared(rows.select("text"), benchmark, item_col, item_text_col, gram):
         def run(batches, held=held):
             items, look = held.value
             size, names_of = np.array([len(w) for w in items.words], np.int64), pa.array(items.ids, pa.int64())
             for batch in batches:
                 for lo, hi, data, offsets in pieces(batch.column(1)):
                     doc, words = _words(data, offsets)
-                    d, item, first, score, last = _hits(words, doc, hi - lo, items, look, gram)
+                    d, item, first, score, last = _hits(words, doc, hi - lo, items, look, gram, limit)
                     share = score / np.maximum(MATCH * size[item], 1)
                     good = np.flatnonzero(share >= limit)
                     yield pa.RecordBatch.from_arrays(
@@ -236,11 +281,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-               item_text_col: str = "text", gram: int = GRAM, stride: int = STRIDE, limit: float = LIMIT) -> DataFrame:
+               item_text_col: str = "text", gram: int = GRAM, limit: float = LIMIT) -> DataFrame:
     """The input's rows and columns without the contaminated ones, decided where they lie."""
     at = docs.columns.index(text_col)
     out = docs
-    for held in _prepared(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")), benchmark, item_col, item_text_col, gram, stride):
+    for held in _prepared(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")), benchmark, item_col, item_text_col, gram):
         def run(batches, held=held):
             items, look = held.value
             size = np.array([len(w) for w in items.words], np.int64)
@@ -248,7 +293,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                 keep = np.ones(batch.num_rows, bool)
                 for lo, hi, data, offsets in pieces(batch.column(at)):
                     doc, words = _words(data, offsets)
-                    d, item, _, score, _ = _hits(words, doc, hi - lo, items, look, gram)
+                    d, item, _, score, _ = _hits(words, doc, hi - lo, items, look, gram, limit)
                     keep[lo + d[score >= limit * MATCH * size[item]]] = False
                 yield batch.filter(pa.array(keep))
 

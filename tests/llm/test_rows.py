@@ -296,6 +296,27 @@ def test_edited_copies_are_found_and_clean_texts_left(spark, empty_docs):
     assert decontaminate.clean_rows(frame, bench.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("exact", [0, 1, 30])
+def test_copies_with_every_fifth_word_replaced_are_found(spark, exact):
+    """No n-gram over an edit is in the copy; those beside it are, also where exact copies make them less rare."""
+    rng = random.Random(12)
+    say = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    items = [say(rng.randrange(20, 60)) for _ in range(30)]
+    rows, planted = [], set()
+    for i, item in enumerate(items):
+        w = ["edit" if k % 5 == i % 5 else x for k, x in enumerate(item)]
+        planted.add((len(rows), i))
+        rows.append((len(rows), " ".join([*say(80), *w, *say(80)])))
+    for i in range(len(items)):
+        for _ in range(exact):
+            planted.add((len(rows), i))
+            rows.append((len(rows), " ".join(items[i])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    assert {(r.id, r.item_id) for r in decontaminate.contaminated(frame, bench).collect()} == planted
+    assert decontaminate.clean_rows(frame, bench).count() == 0
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
