@@ -178,13 +178,16 @@ def _each(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, first[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _one_per_step(d, item, step, offset):
-    """The first offset of each ``(document, item, step)``."""
+def _one_per_step(d, item, step, least, most):
+    """The least and the greatest offset of each ``(document, item, step)``."""
     order = np.lexsort((step, item, d))
-    d, item, step, offset = (x[order] for x in (d, item, step, offset))
+    d, item, step, least, most = (x[order] for x in (d, item, step, least, most))
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (item[1:] != item[:-1]) | (step[1:] != step[:-1])
-    return d[new], item[new], step[new], offset[new]
+    at = np.flatnonzero(new)
+    if len(at) == 0:
+        return d, item, step, least, most
+    return d[at], item[at], step[at], np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
 
 
 def _hits(words: np.ndarray, doc: np.ndarray, n_docs: int, items: Items, look: Lookup, gram: int, limit: float):
@@ -199,18 +202,19 @@ def _hits(words: np.ndarray, doc: np.ndarray, n_docs: int, items: Items, look: L
     lo, hi = np.searchsorted(seed, h[hit], "left"), np.searchsorted(seed, h[hit], "right")
     size = np.array([len(w) for w in items.words], np.int64)
     begin = np.searchsorted(doc, np.arange(n_docs + 1))
-    # seeds of one copy ask for nearly the same stretch: one is aligned for each step of half an item
+    # seeds of one copy ask for nearly the same stretch: for each step of half an item one is aligned that
+    # holds all of theirs
     found = []
     for a, b in _parts(hi - lo):
         which, k = _each(lo[a:b], (hi - lo)[a:b])
         word, item = at[hit[a:b]][which], item_of[k]
         offset = word - place_of[k]
         step = np.maximum((offset - begin[doc[word]]) // np.maximum(size[item] // 2, 1), -1) + 1
-        found.append(_one_per_step(doc[word], item, step, offset))
-    d, item, _, offset = _one_per_step(*(np.concatenate(x) for x in zip(*found)))
+        found.append(_one_per_step(doc[word], item, step, offset, offset))
+    d, item, _, least, most = _one_per_step(*(np.concatenate(x) for x in zip(*found)))
     slack = size[item] // 4 + 4
-    start = np.maximum(offset - slack, begin[d])
-    stop = np.minimum(offset + size[item] + slack, begin[d + 1])
+    start = np.maximum(least - slack, begin[d])
+    stop = np.minimum(most + size[item] + slack, begin[d + 1])
     # a score is at most MATCH for each word of the stretch that the item holds
     able = np.zeros(len(d), bool)
     for a, b in _parts(stop - start):

@@ -317,6 +317,19 @@ def test_copies_with_every_fifth_word_replaced_are_found(spark, exact):
     assert decontaminate.clean_rows(frame, bench).count() == 0
 
 
+def test_a_stray_seed_before_a_copy_does_not_cut_it(spark):
+    """A 3-gram of the item stands before the copy, in the same step of half an item; the whole copy is aligned."""
+    item = [f"i{k}" for k in range(60)]
+    copied = [x for k, x in enumerate(item) if 26 <= k < 60]
+    for stray in range(0, 30, 3):
+        # the copy's offset is 29, the stray n-gram's between 0 and 29
+        text = [f"a{k}" for k in range(stray)] + item[:3] + [f"b{k}" for k in range(stray + 3, 55)] + copied + [f"c{k}" for k in range(90)]
+        frame = spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string")
+        bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+        found = decontaminate.contaminated(frame, bench).collect()
+        assert [(r.item_id, r.score, r.last_word) for r in found] == [(7, len(copied) / len(item), 54 + len(copied))]
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
