@@ -31,37 +31,37 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 # --- fixed values: the base phrases and their labels
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: a text without any of these stems matches no rule and no base phrase
-GATE = (r"(?i)licen[sc]|copyright|copyleft|spdx|hereby|redistribut|unencumbered|warranty|public[^0-9a-z]+domain|rights[^0-9a-z]+reserved|creative[^0-9a-z]+commons"
+#: a text without any of these stems matches no base phrase, and no rule but those of ``NO_STEM``
+STEMS = (r"(?i)licen[sc]|copyright|copyleft|spdx|hereby|redistribut|unencumbered|warranty|public[^0-9a-z]+domain|rights[^0-9a-z]+reserved|creative[^0-9a-z]+commons"
         r"|(?<![0-9a-z])(?:cc[^0-9a-z]*(?:by|0|zero)|[al]?gpl|unlicense|wtfpl|creativecommons)")
 
 #: label, the license's names over normalised words, a word that every match holds
 NAMES = (
     ("mit", r"mit|expat|x11", "mit|expat|x11"),
     ("mit-0", r"mit (?:0|no attribution)", "mit"),
-    ("apache-1", r"apache(?: software)?(?: license)?(?: version| v)? ?1(?: [01])?", "apache"),
-    ("apache-2", r"apache(?: software)?(?: license)?(?: version)? v?2(?: 0)?", "apache"),
+    ("apache-1", r"(?:apache(?: software)?(?: license)?(?: version| v)? ?1|apachev1)(?: [01])?", "apache|apache1|apachev1"),
+    ("apache-2", r"(?:apache(?: software)?(?: license)?(?: version)? v?2|apachev?2)(?: 0)?", "apache|apache2|apachev2"),
     ("bsd-0-clause", r"(?:bsd (?:0|zero)(?: clause)?|0bsd)", "bsd|0bsd"),
     ("bsd-2-clause", r"(?:simplified bsd|freebsd|bsd (?:2|two)(?: clause)?|(?:2|two) clause bsd)", "bsd|freebsd"),
     ("bsd-3-clause", r"(?:(?:new|modified|revised) bsd|bsd (?:3|three)(?: clause)?|(?:3|three) clause bsd)", "bsd"),
     ("bsd-4-clause", r"(?:original bsd|bsd (?:4|four)(?: clause)?|(?:4|four) clause bsd)", "bsd"),
     ("bsd", r"bsd(?: style)?", "bsd"),
-    ("gpl-1", r"(?:gnu )?(?:gpl|general public license)(?: version)? v?1(?: 0)?", "gpl|general"),
-    ("gpl-2", r"(?:gnu )?(?:gpl|general public license)(?: version)? v?2(?: 0)?", "gpl|general"),
-    ("gpl-3", r"(?:gnu )?(?:gpl|general public license)(?: version)? v?3(?: 0)?", "gpl|general"),
+    ("gpl-1", r"(?:gnu )?(?:(?:gpl|general public license)(?: version)? v?1|gplv?1)(?: 0)?", "gpl|general|gpl1|gplv1"),
+    ("gpl-2", r"(?:gnu )?(?:(?:gpl|general public license)(?: version)? v?2|gplv?2)(?: 0)?", "gpl|general|gpl2|gplv2"),
+    ("gpl-3", r"(?:gnu )?(?:(?:gpl|general public license)(?: version)? v?3|gplv?3)(?: 0)?", "gpl|general|gpl3|gplv3"),
     ("gpl", r"(?:gnu )?(?:gpl|general public license)", "gpl|general"),
-    ("lgpl-2", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version)? v?2(?: 0)?", "lgpl|lesser|library"),
-    ("lgpl-2.1", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?2 1", "lgpl|lesser"),
-    ("lgpl-3", r"(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?", "lgpl|lesser"),
+    ("lgpl-2", r"(?:gnu )?(?:(?:lgpl|(?:lesser|library) general public license)(?: version)? v?2|lgplv?2)(?: 0)?", "lgpl|lesser|library|lgpl2|lgplv2"),
+    ("lgpl-2.1", r"(?:gnu )?(?:(?:lgpl|lesser general public license)(?: version)? v?2|lgplv?2) 1", "lgpl|lesser|lgpl2|lgplv2"),
+    ("lgpl-3", r"(?:gnu )?(?:(?:lgpl|lesser general public license)(?: version)? v?3|lgplv?3)(?: 0)?", "lgpl|lesser|lgpl3|lgplv3"),
     ("lgpl", r"(?:gnu )?(?:lgpl|(?:lesser|library) general public license)", "lgpl|lesser|library"),
-    ("agpl-3", r"(?:gnu )?(?:agpl|affero general public license)(?: version)? v?3(?: 0)?", "agpl|affero"),
+    ("agpl-3", r"(?:gnu )?(?:(?:agpl|affero general public license)(?: version)? v?3|agplv?3)(?: 0)?", "agpl|affero|agpl3|agplv3"),
     ("agpl", r"(?:gnu )?(?:agpl|affero general public license)", "agpl|affero"),
     ("gfdl", r"(?:gnu )?(?:gfdl|free documentation license)", "gfdl|documentation"),
-    ("mpl-1.1", r"(?:mpl|mozilla public license)(?: version)? v?1 1", "mpl|mozilla"),
-    ("mpl-2", r"(?:mpl|mozilla public license)(?: version)? v?2(?: 0)?", "mpl|mozilla"),
+    ("mpl-1.1", r"(?:(?:mpl|mozilla public license)(?: version)? v?1|mplv?1) 1", "mpl|mozilla|mpl1|mplv1"),
+    ("mpl-2", r"(?:(?:mpl|mozilla public license)(?: version)? v?2|mplv?2)(?: 0)?", "mpl|mozilla|mpl2|mplv2"),
     ("mpl", r"(?:mpl|mozilla public license)", "mpl|mozilla"),
-    ("epl-1", r"(?:epl|eclipse public license)(?: version)? v?1(?: 0)?", "epl|eclipse"),
-    ("epl-2", r"(?:epl|eclipse public license)(?: version)? v?2(?: 0)?", "epl|eclipse"),
+    ("epl-1", r"(?:(?:epl|eclipse public license)(?: version)? v?1|eplv?1)(?: 0)?", "epl|eclipse|epl1|eplv1"),
+    ("epl-2", r"(?:(?:epl|eclipse public license)(?: version)? v?2|eplv?2)(?: 0)?", "epl|eclipse|epl2|eplv2"),
     ("edl-1", r"eclipse distribution license(?: v?1(?: 0)?)?", "eclipse"),
     ("cddl-1", r"(?:cddl|common development and distribution license)(?: version)?(?: v?1(?: [01])?)?", "cddl|development"),
     ("cpl-1", r"(?:cpl|common public license)(?: version)?(?: v?1(?: 0)?)?", "cpl|common"),
@@ -112,6 +112,14 @@ FORMS = (
     ("mention", 30, 0.5, r"(?:{}) licen[sc]e"),
 )
 
+#: forms that need none of the stems, so the gate asks for the whole of them, with any name
+NO_STEM = ("grant", "terms")
+
+_ANY_NAME = "|".join(name for _, name, _ in NAMES)
+#: a text that does not match this matches no rule and no base phrase
+GATE = "|".join([STEMS, *[form.replace("{}", _ANY_NAME).replace(" ", r"(?:[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+)")
+                          for kind, _, _, form in FORMS if kind in NO_STEM]])
+
 #: label, priority, confidence, pattern, keyword: texts that say a license without the forms above
 OTHER = (
     ("mit", 95, 0.95, r"permission is hereby granted free of charge to any person obtaining a copy", "hereby"),

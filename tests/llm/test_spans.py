@@ -183,3 +183,51 @@ def test_gate_lets_every_rule_through(spark):
     phrases = [p for p, _ in licenses.BASE] + [r.pattern for r in licenses.rules() if not re.search(r"[\[\]?|()+]", r.pattern)]
     frame = spark.createDataFrame([(p.upper() if rng.random() < 0.5 else p,) for p in phrases], "t string")
     assert frame.filter(~F.col("t").rlike(licenses.GATE)).count() == 0
+
+
+def sampled(parsed, rng):
+    """A random string that a parsed pattern matches."""
+    out = []
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                out.append(chr(arg))
+            case "IN":
+                kind, value = rng.choice(arg)
+                out.append(chr(value if str(kind) == "LITERAL" else rng.randint(*value)))
+            case "BRANCH":
+                out.append(sampled(rng.choice(arg[1]), rng))
+            case "SUBPATTERN":
+                out.append(sampled(arg[3], rng))
+            case "MAX_REPEAT":
+                out += [sampled(arg[2], rng) for _ in range(rng.randint(arg[0], arg[1]))]
+            case _:
+                raise ValueError(op)
+    return "".join(out)
+
+
+def test_gate_and_keywords_let_all_forms_of_every_rule_through(spark):
+    """Random strings of each rule, however its words are set apart, pass the gate, and one of its keywords is a word of them."""
+    import random
+    from re import _parser
+
+    rng = random.Random(2)
+    texts = []
+    for r in licenses.rules():
+        parsed = _parser.parse(r.pattern)
+        for _ in range(30):
+            s = sampled(parsed, rng)
+            assert set(s.split()) & set(r.keys), (s, r)
+            texts.append(re.sub(" ", lambda m: rng.choice([" ", "\n", ", ", "-", " \"", "_"]), s))
+    frame = spark.createDataFrame([(t.upper() if rng.random() < 0.5 else f"see {t}.",) for t in texts], "t string")
+    assert [r.t for r in frame.filter(~F.col("t").rlike(licenses.GATE)).collect()] == []
+
+
+def test_names_without_the_word_license_and_glued_versions(spark):
+    want = {"Released under the MIT.": "mit", "distributed under Apache 2.0": "apache-2", "available under the terms of the MPL 2.0": "mpl-2",
+            "published under a BSD 3-clause": "bsd-3-clause", "provided to you under EPL-2.0": "epl-2", "under the terms of the zlib": "zlib",
+            "License: GPLv3": "gpl-3", "released under LGPLv2.1+": "lgpl-2.1", "under the MPLv2 license": "mpl-2", "licensed under Apache2": "apache-2",
+            "SPDX-License-Identifier: AGPLv3": "agpl-3", "license: GPL2": "gpl-2", "under the bridge, available": "", "under terms of use": ""}
+    frame = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r.id: r.labels for r in licenses.scan_licenses(frame).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
