@@ -101,6 +101,41 @@ def test_personal_added_spans_touch_no_base_span(personal, empty_docs, clashing)
     assert pii.find_personal_data(clashing).count() == clashing.count()
 
 
+def test_numbers_in_a_run_are_proposed_on_their_own(spark):
+    """Every span of neighbouring groups with 7 to 19 digits, longer groups, and the whole run."""
+    four = "212-555-0101 212-555-0102 212-555-0103 212-555-0104"
+    texts = ["555-123-4567 (555) 987-6543 12", "030 1234567 2024-05-01", four, "+1 (743) 555-3824 or 12 34 56", "x " + "9" * 40 + " 1234567 1", "1 2 3 4 5 6 7 8 " * 9]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: {(c.start, c.stop) for c in r.c} for r in frame.select("i", "t", pii._candidates(F.col("t")).alias("c")).collect()}
+    for i, t in enumerate(texts):
+        want = set()
+        for run in re.finditer(r"(?<![A-Za-z0-9.])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]+(?:[ ().-]{1,2}[0-9]+)*", t):
+            groups = [(m.start(), m.end(), len(re.sub("[^0-9]", "", m[0]))) for m in re.finditer(r"(?:^\+)?\(?[0-9]+", run[0])]
+            spans = [(a, b) for a in range(len(groups)) for b in range(a, len(groups))]
+            digits = lambda a, b: sum(g[2] for g in groups[a:b + 1])
+            want |= {(run.start() + groups[a][0], run.start() + groups[b][1]) for a, b in spans
+                     if 7 <= digits(a, b) and (digits(a, b) <= 19 or a == b or b - a == len(groups) - 1)}
+        assert got[i] == want, t
+    found = lambda i: {texts[i][a:b] for a, b in got[i]}
+    assert {"555-123-4567", "(555) 987-6543"} <= found(0) and "030 1234567" in found(1) and set(four.split()) <= found(2)
+
+
+def test_phones_beside_numbers_are_added(spark):
+    """Scores choose among overlapping spans: every phone of a list, and none of the numbers beside it."""
+    import random
+
+    rng = random.Random(3)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [f"some words call +1 ({d(3)}) {d(3)}-{d(4)} here" for _ in range(400)] + \
+           [f"the ratio {d(4)} {d(4)} {d(2)} is given" for _ in range(400)] + [f"page {d(9)} of it" for _ in range(400)]
+    scorer = pii.fit_scorer(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    phones = ["(212) 555-0101", "(212) 555-0102", "(212) 555-0103", "(212) 555-0104"]
+    texts = [f"some words call {phones[0]} here", f"some words call {' '.join(phones)} here", f"some words call {phones[0]} 12 here"]
+    probe = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: [texts[r.row.doc_id][a.start:a.stop] for a in r.added] for r in pii.find_personal_data(probe, scorer=scorer).collect()}
+    assert got == {0: phones[:1], 1: phones, 2: phones[:1]}
+
+
 def test_secret_base_spans(hidden):
     got = {r.i: r.s for r in secrets.find_secrets(hidden).select(F.col("row.doc_id").alias("i"), span_text(F.col("base")).alias("s")).collect()}
     for i, t in enumerate(HIDDEN):
