@@ -136,6 +136,21 @@ def test_phones_beside_numbers_are_added(spark):
     assert got == {0: phones[:1], 1: phones, 2: phones[:1]}
 
 
+def test_rare_labels_are_fitted_too(spark):
+    """100 phones among 20,000 other numbers, and a draw of 400: the labels' mix does not switch the model off."""
+    import random
+
+    rng = random.Random(4)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [f"some words call +1 ({d(3)}) {d(3)}-{d(4)} here" for _ in range(100)] + [f"page {d(9)} of it" for _ in range(20_000)]
+    train = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    scorer = pii.fit_scorer(train, settings=pii.Boosting(max_train=400))
+    assert scorer is not None and 0.5 <= scorer.threshold <= 1
+    probe = spark.createDataFrame([(0, "some words call (212) 555-0100 here"), (1, "page 123456789 of it")], "doc_id long, text string")
+    got = {r.row.doc_id: [(a.start, a.stop) for a in r.added] for r in pii.find_personal_data(probe, scorer=scorer).collect()}
+    assert got == {0: [(16, 30)], 1: []}
+
+
 def test_secret_base_spans(hidden):
     got = {r.i: r.s for r in secrets.find_secrets(hidden).select(F.col("row.doc_id").alias("i"), span_text(F.col("base")).alias("s")).collect()}
     for i, t in enumerate(HIDDEN):
