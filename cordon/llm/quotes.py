@@ -1,8 +1,8 @@
 """Quotation linking in conversations (operator 2).
 
 Messages quote earlier ones with ``>`` at the start of lines, nested as deep as they like.  Lines become
-passages (neighbouring lines of one level), passages become sentences, and a sentence is named by the
-hash of its normalised text.  A quoted sentence is joined to the latest earlier message of the
+passages (neighbouring lines of one level), passages become sentences, and a sentence, like a whole passage
+of several, is named by the hash of its normalised text.  What is quoted, however short, is joined to the latest earlier message of the
 conversation that says it itself; a message replies to the message that most of its first-level quotes
 come from (the later one of a tie), or else to the message before it.  What is left without quotes, in
 the order of replies, is the conversation.
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from cordon.llm.text import let, whole
 
 TURNS = 256
-MIN_WORDS = 3
 #: the quote marks before a line
 MARKS = r"^[ \t]*+(?:>[ \t]*+)++"
+SAID_TYPE = "array<struct<level:int,said:string,weight:int>>"
 _NEW, _BODY = "\u0001", "\u0002"
 
 
@@ -43,8 +43,9 @@ def own_text(text: Column) -> Column:
     return F.regexp_replace(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), r"^\s+|\s+$", "")
 
 
-def sentences(text: Column, min_words: int = MIN_WORDS) -> Column:
-    """``array<struct<level, said>>``: normalised sentences of ``min_words`` words or more."""
+def sentences(text: Column) -> Column:
+    """``array<struct<level, said, weight>>``: normalised sentences (``weight`` 2), and the whole of a passage of
+    ``k`` of them (``2 k + 1``: more than its sentences together)."""
     def marked(lines: Column) -> Column:
         blank = lambda x: F.trim(x["body"]) == ""
         new = lambda x, i: (i == 0) | blank(x) | F.coalesce(F.get(lines, i - 1)["level"] != x["level"], F.lit(True))
@@ -52,10 +53,14 @@ def sentences(text: Column, min_words: int = MIN_WORDS) -> Column:
             new(x, i), F.concat(F.lit(_NEW), x["level"].cast("string"), F.lit(_BODY), x["body"])).otherwise(F.concat(F.lit(" "), x["body"]))), "")
 
     passages = F.filter(F.split(let(_lines(whole(text)), marked), _NEW, -1), lambda p: F.contains(p, F.lit(_BODY)))
-    said = F.flatten(F.transform(passages, lambda p: let(F.split(p, _BODY, 2), lambda x: F.transform(
-        F.split(F.trim(F.lower(F.regexp_replace(F.get(x, F.lit(1)), r"\s+", " "))), r"(?<=[.!?]) ", -1),
-        lambda s: F.struct(F.get(x, F.lit(0)).cast("int").alias("level"), F.trim(s).alias("said"))))))
-    return F.filter(said, lambda s: F.size(F.split(s["said"], " ")) >= min_words)
+    def said(level: Column, body: Column) -> Column:
+        one = lambda s, weight: F.struct(level.alias("level"), F.trim(s).alias("said"), weight.alias("weight"))
+        return let(F.split(body, r"(?<=[.!?]) ", -1), lambda each: F.concat(
+            F.transform(each, lambda s: one(s, F.lit(2))), F.when(F.size(each) > 1, F.array(one(body, F.size(each) * 2 + 1))).otherwise(F.array().cast(SAID_TYPE))))
+
+    every = F.flatten(F.transform(passages, lambda p: let(F.split(p, _BODY, 2), lambda x: said(
+        F.get(x, F.lit(0)).cast("int"), F.trim(F.lower(F.regexp_replace(F.get(x, F.lit(1)), r"\s+", " ")))))))
+    return F.filter(every, lambda s: s["said"] != "")
 
 
 def latest_before(probes: DataFrame, events: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,9 +81,9 @@ def latest_before(probes: DataFrame, events: DataFrame, keys: list[str]) -> Data
 
 
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per message: ``conv_id, turn, role, body`` (without quotes), ``max_level, n_quoted`` and
-    ``n_linked`` (quoted sentences, and those found in an earlier message), ``reply_to`` (a turn),
+                text_col: str = "text") -> DataFrame:
+    """One row per message: ``conv_id, turn, role, body`` (without quotes), ``max_level`` (of its lines),
+    ``n_quoted`` and ``n_linked`` (quoted sentences, and those found in an earlier message), ``reply_to`` (a turn),
     ``by_quote`` (whether a quote says so) and ``position`` (messages of the conversation before this turn).
 
     Null text: empty body, nothing quoted.  Null conversation or turn: the message stands alone, without
@@ -88,19 +93,20 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     rows = messages.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
                            F.col(f"`{role_col}`").cast("string").alias("role"), F.col(f"`{text_col}`").cast("string").alias("text"))
     placed = rows.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    said = placed.select("conv_id", "turn", F.explode(sentences(F.col("text"), min_words)).alias("s")) \
-        .select("conv_id", "turn", F.col("s.level").alias("level"), F.md5("s.said").alias("said")).distinct()
+    said = placed.select("conv_id", "turn", F.explode(sentences(F.col("text"))).alias("s")) \
+        .select("conv_id", "turn", F.col("s.level").alias("level"), F.md5("s.said").alias("said"), F.col("s.weight").alias("weight")).distinct()
     quoted = said.filter("level > 0")
     # only sentences that are quoted somewhere in the conversation matter
     originals = said.filter("level = 0").join(quoted.select("conv_id", "said").distinct(), ["conv_id", "said"], "left_semi")
     found = quoted.join(latest_before(quoted, originals, ["conv_id", "said"]), ["conv_id", "said", "turn"])
     hits = found.filter(F.col("found").isNotNull() & (F.col("level") == 1)).groupBy("conv_id", "turn", "found") \
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("weight").alias("n"))
     source = hits.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "found")).alias("best")) \
         .select("conv_id", "turn", F.col("best.found").alias("quoted_turn"))
-    counts = found.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_quoted"), F.count("found").alias("n_linked"),
-                                                  F.max("level").alias("max_level"))
-    turns = placed.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n"))
+    counts = found.groupBy("conv_id", "turn").agg(F.count_if(F.col("weight") == 2).alias("n_quoted"),
+                                                  F.count_if((F.col("weight") == 2) & F.col("found").isNotNull()).alias("n_linked"))
+    turns = placed.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n"), F.max(
+        F.array_max(F.transform(_lines(whole(F.col("text"))), lambda x: x["level"]))).alias("max_level"))
     previous = latest_before(turns, turns, ["conv_id"]).withColumnRenamed("found", "previous")
     per = turns.join(previous, ["conv_id", "turn"]).join(_before(turns), ["conv_id", "turn"]) \
         .join(counts, ["conv_id", "turn"], "left").join(source, ["conv_id", "turn"], "left") \

@@ -188,6 +188,14 @@ def test_quotes_against_brute_force_on_one_long_conversation(spark):
     assert max(len(r.chat) for r in quotes.chat_chunks(quotes.link_quotes(frame)).collect()) < 64 * 60
 
 
+def test_short_quotes_link_and_a_whole_passage_says_more(spark):
+    rows = [(1, 0, "u", "Yes, please."), (1, 1, "a", "No. I disagree. Why?"), (1, 2, "u", "I disagree."), (1, 3, "a", "Why? No."),
+            (1, 4, "u", "> Yes, please.\nok"), (1, 5, "a", "> No. I disagree. Why?\nfine"), (1, 6, "u", "> > >\n> > Why?\nhm")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.reply_to, r.by_quote, r.max_level, r.n_quoted, r.n_linked) for r in quotes.link_quotes(frame).collect()}
+    assert {t: got[t] for t in (4, 5, 6)} == {4: (0, True, 1, 1, 1), 5: (1, True, 1, 3, 3), 6: (5, False, 3, 1, 1)}
+
+
 # ---------------------------------------------------------------- tokens
 
 def test_simple8b_round_trips():
