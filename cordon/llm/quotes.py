@@ -5,11 +5,13 @@ passages (neighbouring lines of one level), passages become sentences, and a sen
 of several, is named by the hash of its normalised text.  What is quoted, however short, is joined to the latest earlier message of the
 conversation that says it itself; a message replies to the message that most of its first-level quotes
 come from (the later one of a tie), or else to the message before it.  What is left without quotes, in
-the order of replies, is the conversation.
+the order of replies (each message followed by its replies, earlier turns first, with all below them), is
+the conversation.
 
 Only built-in functions.  Nothing gathers a conversation: the latest earlier message is found by ranges
 of ``TURNS`` turns, whose own latest ones are carried over, so a conversation with a third of all
-messages is many small windows.
+messages is many small windows.  The order of replies is a walk around the tree of replies, whose steps are
+summed up by pointer doubling: each round joins every step with the one its pointer tells, one to one.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cordon.llm.scratch import discard, written
 from cordon.llm.text import let, whole
 
 TURNS = 256
@@ -84,10 +87,13 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
                 text_col: str = "text") -> DataFrame:
     """One row per message: ``conv_id, turn, role, body`` (without quotes), ``max_level`` (of its lines),
     ``n_quoted`` and ``n_linked`` (quoted sentences, and those found in an earlier message), ``reply_to`` (a turn),
-    ``by_quote`` (whether a quote says so) and ``position`` (messages of the conversation before this turn).
+    ``by_quote`` (whether a quote says so), ``position`` (messages of the conversation before this turn),
+    ``thread`` (the turn its chain of replies begins with) and ``place`` (messages before this turn in the
+    order of replies).
 
     Null text: empty body, nothing quoted.  Null conversation or turn: the message stands alone, without
-    ``reply_to`` and ``position``.  Messages of one turn are one place: they share links and position.
+    ``reply_to``, ``position``, ``thread`` and ``place``.  Messages of one turn are one place: they share
+    links, position and place.
     Repeated rows stay.  An empty table gives no rows.
     """
     rows = messages.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
@@ -110,12 +116,48 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     previous = latest_before(turns, turns, ["conv_id"]).withColumnRenamed("found", "previous")
     per = turns.join(previous, ["conv_id", "turn"]).join(_before(turns), ["conv_id", "turn"]) \
         .join(counts, ["conv_id", "turn"], "left").join(source, ["conv_id", "turn"], "left") \
+        .withColumn("reply_to", F.coalesce("quoted_turn", "previous"))
+    per = written(per, "replies")
+    per = per.join(reply_order(per), ["conv_id", "turn"]) \
         .withColumnsRenamed({"conv_id": "c", "turn": "t"})
     joined = rows.join(per, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")), "left")
     zero = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0))
     return joined.select("conv_id", "turn", "role", own_text(F.col("text")).alias("body"), zero("max_level").alias("max_level"),
                          zero("n_quoted").alias("n_quoted"), zero("n_linked").alias("n_linked"),
-                         F.coalesce("quoted_turn", "previous").alias("reply_to"), F.col("quoted_turn").isNotNull().alias("by_quote"), "position")
+                         "reply_to", F.col("quoted_turn").isNotNull().alias("by_quote"), "position", "thread", "place")
+
+
+def reply_order(turns: DataFrame) -> DataFrame:
+    """``conv_id, turn, thread, place`` from distinct ``conv_id, turn`` with ``n`` messages and ``reply_to``, an
+    earlier turn or null.
+
+    A walk enters (side 0) and leaves (side 1) each turn, its replies by turn in between.  ``before`` points
+    back along it; ``s`` counts the messages entered since.
+    """
+    replies = turns.filter("reply_to IS NOT NULL").select("conv_id", F.col("reply_to").alias("parent"), "turn")
+    first = replies.groupBy("conv_id", "parent").agg(F.min("turn").alias("first")).withColumnRenamed("parent", "turn")
+    sibling = latest_before(replies, replies, ["conv_id", "parent"]).filter("found IS NOT NULL") \
+        .select("conv_id", F.col("found").alias("turn"), F.col("turn").alias("sibling"))
+    near = turns.join(first, ["conv_id", "turn"], "left").join(sibling, ["conv_id", "turn"], "left")
+    walk = near.select("conv_id", "turn", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.coalesce("first", "turn").alias("next"), F.col("first").isNull().cast("int").alias("next_side"), F.col("n").alias("s")),
+        F.struct(F.lit(1).alias("side"), F.coalesce("sibling", "reply_to").alias("next"), F.col("sibling").isNull().cast("int").alias("next_side"),
+                 F.lit(0).cast("long").alias("s")))).alias("e")).select("conv_id", "turn", "e.*")
+    walk = written(walk, "walk")
+    back = walk.filter("next IS NOT NULL").select("conv_id", F.col("next").alias("turn"), F.col("next_side").alias("side"),
+                                                  F.col("turn").alias("before"), F.col("side").alias("before_side"))
+    now = written(walk.join(back, ["conv_id", "turn", "side"], "left").select("conv_id", "turn", "side", "before", "before_side", "s", F.col("turn").alias("head")), "order")
+    discard(walk)
+    while not now.filter("before IS NOT NULL").isEmpty():
+        ahead = now.select("conv_id", F.col("turn").alias("before"), F.col("side").alias("before_side"), F.col("before").alias("b"),
+                           F.col("before_side").alias("b_side"), F.col("s").alias("more"), F.col("head").alias("top"))
+        stepped = now.filter("before IS NOT NULL").join(ahead, ["conv_id", "before", "before_side"]) \
+            .select("conv_id", "turn", "side", F.col("b").alias("before"), F.col("b_side").alias("before_side"), (F.col("s") + F.col("more")).alias("s"),
+                    F.col("top").alias("head"))
+        last, now = now, written(now.filter("before IS NULL").unionByName(stepped), "order")
+        discard(last)
+    return now.filter("side = 0").join(turns.select("conv_id", "turn", "n"), ["conv_id", "turn"]) \
+        .select("conv_id", "turn", F.col("head").alias("thread"), (F.col("s") - F.col("n")).alias("place"))
 
 
 def _before(turns: DataFrame) -> DataFrame:
@@ -130,20 +172,20 @@ def _before(turns: DataFrame) -> DataFrame:
 
 
 def chat_chunks(linked: DataFrame, messages_per_chunk: int = 64) -> DataFrame:
-    """Conversations as text, in reply order (a reply always comes after what it answers): ``conv_id, chunk,
+    """Conversations as text, in reply order (each message followed by its replies): ``conv_id, chunk,
     part, chat`` with one ``role: body`` paragraph per message.
 
-    A chunk holds the messages of ``messages_per_chunk`` positions.  Equal messages of one turn become one
+    A chunk holds the messages of ``messages_per_chunk`` places.  Equal messages of one turn become one
     with a count, and a turn with very many different ones is dealt into parts by hash, so no row grows
     with the conversation.
     """
-    entries = linked.filter(F.col("position").isNotNull()).groupBy("conv_id", "position", "turn", "role", "body", "reply_to") \
+    entries = linked.filter(F.col("place").isNotNull()).groupBy("conv_id", "place", "turn", "role", "body", "reply_to") \
         .agg(F.count(F.lit(1)).alias("times"))
-    crowd = entries.groupBy("conv_id", "position").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(messages_per_chunk))).alias("parts"))
-    dealt = entries.join(crowd, ["conv_id", "position"]) \
-        .withColumn("chunk", F.floor(F.col("position") / F.lit(float(messages_per_chunk)))) \
+    crowd = entries.groupBy("conv_id", "place").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(messages_per_chunk))).alias("parts"))
+    dealt = entries.join(crowd, ["conv_id", "place"]) \
+        .withColumn("chunk", F.floor(F.col("place") / F.lit(float(messages_per_chunk)))) \
         .withColumn("part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("role", "body"), F.col("parts"))).otherwise(F.lit(0)).cast("long"))
     line = F.concat(F.coalesce("role", F.lit("?")), F.lit(": "), F.col("body"),
                     F.when(F.col("times") > 1, F.concat(F.lit(" (x"), F.col("times").cast("string"), F.lit(")"))).otherwise(F.lit("")))
-    grouped = dealt.groupBy("conv_id", "chunk", "part").agg(F.sort_array(F.collect_list(F.struct("position", "turn", line.alias("line")))).alias("m"))
+    grouped = dealt.groupBy("conv_id", "chunk", "part").agg(F.sort_array(F.collect_list(F.struct("place", "turn", line.alias("line")))).alias("m"))
     return grouped.select("conv_id", "chunk", "part", F.array_join(F.transform("m", lambda m: m["line"]), "\n\n").alias("chat"))

@@ -196,6 +196,30 @@ def test_short_quotes_link_and_a_whole_passage_says_more(spark):
     assert {t: got[t] for t in (4, 5, 6)} == {4: (0, True, 1, 1, 1), 5: (1, True, 1, 3, 3), 6: (5, False, 3, 1, 1)}
 
 
+def test_conversations_are_in_the_order_of_replies(spark):
+    """Every message is followed by its replies, by turn, with all below them."""
+    rng = random.Random(6)
+    rows = [(1, 0, "u", "zero."), (1, 1, "a", "one."), (1, 2, "u", "> zero.\ntwo."), (1, 3, "a", "three."), (1, 4, "u", "> one.\nfour.")]
+    for t in range(300):
+        rows += [(2, t, "u", (f"> say {rng.randrange(t)}.\n" if t and rng.random() < 0.4 else "") + f"say {t}.")] * rng.choice([1, 1, 2])
+    frame = spark.createDataFrame([*rows, (None, 1, "u", "x")], "conv_id long, turn long, role string, text string").repartition(4)
+    linked = quotes.link_quotes(frame)
+    got = {(r.conv_id, r.turn): r for r in linked.collect()}
+    assert [t for _, t in sorted((r.place, r.turn) for r in got.values() if r.conv_id == 1)] == [0, 1, 4, 2, 3]
+    below, times = defaultdict(list), Counter((c, t) for c, t, _, _ in rows)
+    for (c, t), r in sorted((k, r) for k, r in got.items() if k[0]):
+        below[c, r.reply_to].append(t)
+    for c in (1, 2):
+        walk, place = [0], 0
+        while walk:
+            t = walk.pop()
+            assert (got[c, t].place, got[c, t].thread) == (place, 0)
+            place += times[c, t]
+            walk += reversed(below[c, t])
+    assert (got[None, 1].place, got[None, 1].thread) == (None, None)
+    assert quotes.chat_chunks(linked).filter("conv_id = 1").first().chat.split("\n\n") == ["u: zero.", "a: one.", "u: four.", "u: two.", "a: three."]
+
+
 # ---------------------------------------------------------------- tokens
 
 def test_simple8b_round_trips():
