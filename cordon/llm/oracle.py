@@ -180,6 +180,61 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT x, min(y) AS co
 """
 
 
+def _manifest() -> str:
+    """Levels of the forest and of the tree over its roots by ``GROUP BY idx // 3``; proofs by joins per level; crc32 bit by bit."""
+    def field(x):
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE octet_length(encode(CAST({x} AS VARCHAR))) || ':' || CAST({x} AS VARCHAR) END"
+
+    def leaf(text):
+        return f"sha256({' || '.join([field(c) for c in ('doc_id', 'source', 'lang', 'n_chars')] + [field(text)])})"
+
+    step = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    crc = ("list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+           f"lambda acc, x: list_reduce(list_concat([xor(acc, x)], list_transform(range(8), lambda z: CAST(0 AS BIGINT))), lambda a, b: {step}))")
+
+    def levels(name, start):
+        return f"""
+{name} AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), any_value((n + 2) // 3)
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 3
+)"""
+
+    def climb(name, start, nodes):
+        return f"""
+{name} AS (
+  {start}
+  UNION ALL
+  SELECT c.row, c.tree, c.level + 1, c.idx // 3,
+         c.proof || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (WHERE s.idx <> c.idx), ''),
+         sha256(string_agg(CASE WHEN s.idx = c.idx THEN c.fold ELSE s.h END, '' ORDER BY s.idx))
+  FROM {name} c JOIN {nodes} s ON s.tree = c.tree AND s.level = c.level AND s.idx // 3 = c.idx // 3
+  WHERE s.n > 1 GROUP BY c.row, c.tree, c.level, c.idx, c.proof, c.fold
+)"""
+
+    return f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS tree, {leaf("text")} AS leaf,
+         CASE WHEN (xor({crc}, 4294967295)) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS other
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER () AS row, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY tree) AS n FROM hashed
+),
+{levels("nodes", "SELECT tree, 0 AS level, CAST(idx AS BIGINT) AS idx, leaf AS h, CAST(n AS BIGINT) AS n FROM placed")},
+subroots AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{levels("top", "SELECT '' AS tree, 0 AS level, CAST(idx AS BIGINT) AS idx, h, CAST(n AS BIGINT) AS n FROM subroots")},
+{climb("lower", "SELECT row, tree, 0 AS level, CAST(idx AS BIGINT) AS idx, '' AS proof, other AS fold FROM placed", "nodes")},
+{climb("upper", "SELECT l.row, '' AS tree, 0 AS level, CAST(s.idx AS BIGINT) AS idx, l.proof, l.fold FROM lower l JOIN nodes e ON e.tree = l.tree AND e.level = l.level AND e.n = 1 JOIN subroots s ON s.tree = l.tree", "top")}
+SELECT p.doc_id, p.leaf, s.h AS subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.fold AS folded_root, u.fold = r.h AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree JOIN (SELECT level, h FROM top WHERE n = 1) r ON true
+JOIN upper u ON u.row = p.row AND u.level = r.level
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
     return {"op1_suffix_merge_dedup": _repeats(), "op4_jaccard_metric_join": _jaccard(), "op8_host_rules": _host_rules(),
-            "op9_entropy_secrets": _secrets(), "op10_fair_queue_mix": _mix()}
+            "op9_entropy_secrets": _secrets(), "op10_fair_queue_mix": _mix(),
+            "op11_postorder_manifest": _manifest()}

@@ -96,6 +96,19 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op11_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.merkle import FIELDS, folded, leaf_hash, manifest, proof_hash
+
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = leaf_hash(*[F.translate("text", "\n", "") if c == "text" else F.col(c) for c in FIELDS])
+    leaf = leaf_hash(*[F.col(c) for c in FIELDS])
+    found = manifest(docs, other_leaf=F.when(chosen, tampered).otherwise(leaf))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_hash(F.col("proof")).alias("proof_sha256"),
+                        folded(F.col("other"), F.col("proof")).alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_merge_dedup": op1_suffix_merge_dedup,
@@ -108,4 +121,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_host_rules": op8_host_rules,
         "op9_entropy_secrets": op9_entropy_secrets,
         "op10_fair_queue_mix": op10_fair_queue_mix,
+        "op11_postorder_manifest": op11_postorder_manifest,
     }
