@@ -109,6 +109,15 @@ def op11_postorder_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from cordon.llm.bytebpe import decode_ids, encode_texts
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    both = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return both.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_merge_dedup": op1_suffix_merge_dedup,
@@ -122,4 +131,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_entropy_secrets": op9_entropy_secrets,
         "op10_fair_queue_mix": op10_fair_queue_mix,
         "op11_postorder_manifest": op11_postorder_manifest,
+        "op12_recursive_bpe": op12_recursive_bpe,
     }
