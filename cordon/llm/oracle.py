@@ -6,7 +6,7 @@ brute force in ``tests/llm``.
 
 from __future__ import annotations
 
-from cordon.llm import hostrules, jaccard, mixing, secrets, suffixdedup
+from cordon.llm import hostrules, jaccard, mixing, negatives, secrets, suffixdedup
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -234,7 +234,29 @@ JOIN upper u ON u.row = p.row AND u.level = r.level
 """
 
 
+def _negatives() -> str:
+    p, n = negatives.POSITIVES, negatives.NEGATIVES
+    return f"""
+WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS uid,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.uid, a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ r ON a.uid <> r.uid WHERE a.vec_id % 100 = 0
+),
+positives AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, id) AS slot FROM scored WHERE same QUALIFY slot <= {p})
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.uid, p.slot ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.uid = p.uid AND NOT s.same AND {negatives.LEAST} * p.score <= 100 * s.score AND 100 * s.score <= {negatives.MOST} * p.score
+QUALIFY rank <= {n}
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
     return {"op1_suffix_merge_dedup": _repeats(), "op4_jaccard_metric_join": _jaccard(), "op8_host_rules": _host_rules(),
             "op9_entropy_secrets": _secrets(), "op10_fair_queue_mix": _mix(),
-            "op11_postorder_manifest": _manifest()}
+            "op11_postorder_manifest": _manifest(), "op13_multi_index_negatives": _negatives()}

@@ -118,6 +118,14 @@ def op12_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op13_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cordon.llm.negatives import mine, quantised, usable
+
+    rows = table(spark, sf_dir, "embeddings").filter(usable(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows, "vec_id", label, quantised(F.col("embedding")), F.col("vec_id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_merge_dedup": op1_suffix_merge_dedup,
@@ -132,4 +140,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_fair_queue_mix": op10_fair_queue_mix,
         "op11_postorder_manifest": op11_postorder_manifest,
         "op12_recursive_bpe": op12_recursive_bpe,
+        "op13_multi_index_negatives": op13_multi_index_negatives,
     }
