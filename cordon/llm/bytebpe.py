@@ -24,15 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cordon.llm.idcache import KnownIds, gather
 from cordon.llm.wordhash import SPACE, prefix_hash, span_hash
 
 #: bytes of text that are cut into units together; a longer text is cut between units
-PIECE = 2 << 20
-#: units and words in the younger half of a cache
-KEPT = 300_000
+PIECE = 1 << 20
+#: words in the younger half of a cache
+KEPT = 100_000
 SHORT = 64
 #: token rows decoded by one query
-ROWS = 1 << 19
+ROWS = 1 << 18
 #: white space beyond the six plain characters
 _RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -108,26 +109,33 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         # the same classes wherever the pattern runs
         self.pattern = regex.compile(pattern.replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
-        merges = [(self.ranks[w[:i]], self.ranks[w[i:]], rank) for w, rank in self.ranks.items()
-                  for i in range(1, len(w)) if w[:i] in self.ranks and w[i:] in self.ranks]
-        a, b, rank = (np.array(x, np.int32) for x in zip(*merges)) if merges else (np.zeros(0, np.int32),) * 3
-        early = set(np.concatenate([a[a > rank], b[b > rank]]).tolist())
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '600MB'")
-        self.db.register("arrow_merges", pa.table({"a": a, "b": b, "rank": rank, "safe": np.array([r not in early for r in rank.tolist()], bool)}))
-        self.db.execute("CREATE TABLE merges AS FROM arrow_merges")
+        self.db.execute("SET memory_limit = '400MB'")
         # bytes as the characters of the same number: text that any byte string has
         self.db.register("arrow_vocabulary", pa.table({"token": np.fromiter(self.ranks.values(), np.int32, len(self.ranks)),
                                                        "bytes": [w.decode("latin-1") for w in self.ranks]}))
         self.db.execute("CREATE TABLE vocabulary AS FROM arrow_vocabulary")
-        for name in ("arrow_merges", "arrow_vocabulary"):
-            self.db.unregister(name)
+        self.db.unregister("arrow_vocabulary")
         self.single = np.array([self.ranks.get(bytes([x]), -1) for x in range(256)], np.int32)
-        self.words, self.units = Recent(), Recent()
+        self.words, self.units = Recent(), KnownIds()
+        self.has_merges = False
+
+    def _add_merges(self) -> None:
+        """Every pair of tokens that is a token: the merge table."""
+        merges = [(self.ranks[w[:i]], self.ranks[w[i:]], rank) for w, rank in self.ranks.items()
+                  for i in range(1, len(w)) if w[:i] in self.ranks and w[i:] in self.ranks]
+        a, b, rank = (np.array(x, np.int32) for x in zip(*merges)) if merges else (np.zeros(0, np.int32),) * 3
+        early = set(np.concatenate([a[a > rank], b[b > rank]]).tolist())
+        self.db.register("arrow_merges", pa.table({"a": a, "b": b, "rank": rank, "safe": np.array([r not in early for r in rank.tolist()], bool)}))
+        self.db.execute("CREATE TABLE merges AS FROM arrow_merges")
+        self.db.unregister("arrow_merges")
+        self.has_merges = True
 
     def contract(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as bytes of little-endian 32-bit integers."""
+        if not self.has_merges:
+            self._add_merges()
         data, sizes = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words], np.int64)
         token = self.single[data]
         if (token < 0).any():
@@ -154,9 +162,9 @@ class Vocabulary:
         unknown = list(dict.fromkeys(unknown))
         for some in ([w for w in unknown if len(w) <= SHORT], [w for w in unknown if len(w) > SHORT]):
             lo = 0
-            while lo < len(some):  # about 200,000 rows a query, or one word
+            while lo < len(some):  # about 100,000 rows a query, or one word
                 hi, size = lo, 0
-                while hi < len(some) and (hi == lo or size + len(some[hi]) <= 200_000):
+                while hi < len(some) and (hi == lo or size + len(some[hi]) <= 100_000):
                     size, hi = size + len(some[hi]), hi + 1
                 for w, ids in zip(some[lo:hi], self.contract(some[lo:hi])):
                     self.words.put(w, ids)
@@ -164,15 +172,11 @@ class Vocabulary:
 
     def of_units(self, units: list[bytes]) -> list[bytes]:
         """Ids of each unit."""
-        found = [self.units.get(u) for u in units]
-        missing = [i for i, x in enumerate(found) if x is None]
-        for lo in range(0, len(missing), KEPT // 4):  # fewer than the cache keeps
-            some = missing[lo:lo + KEPT // 4]
-            parts = [[m.encode() for m in self.pattern.findall(units[i].decode())] for i in some]
+        found: list[bytes] = []
+        for lo in range(0, len(units), KEPT // 4):  # fewer words than the cache keeps
+            parts = [[m.encode() for m in self.pattern.findall(u.decode())] for u in units[lo:lo + KEPT // 4]]
             self.of_words([w for p in parts for w in p])
-            for i, p in zip(some, parts):
-                found[i] = b"".join(map(self.words.get, p))
-                self.units.put(units[i], found[i])
+            found += [b"".join(map(self.words.get, p)) for p in parts]
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -190,14 +194,16 @@ class Vocabulary:
             where = np.empty(len(distinct), np.int64)
             where[code[::-1]] = np.arange(len(code) - 1, -1, -1)
             second = span_hash(pre2, start, stop, 1)
-            if not np.array_equal(second, second[where][code]):  # two units of one hash: each for itself
-                code = where = np.arange(len(start))
-            ids = self.of_units([data[a:b] for a, b in zip(start[where].tolist(), stop[where].tolist())])
-            sizes = np.array([len(x) for x in ids], np.int64) >> 2
-            pool, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+            a, b = start[where].tolist(), stop[where].tolist()
+            if np.array_equal(second, second[where][code]):
+                pool, begin, sizes = self.units.ids_of(distinct, second[where], lambda new: self.of_units([data[a[i]:b[i]] for i in new.tolist()]))
+            else:  # two units of one hash: each for itself
+                code = np.arange(len(start))
+                ids = self.of_units([data[i:j] for i, j in zip(start.tolist(), stop.tolist())])
+                sizes = np.array([len(x) for x in ids], np.int64) >> 2
+                pool, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
             size = sizes[code]
-            upto = np.cumsum(size)
-            flat = pool[np.repeat(at[code] - (upto - size), size) + np.arange(int(upto[-1]))].tobytes()
+            flat = gather(pool, begin[code], size).tobytes()
             per = np.cumsum(np.bincount(piece, weights=size, minlength=len(pieces)).astype(np.int64))
             for i, row in enumerate(owner):
                 out[row].append(flat[4 * int(per[i - 1] if i else 0):4 * int(per[i])])
@@ -309,12 +315,12 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``4 * PIECE`` bytes, or one row."""
+    """Parts of a batch of about ``PIECE`` bytes, or one row."""
     sizes = [len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)]
     lo = 0
     while lo < batch.num_rows:
         hi, size = lo + 1, sizes[lo]
-        while hi < batch.num_rows and size + sizes[hi] <= 4 * PIECE:
+        while hi < batch.num_rows and size + sizes[hi] <= PIECE:
             size, hi = size + sizes[hi], hi + 1
         yield batch.slice(lo, hi - lo)
         lo = hi
@@ -324,7 +330,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     """``id, n_tokens, ids`` of every row; ``ids`` are the tokens as little-endian unsigned 32-bit integers.
 
     Special tokens' strings are ordinary text.  Null and empty texts have no tokens.  A text may be of any
-    length: it is cut into pieces of 2 MB where no match goes on; a single word may be long too, it takes as many
+    length: it is cut into pieces of 1 MB where no match goes on; a single word may be long too, it takes as many
     steps as it has different pairs to contract.  Repeated rows stay, null ids come back as they are, an empty
     table gives no rows, and other columns are not read.  ``path`` must be readable by every executor.
     """

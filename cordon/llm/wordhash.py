@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 U = np.uint64
 PIECE = 2 << 20
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
+#: tables of powers grow by so many entries
+_STEP_UP = 1 << 19
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 SPACE = np.zeros(256, bool)
@@ -50,7 +52,7 @@ def lowered(data: np.ndarray) -> np.ndarray:
 def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n``."""
     if which not in _POWERS or len(_POWERS[which][0]) < n:
-        size = max(n, PIECE + (PIECE >> 1))
+        size = -(-n // _STEP_UP) * _STEP_UP
         base = _BASE[which]
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
