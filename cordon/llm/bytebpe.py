@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.llm.idcache import KnownIds, gather
+from cordon.llm.idcache import KnownIds, Recent, gather
 from cordon.llm.wordhash import SPACE, prefix_hash, span_hash
 
 #: bytes of text that are cut into units together; a longer text is cut between units
@@ -118,7 +118,7 @@ class Vocabulary:
         self.db.execute("CREATE TABLE vocabulary AS FROM arrow_vocabulary")
         self.db.unregister("arrow_vocabulary")
         self.single = np.array([self.ranks.get(bytes([x]), -1) for x in range(256)], np.int32)
-        self.words, self.units = Recent(), KnownIds()
+        self.words, self.units = Recent(KEPT), KnownIds()
         self.has_merges = False
 
     def _add_merges(self) -> None:
@@ -237,27 +237,6 @@ class Vocabulary:
         return [b"".join(x) for x in out]
 
 
-class Recent:
-    """A dictionary of what was used lately, in two halves: a full younger half becomes the older one."""
-
-    def __init__(self):
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def get(self, key: bytes) -> bytes | None:
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.put(key, found)
-        return found
-
-    def put(self, key: bytes, value: bytes) -> None:
-        if len(self.young) >= KEPT:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
 def _gathered(texts: pa.Array) -> Iterator[tuple[list[int], list[bytes]]]:
     """``(row of each piece, pieces)``, about ``PIECE`` bytes at a time; long texts are cut where a gap begins."""
     owner, pieces, held = [], [], 0

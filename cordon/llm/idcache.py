@@ -65,3 +65,25 @@ class KnownIds:
             if len(self.young.key) > self.limit:
                 self.old, self.young = self.young, _Half()
         return pool, begin, size
+
+
+class Recent:
+    """A dictionary of what was used lately, in two halves: a full younger half becomes the older one."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key) -> bytes | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value: bytes) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value

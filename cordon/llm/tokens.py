@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cordon.llm import simple8b
+from cordon.llm.idcache import KnownIds, Recent, gather
 from cordon.llm.wordhash import pieces, prefix_hash, span_hash, word_spans
 
 CHUNK_IDS = 1 << 16
-KEPT = 300_000  # entries of a cache, then it starts anew
+KEPT = 150_000  # parts of words in the younger half of a cache
 
 FILE_SCHEMA = ("shard int, chunk int, first_id bigint, n_ids bigint, words binary, block_words binary, escape_at binary, "
                "escape_value binary, doc_ids array<bigint>, doc_sizes array<bigint>")
@@ -39,8 +40,8 @@ class Encoder:
     """Encodes many texts with a public tokenizer's file.
 
     If its pre-tokenizer drops white space, what stands between two spaces encodes alike everywhere, so
-    each distinct string is encoded once and its ids are looked up.  Strings are told apart by two
-    64-bit hashes within a piece; should two ever collide, the piece is encoded text by text.
+    each distinct string is encoded once and its ids are looked up.  Strings are known by two 64-bit
+    hashes; should two of a piece share the first, the piece is encoded text by text.
     """
 
     def __init__(self, path: str):
@@ -59,31 +60,21 @@ class Encoder:
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.words: dict[bytes, bytes] = {}
-        self.of_part: dict[str, bytes] = {}
+        self.words, self.of_part = KnownIds(1_000_000), Recent(KEPT)
 
     def _part(self, part: str) -> bytes:
         found = self.of_part.get(part)
         if found is None:
             raw = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
             found = np.array([t.id for t in self.tokenizer.model.tokenize(raw)], "<u4").tobytes()
-            if len(self.of_part) >= KEPT:
-                self.of_part.clear()
-            self.of_part[part] = found
+            self.of_part.put(part, found)
         return found
 
     def _word(self, raw: bytes) -> bytes:
-        found = self.words.get(raw)
-        if found is None:
-            word = raw.decode()
-            if _SAFE.fullmatch(word) and "<|" not in word:
-                found = b"".join(map(self._part, self.parts.findall(word.lower())))
-            else:
-                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            if len(self.words) >= KEPT:
-                self.words.clear()
-            self.words[raw] = found
-        return found
+        word = raw.decode()
+        if _SAFE.fullmatch(word) and "<|" not in word:
+            return b"".join(map(self._part, self.parts.findall(word.lower())))
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``(ids, ids per text)`` of consecutive pieces of the batch."""
@@ -106,13 +97,10 @@ class Encoder:
         other = span_hash(prefix_hash(data, 1), start, stop, 1)
         if not np.array_equal(other, other[where][code]):
             return None
-        raw = data.tobytes()
-        found = [self._word(raw[a:b]) for a, b in zip(start[where].tolist(), stop[where].tolist())]
-        sizes = np.array([len(x) for x in found], np.int64) >> 2
-        pool, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        raw, a, b = data.tobytes(), start[where].tolist(), stop[where].tolist()
+        pool, begin, sizes = self.words.ids_of(distinct, other[where], lambda new: [self._word(raw[a[i]:b[i]]) for i in new.tolist()])
         size = sizes[code]
-        upto = np.cumsum(size)
-        ids = pool[np.repeat(begin[code] - (upto - size), size) + np.arange(int(upto[-1]))]
+        ids = gather(pool, begin[code], size)
         per_doc = np.bincount(doc, weights=size, minlength=n_docs).astype(np.int64)
         return ids, per_doc
 
