@@ -10,6 +10,8 @@ and the only shuffle carries partial aggregates.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,11 @@ def _key(grain: str, cond: Column, k_long: Column | None = None, k_str: Column |
     ))
 
 
-def _cube(trips: DataFrame, keys: list[Column]) -> DataFrame:
+def _cube(trips: DataFrame, keys: list[Column], by: Sequence[str] = ()) -> DataFrame:
     """One keyed row per trip and report, aggregated once.  An average is a sum and a count of its own
     non-null values, so nulls drop out of it as they do in ``avg``."""
     rows = trips.select(
+        *by,
         F.explode(F.array(*keys)).alias("k"),
         F.when(F.col("congestion_surcharge") > 0, 1).otherwise(0).alias("pos"),
         F.when(F.col("congestion_surcharge") == 0, 1).otherwise(0).alias("zero"),
@@ -42,7 +45,7 @@ def _cube(trips: DataFrame, keys: list[Column]) -> DataFrame:
         speed_mph("trip_distance", "pickup_time", "dropoff_time").alias("speed"),
         tip_share().alias("tip"),
     ).filter(F.col("k").isNotNull())
-    return rows.groupBy("k.grain", "k.k_long", "k.k_str", "k.k_date").agg(
+    return rows.groupBy("k.grain", "k.k_long", "k.k_str", "k.k_date", *by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("pos").cast("bigint").alias("n_pos"),
         F.sum("zero").cast("bigint").alias("n_zero"),
@@ -52,9 +55,27 @@ def _cube(trips: DataFrame, keys: list[Column]) -> DataFrame:
 
 def clean_report_cube(clean: DataFrame, spec: AuditSpec) -> DataFrame:
     """``(grain, k_long, k_str, k_date)`` -> n, surcharge counts, and a count and sum of surcharge, speed and tip."""
+    return _cube(clean, _clean_keys(spec))
+
+
+def period_cube(clean: DataFrame, spec: AuditSpec, by: Sequence[str]) -> DataFrame:
+    """The same states for each period (the columns ``by``); :func:`merge_cubes` adds them up."""
+    return _cube(clean, _clean_keys(spec), by)
+
+
+#: what a cube holds: counts and sums, which are added up when states are merged
+STATES = ("n", "n_pos", "n_zero", *(f"{f}_{c}" for c in ("surcharge", "speed", "tip") for f in ("n", "sum")))
+
+
+def merge_cubes(states: DataFrame) -> DataFrame:
+    """One cube from the cubes of parts of the trips."""
+    return states.groupBy("grain", "k_long", "k_str", "k_date").agg(*[F.sum(c).alias(c) for c in STATES])
+
+
+def _clean_keys(spec: AuditSpec) -> list[Column]:
     after = F.col("pickup_time") >= ts_lit(spec.policy_start)
     q1 = in_period("pickup_time", spec.q1_start, spec.q1_end, spec.half_open)
-    return _cube(clean, [
+    return [
         _key(LEAKAGE, entering("pickup_loc", "dropoff_loc", spec.zone_ids) & after, k_long=F.col("pickup_loc")),
         _key(VOLUME, touching("pickup_loc", "dropoff_loc", spec.zone_ids) & q1),
         _key(SPEED, inside("pickup_loc", "dropoff_loc", spec.zone_ids) & q1,
@@ -62,7 +83,7 @@ def clean_report_cube(clean: DataFrame, spec: AuditSpec) -> DataFrame:
         _key(TIPS, after, k_long=F.month("pickup_time")),
         _key(DAILY, F.lit(True), k_date=F.to_date("pickup_time")),
         _key(BORDER, in_zone("dropoff_loc", spec.border_ids) & border_window(spec), k_long=F.col("dropoff_loc")),
-    ])
+    ]
 
 
 def baseline_report_cube(baseline: DataFrame, spec: AuditSpec) -> DataFrame:

@@ -226,6 +226,39 @@ def _thresholds(speed: float, duration: float, fare: float) -> str:
     return sql
 
 
+def _flagged_all(columns: str, where: str = "true") -> str:
+    """Every trip of ``lineitem``, flagged."""
+    return f"""
+SELECT {columns},
+  CASE WHEN avg_speed_mph > {MAX_SPEED_MPH} THEN '{FLAG_SPEED}'
+       WHEN duration_sec < {MIN_DURATION_SEC} AND fare > {TELEPORT_MIN_FARE} THEN '{FLAG_TELEPORT}'
+       WHEN trip_distance = 0 AND fare > 0 THEN '{FLAG_STATIONARY}' END AS forensic_flag
+FROM (SELECT * REPLACE (coalesce(congestion_surcharge, 0) AS congestion_surcharge), epoch(dropoff_time) - epoch(pickup_time) AS duration_sec,
+             trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0) AS avg_speed_mph FROM mapped) c
+WHERE {where}
+"""
+
+
+def _cube() -> str:
+    """Each report of the clean trips at its grain."""
+    tip = "CASE WHEN fare > 0 THEN ((total_amount - fare - congestion_surcharge) / fare) * 100 ELSE 0 END"
+    after = f"pickup_time >= TIMESTAMP '{S.policy_start}'"
+    grains = {
+        "leakage": ("pickup_loc", "NULL", "NULL", f"pickup_loc NOT IN ({ZONES}) AND dropoff_loc IN ({ZONES}) AND {after}"),
+        "volume": ("NULL", "NULL", "NULL", f"{TOUCHING} AND {Q1}"),
+        "speed": ("hour(pickup_time)", "dayname(pickup_time)", "NULL", f"{INSIDE} AND {Q1}"),
+        "tips": ("month(pickup_time)", "NULL", "NULL", after),
+        "daily": ("NULL", "NULL", "CAST(pickup_time AS DATE)", "true"),
+        "border": ("dropoff_loc", "NULL", "NULL", f"dropoff_loc IN ({BORDER})"),
+    }
+    return "\nUNION ALL\n".join(f"""
+SELECT '{grain}' AS grain, CAST({k} AS BIGINT) AS k_long, CAST({s} AS VARCHAR) AS k_str, CAST({d} AS DATE) AS k_date, count(*) AS n,
+       CAST(count(*) FILTER (WHERE congestion_surcharge > 0) AS BIGINT) AS n_pos, CAST(count(*) FILTER (WHERE congestion_surcharge = 0) AS BIGINT) AS n_zero,
+       avg(congestion_surcharge) AS avg_surcharge,
+       avg(trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0)) AS avg_speed, avg({tip}) AS avg_tip
+FROM clean WHERE {where} GROUP BY ALL""" for grain, (k, s, d, where) in grains.items())
+
+
 def oracle_sql() -> dict[str, str]:
     thr30 = f"{int(S.donors[0].fraction * 2**32):08x}"
     sql = {
@@ -338,6 +371,14 @@ FROM mapped WHERE taxi_type = 'green'
         "monthly_files": _with("""
 SELECT * REPLACE (CASE WHEN year(pickup_time) % 2 = 1 THEN congestion_surcharge END AS congestion_surcharge) FROM mapped
 """, TRIP_DOUBLES),
+        "pruned_months": _with(f"""
+SELECT * REPLACE (CASE WHEN year(pickup_time) % 2 = 1 THEN congestion_surcharge END AS congestion_surcharge),
+       CAST(year(pickup_time) AS INTEGER) AS year, CAST(month(pickup_time) AS INTEGER) AS month
+FROM mapped WHERE year(pickup_time) IN ({", ".join(str(Y - d.years_back) for d in S.donors)}) AND month(pickup_time) = {S.impute_month}
+""", TRIP_DOUBLES),
+        "incremental_periods": _with(_flagged_all("*, CAST(year(pickup_time) AS INTEGER) AS year, CAST(month(pickup_time) AS INTEGER) AS month"),
+                                     TRIP_DOUBLES + ("duration_sec", "avg_speed_mph")),
+        "audit_cube_merged": _with(_cube(), ("avg_surcharge", "avg_speed", "avg_tip")),
         "table_roundtrip": _with(f"""
 SELECT * FROM (
   SELECT *,

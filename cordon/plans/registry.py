@@ -45,11 +45,13 @@ from cordon.operators import (
 )
 from cordon.operators.impute import donor_window
 from cordon.plans.audit_run import baseline_trips, build_reports, materialise_flags
+from cordon.plans.periods import merged_cube, publish_periods, read_trips
 from cordon.plans.views import register_leakage_view, register_views
 from cordon.session import scratch_path
 from cordon.sinks import write_report_csv, write_scalar, write_table
-from cordon.sources.feeds import read_feed, read_parquet, time_columns
+from cordon.sources.feeds import path_exists, read_feed, read_parquet, time_columns
 from cordon.sources.files import read_report_csv, read_scalar, read_weather_json
+from cordon.sources.partitioned import in_periods, land_periods, read_feed_table, table_to_trips
 from cordon.sources.tables import (
     TRIP_KEY,
     events_weather,
@@ -459,6 +461,88 @@ def q_monthly_files(spark, sf_dir):
     return finish(frames[0].unionByName(frames[1]))
 
 
+def _landed(lineitem: DataFrame) -> DataFrame:
+    """Every trip as a raw row of the feed table: each feed's own time columns, the key, the month of its pickup."""
+    trips = lineitem_trips(lineitem)
+    times = [F.when(F.col("taxi_type") == f, F.col(c)).alias(n) for f in AuditSpec().feeds for c, n in zip(("pickup_time", "dropoff_time"), time_columns(f))]
+    return trips.select("VendorID", *times, "trip_distance", F.col("pickup_loc").alias("PULocationID"), F.col("dropoff_loc").alias("DOLocationID"),
+                        F.col("fare").alias("fare_amount"), "total_amount", "congestion_surcharge", TRIP_KEY,
+                        F.col("taxi_type").alias("feed"), F.year("pickup_time").alias("year"), F.month("pickup_time").alias("month"))
+
+
+#: landed and published tables of one application, by input folder: several queries read them
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], None]) -> str:
+    """A folder that ``make`` fills once for an application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT or not path_exists(spark, _KEPT[key]):
+        path = scratch_path(spark, name)
+        make(path)
+        _KEPT[key] = path
+    return _KEPT[key]
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """All trips landed by period, even years in an older schema."""
+    def make(path: str) -> None:
+        raw = _landed(Inputs(spark, sf_dir).lineitem)
+        land_periods(raw.filter("year % 2 = 1"), path)
+        older = {c: F.col(c).cast("int") for c in ("VendorID", "PULocationID", "DOLocationID")}
+        land_periods(raw.filter("year % 2 = 0").withColumns(older).drop("congestion_surcharge"), path)
+
+    return _once(spark, sf_dir, "landing", make)
+
+
+KEY_FIELD = [T.StructField(TRIP_KEY, T.StringType())]
+
+
+@query("pruned_months")
+def q_pruned_months(spark, sf_dir):
+    """The months of a table of expected periods, read from the feed table by one scan that lists only their folders."""
+    i = Inputs(spark, sf_dir)
+    years = [i.spec.analysis_year - d.years_back for d in i.spec.donors]
+    calendar = spark.range(1, 13).select(F.explode(F.array(*[F.lit(f) for f in i.spec.feeds])).alias("feed"), F.col("id").cast("int").alias("month")) \
+        .select("feed", F.explode(F.array(*[F.lit(y) for y in years])).alias("year"), "month")
+    path = write_table(calendar.repartition(1), scratch_path(spark, "expected"))
+    wanted = spark.read.schema(calendar.schema).parquet(path).filter(F.col("month") == i.spec.impute_month)
+    table = read_feed_table(spark, _landing(spark, sf_dir), i.spec.feeds, KEY_FIELD)
+    return finish(table_to_trips(in_periods(table, wanted), i.spec.feeds, keep=[TRIP_KEY], fill_surcharge=False).drop("feed"))
+
+
+def _published_in_steps(spark: SparkSession, sf_dir: str) -> str:
+    """All trips published in two steps: the later years land after the first, and a month that had landed in part
+    is written again."""
+    def make(out: str) -> None:
+        i, root = Inputs(spark, sf_dir), scratch_path(spark, "steps")
+        raw = _landed(i.lineitem)
+        year = i.spec.analysis_year - 1
+        changed = (F.col("feed") == i.spec.feeds[0]) & (F.col("year") == year - 1) & (F.col("month") == 6)
+        land_periods(raw.filter(f"year < {year}").filter(~changed | (F.xxhash64(TRIP_KEY) % 2 == 0)), root)
+        publish_periods(spark, root, out, i.spec, KEY_FIELD)
+        land_periods(raw.filter(changed | (F.col("year") >= year)), root)
+        publish_periods(spark, root, out, i.spec, KEY_FIELD)
+
+    return _once(spark, sf_dir, "published", make)
+
+
+@query("incremental_periods")
+def q_incremental_periods(spark, sf_dir):
+    """Flagged trips by period, published in two steps of new and changed months only."""
+    spec = fixture_spec()
+    return finish(read_trips(spark, _published_in_steps(spark, sf_dir), spec, KEY_FIELD).drop("feed"))
+
+
+@query("audit_cube_merged")
+def q_audit_cube_merged(spark, sf_dir):
+    """Every clean-trip report of the analysis year at its grain, merged from the states of its months."""
+    spec = fixture_spec()
+    cube = merged_cube(spark, _published_in_steps(spark, sf_dir), spec, spec.analysis_year)
+    means = [(F.col(f"sum_{c}") / F.nullif(F.col(f"n_{c}"), F.lit(0))).alias(f"avg_{c}") for c in ("surcharge", "speed", "tip")]
+    return finish(cube.select("grain", "k_long", "k_str", "k_date", "n", "n_pos", "n_zero", *means))
+
+
 @query("sql_leakage")
 def q_sql_leakage(spark, sf_dir):
     """The leakage report read with SQL from its view."""
