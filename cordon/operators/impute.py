@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.functions.sample import in_hash_sample, sample_key
+from cordon.functions.sample import exact_sample, in_hash_sample, sample_key
 from cordon.functions.time import shift_years
 from cordon.sources.feeds import time_columns
 from cordon.spec import Donor
@@ -55,18 +56,23 @@ def impute_month(
     key_cols: Sequence[str] | None = None,
     align_weekdays: bool = False,
     mark_column: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Union of shifted, hash-sampled donor months of one feed (raw schema kept).
 
     ``key_cols`` name the columns whose hash decides membership; default is every
     original column, so identical rows are kept or dropped together.  Each donor frame
     holds the pickups of its :func:`donor_window`.  ``mark_column`` adds a boolean column
-    set to true, so synthetic rows stay traceable downstream.
+    set to true, so synthetic rows stay traceable downstream.  ``exact`` takes exactly the donor's
+    fraction of its rows, rounded half up, instead of about as many (a count and a histogram of each donor).
     """
     parts = []
     for frame, donor in donors:
         cols = list(key_cols) if key_cols else frame.columns
-        sampled = frame.filter(in_hash_sample(sample_key(cols), donor.fraction))
+        if exact:
+            sampled = exact_sample(frame, int(frame.count() * Fraction(str(donor.fraction)) + Fraction(1, 2)), cols)
+        else:
+            sampled = frame.filter(in_hash_sample(sample_key(cols), donor.fraction))
         parts.append(shift_feed_years(sampled, feed, donor.years_back, align_weekdays))
     out = parts[0]
     for p in parts[1:]:

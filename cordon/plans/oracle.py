@@ -239,6 +239,36 @@ WHERE {where}
 """
 
 
+def _impute_exact(feed: str) -> str:
+    """The donors' rows with the least key hashes, as many as their fraction of all."""
+    p = "tpep" if feed == "yellow" else "lpep"
+    parts = []
+    for d in S.donors:
+        lo, hi = _month(Y - d.years_back, S.impute_month)
+        parts.append(f"""
+SELECT * EXCLUDE (place, total) REPLACE ({p}_pickup_datetime + INTERVAL '{d.years_back} years' AS {p}_pickup_datetime,
+                                         {p}_dropoff_datetime + INTERVAL '{d.years_back} years' AS {p}_dropoff_datetime)
+FROM (SELECT *, row_number() OVER (ORDER BY md5(trip_key)) AS place, count(*) OVER () AS total FROM ({_raw(feed, lo, hi)}) r) q
+WHERE place <= floor({round(d.fraction * 100)} * total / 100.0 + 0.5)""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _published(plain: dict[str, str]) -> str:
+    """The reports of a run in one long table."""
+    columns = {
+        "leakage": ("surcharge_leakage", "pickup_loc", "trip_count", "compliance_rate", "missing_surcharge_hits"),
+        "volumes": ("period_volumes", "period", "volume"), "vendors": ("suspicious_vendors", "VendorID || '/' || forensic_flag", "ghost_count"),
+        "border": ("border_effect", "loc_id", "count_24", "count_25", "change_rate"), "velocity_after": ("velocity_after", "hour || '/' || dow", "speed"),
+        "tips": ("tip_crowding", "month", "avg_surcharge", "avg_tip_pct"),
+        "rain_stats": ("scalar_text", "'correlation'", "correlation"),
+    }
+    parts = []
+    for name, (query, key, *values) in columns.items():
+        cells = ", ".join(f"CAST({c} AS DOUBLE) AS v{i + 1}" for i, c in enumerate([*values, *["NULL"] * (3 - len(values))]))
+        parts.append(f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, {cells} FROM ({plain[query]}) q")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _cube() -> str:
     """Each report of the clean trips at its grain."""
     tip = "CASE WHEN fare > 0 THEN ((total_amount - fare - congestion_surcharge) / fare) * 100 ELSE 0 END"
@@ -342,6 +372,11 @@ FROM (SELECT max(CASE WHEN period = '{S.baseline_label}' THEN volume END) AS v_b
 SELECT * REPLACE ({", ".join(f"round({c}, 6) AS {c}" for c in TRIP_DOUBLES)})
 FROM ({_MAPPED}) t WHERE substr(md5(trip_key), 1, 8) < '{thr30}'
 """,
+        "sample_exact": f"""
+SELECT * REPLACE ({", ".join(f"round({c}, 6) AS {c}" for c in TRIP_DOUBLES)})
+FROM (SELECT * FROM ({_MAPPED}) t ORDER BY md5(trip_key) LIMIT 1000) s
+""",
+        "impute_month_exact": _with(_impute_exact("yellow"), RAW_DOUBLES),
         "shift_year": f"""
 SELECT trip_key, pickup_time, pickup_time + INTERVAL '1 year' AS pickup_plus_1y,
        dropoff_time + INTERVAL '2 years' AS dropoff_plus_2y
@@ -402,5 +437,7 @@ FROM (SELECT max(CASE WHEN period = '{S.baseline_label}' THEN volume END) AS v_b
     # the published run and the file round trips give what the plain operators give
     same = {"audit_run_flag_stats": "flag_stats", "audit_run_leakage": "surcharge_leakage", "audit_run_tips": "tip_crowding",
             "audit_run_volumes": "period_volumes", "audit_run_border": "border_effect", "audit_run_velocity_after": "velocity_after",
-            "audit_run_rain": "rain_elasticity", "sql_leakage": "surcharge_leakage", "csv_roundtrip": "velocity_after"}
+            "audit_run_rain": "rain_elasticity", "sql_leakage": "surcharge_leakage", "csv_roundtrip": "velocity_after",
+            "table_replaced": "table_roundtrip"}
+    sql["published_reports"] = _published(sql)
     return sql | {name: sql[plain] for name, plain in same.items()}

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cordon.functions.sample import hash_sample
+from cordon.functions.sample import exact_sample, hash_sample
 from cordon.functions.time import in_period, shift_years, ts_lit
 from cordon.functions.zones import entering, inside, not_in_zone, touching, in_zone
 from cordon.operators import (
@@ -46,6 +46,7 @@ from cordon.operators import (
 from cordon.operators.impute import donor_window
 from cordon.plans.audit_run import baseline_trips, build_reports, materialise_flags
 from cordon.plans.periods import merged_cube, publish_periods, read_trips
+from cordon.plans.publish import publish_run, read_published
 from cordon.plans.views import register_leakage_view, register_views
 from cordon.session import scratch_path
 from cordon.sinks import write_report_csv, write_scalar, write_table
@@ -62,6 +63,7 @@ from cordon.sources.tables import (
     month_bounds,
 )
 from cordon.spec import AuditSpec, fixture_spec
+from cordon.tablestore import open_table, replace_table
 
 DIGITS = 6
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -346,6 +348,19 @@ def q_sample_hash(spark, sf_dir):
     return finish(hash_sample(trips, i.spec.donors[0].fraction, [TRIP_KEY]))
 
 
+@query("sample_exact")
+def q_sample_exact(spark, sf_dir):
+    """Exactly 1,000 trips, those with the least hashes of their keys."""
+    return finish(exact_sample(lineitem_trips(Inputs(spark, sf_dir).lineitem), 1000, [TRIP_KEY]))
+
+
+@query("impute_month_exact")
+def q_impute_month_exact(spark, sf_dir):
+    """The rebuilt month from exactly 30 and 70 % of its donors' rows."""
+    i = Inputs(spark, sf_dir)
+    return finish(impute_month(i.donors("yellow"), "yellow", key_cols=[TRIP_KEY], exact=True))
+
+
 @query("shift_year")
 def q_shift_year(spark, sf_dir):
     """Every pickup moved 1 and 2 years forward (Feb 29 clamps to Feb 28)."""
@@ -563,6 +578,41 @@ def q_table_roundtrip(spark, sf_dir):
     return finish(spark.read.schema(flagged.schema).parquet(path))
 
 
+@query("table_replaced")
+def q_table_replaced(spark, sf_dir):
+    """A table of all flagged trips, replaced as a whole by a selection read from itself."""
+    i = Inputs(spark, sf_dir)
+    flagged = flag_trips(lineitem_trips(i.lineitem), i.spec)
+    path = replace_table(flagged, scratch_path(spark, "replaced"), partition_by=["forensic_flag"])
+    replace_table(open_table(spark, path, flagged.schema).filter("forensic_flag IS NOT NULL"), path, sort_within=["pickup_time"])
+    return finish(open_table(spark, path, flagged.schema))
+
+
+@query("published_reports")
+def q_published_reports(spark, sf_dir):
+    """The reports of one published run, read through its manifest, in one long table."""
+    def make(out: str) -> None:
+        i = Inputs(spark, sf_dir)
+        _, counts, audited = materialise_flags(spark, i.trips, spec=i.spec)
+        reports, scalars = build_reports(audited, i.baseline, i.weather, i.spec, flag_counts=counts)
+        publish_run(reports, out, scalars)
+
+    found = read_published(spark, _once(spark, sf_dir, "exports", make))
+    columns = {  # key, then up to three numbers
+        "leakage": ("pickup_loc", "trip_count", "compliance_rate", "missing_surcharge_hits"), "volumes": ("period", "volume"),
+        "vendors": ("concat_ws('/', VendorID, forensic_flag)", "ghost_count"), "border": ("loc_id", "count_24", "count_25", "change_rate"),
+        "velocity_after": ("concat_ws('/', hour, dow)", "speed"), "tips": ("month", "avg_surcharge", "avg_tip_pct"), "rain_stats": ("'correlation'", "value"),
+    }
+    parts = []
+    for name, (key, *values) in columns.items():
+        cells = [f"CAST({c} AS DOUBLE) AS v{i + 1}" for i, c in enumerate([*values, *["NULL"] * (3 - len(values))])]
+        parts.append(found[name].selectExpr(f"'{name}' AS report", f"CAST({key} AS STRING) AS key", *cells))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return finish(out)
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """The speed report as CSV and back."""
