@@ -163,8 +163,7 @@ def test_static_and_dynamic_pruning(spark, landed, scratch):
     expected = spark.read.parquet(f"{scratch}/expected").filter("month = 2")
     pruned = in_periods(table, expected).select("trip_distance")
     text = executed(spark, pruned)
-    assert "dynamicpruning" in text and len(pruned.collect()) == 40
-    assert scanned_partitions(pruned) == [1]
+    assert "dynamicpruning" in text and scanned_partitions(pruned) == [1] and pruned.count() == 40
 
 
 def test_a_new_month_scans_one_month(spark, landed, monkeypatch):
