@@ -44,6 +44,7 @@ from cordon.operators.onepass import (
     volume_from,
 )
 from cordon.operators.reports import border_change
+from cordon.plans.publish import export_run, publish_run
 from cordon.session import scratch_path
 from cordon.sinks import publish_reports, write_table
 from cordon.sources.feeds import (
@@ -56,6 +57,7 @@ from cordon.sources.feeds import (
     write_month,
 )
 from cordon.spec import FLAG_SPEED, FLAG_STATIONARY, FLAG_TELEPORT, AuditSpec
+from cordon.tablestore import open_table, replace_table
 
 
 FLAGS = (FLAG_SPEED, FLAG_TELEPORT, FLAG_STATIONARY)
@@ -97,9 +99,10 @@ def materialise_flags(spark: SparkSession, trips: DataFrame, path: str | None =
     path = path or scratch_path(spark, "audit_results")
     # sorting by the flag first satisfies the partitioned writer's required ordering, so
     # it adds no second sort and every file stays ordered by pickup time
-    write_table(observed, path, partition_by=["forensic_flag"] if layout == "by_flag" else (),
-                sort_within=["forensic_flag", "pickup_time"])
-    table = spark.read.schema(flagged.schema).parquet(path)
+    # what the path held before stays whole until the new table is
+    replace_table(observed, path, partition_by=["forensic_flag"] if layout == "by_flag" else (),
+                  sort_within=["forensic_flag", "pickup_time"])
+    table = open_table(spark, path, flagged.schema)
     return path, dict(obs.get), table
 
 
@@ -166,15 +169,20 @@ def run_audit(spark: SparkSession, raw_feeds: dict[str, DataFrame],
               baseline_raw: DataFrame | dict[str, DataFrame],
               weather: DataFrame | None, spec: AuditSpec, out_dir: str,
               table_path: str | None = None, keep: tuple[str, ...] = (),
-              layout: str = "sorted", names: Mapping[str, str] | None = None) -> AuditResult:
+              layout: str = "sorted", names: Mapping[str, str] | None = None, runs: bool = False) -> AuditResult:
     """``baseline_raw``: one raw frame of the baseline feed, or one per baseline feed;
     ``keep``: extra raw columns carried into the audit table (e.g. ``imputed``);
-    ``names``: other file names for reports (e.g. :data:`EXPORT_NAMES`)."""
+    ``names``: other file names for reports (e.g. :data:`EXPORT_NAMES`); ``runs`` publishes in two phases
+    (:mod:`cordon.plans.publish`) and then exports the run as single files."""
     trips = unify_feeds(raw_feeds, keep=keep)
     path, counts, audited = materialise_flags(spark, trips, table_path, layout, spec)
     baseline = baseline_trips(baseline_raw, spec)
     reports, scalars = build_reports(audited, baseline, weather, spec, flag_counts=counts)
-    written = publish_reports(reports, out_dir, scalars, names=names)
+    if runs:
+        publish_run(reports, out_dir, scalars)
+        written = export_run(spark, out_dir, out_dir, names)
+    else:
+        written = publish_reports(reports, out_dir, scalars, names=names)
     return AuditResult(path, counts, reports, written)
 
 
@@ -220,6 +228,8 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
                     donor_path = feed_path(root, feed, yy, mm, template)
                     if not path_exists(spark, donor_path):
                         raise FileNotFoundError(f"donor {donor_path} for imputing {feed} {y}-{m:02d} is missing")
+                    if not is_complete(spark, donor_path):
+                        raise ValueError(f"donor {donor_path} has no _SUCCESS mark: its writer did not finish")
                 frame_d = read_feed_months(spark, root, feed, months, template)
                 if spec.align_weekdays:  # the window reaches into neighbouring months' files
                     pickup = F.col(time_columns(feed)[0])
@@ -235,6 +245,18 @@ def feeds_with_imputation(spark: SparkSession, root: str, spec: AuditSpec,
     return feeds
 
 
+def read_baseline(spark: SparkSession, root: str, spec: AuditSpec, template: str = DEFAULT_TEMPLATE) -> dict[str, DataFrame]:
+    """The baseline months of each baseline feed; one that is missing or half written raises with its path."""
+    for feed in spec.baseline_feed_list:
+        for y, m in spec.baseline_periods:
+            path = feed_path(root, feed, y, m, template)
+            if not path_exists(spark, path):
+                raise FileNotFoundError(f"baseline month {path} is missing")
+            if not is_complete(spark, path):
+                raise ValueError(f"baseline month {path} has no _SUCCESS mark: its writer did not finish")
+    return {f: read_feed_months(spark, root, f, spec.baseline_periods, template) for f in spec.baseline_feed_list}
+
+
 def _months_between(start: str, end: str) -> list[tuple[int, int]]:
     """Calendar months overlapping ``[start, end)``."""
     y, m = int(start[:4]), int(start[5:7])
@@ -250,13 +272,15 @@ def _months_between(start: str, end: str) -> list[tuple[int, int]]:
 def main(argv=None) -> None:
     from cordon.plans.registry import Inputs
     from cordon.session import apply_cluster_conf, local_session
-    from cordon.sources.files import read_weather_json
+    from cordon.sources.files import read_weather_checked
 
     ap = argparse.ArgumentParser(description="run the audit and publish its reports")
     ap.add_argument("--out", required=True, help="report folder (any Hadoop file system)")
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01", help="test tables (when --root is not given)")
     ap.add_argument("--root", help="folder of monthly files {feed}_tripdata_{year}-{month:02d}.parquet")
     ap.add_argument("--weather-json", help="daily weather JSON of parallel arrays")
+    ap.add_argument("--weather-optional", action="store_true", help="go on without the rain reports if the weather file is missing")
+    ap.add_argument("--runs", action="store_true", help="publish as one run with a manifest, then export single files under fixed names")
     ap.add_argument("--year", type=int, help="analysis year (with --root)")
     ap.add_argument("--policy-start", help="policy start date, YYYY-MM-DD (with --root)")
     ap.add_argument("--like-for-like", action="store_true", help="baseline = same quarter and feeds")
@@ -286,13 +310,16 @@ def main(argv=None) -> None:
             spec = spec.with_(align_weekdays=True)
         spec = spec.with_(impute_only=args.impute_only)
         feeds = feeds_with_imputation(spark, args.root, spec, write_imputed=args.write_imputed, mark_imputed=args.mark_imputed)
-        baseline = {f: read_feed_months(spark, args.root, f, spec.baseline_periods) for f in spec.baseline_feed_list}
-        weather = read_weather_json(spark, args.weather_json) if args.weather_json else None
+        baseline = read_baseline(spark, args.root, spec)
+        weather = None
+        if args.weather_json and (path_exists(spark, args.weather_json) or not args.weather_optional):
+            weather, bad = read_weather_checked(spark, args.weather_json)
+            write_table(bad, f"{args.out.rstrip('/')}/quarantine/weather")
     else:
         i = Inputs(spark, args.sf_dir)
         spec, feeds, baseline, weather = i.spec, i.raw_feeds, i.baseline_raw, i.weather
     res = run_audit(spark, feeds, baseline, weather, spec, args.out, layout=args.layout,
-                    keep=("imputed",) if args.root and args.mark_imputed else (), names=EXPORT_NAMES if args.export_names else None)
+                    keep=("imputed",) if args.root and args.mark_imputed else (), names=EXPORT_NAMES if args.export_names else None, runs=args.runs)
     print({"table": res.table_path, "flags": res.flag_counts, "written": sorted(res.written)})
 
 

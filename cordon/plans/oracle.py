@@ -414,6 +414,37 @@ FROM mapped WHERE year(pickup_time) IN ({", ".join(str(Y - d.years_back) for d i
         "incremental_periods": _with(_flagged_all("*, CAST(year(pickup_time) AS INTEGER) AS year, CAST(month(pickup_time) AS INTEGER) AS month"),
                                      TRIP_DOUBLES + ("duration_sec", "avg_speed_mph")),
         "audit_cube_merged": _with(_cube(), ("avg_surcharge", "avg_speed", "avg_tip")),
+        "sql_function_leakage": _with("""
+SELECT pickup_loc, count(*) AS trip_count, avg(CASE WHEN congestion_surcharge > 0 THEN 1 ELSE 0 END) AS compliance_rate,
+       CAST(count(*) FILTER (WHERE congestion_surcharge = 0) AS BIGINT) AS missing_surcharge_hits
+FROM clean WHERE pickup_loc NOT IN (236, 237, 238, 239, 262, 263) AND dropoff_loc IN (236, 237, 238, 239, 262, 263) AND pickup_time >= TIMESTAMP '2000-02-01'
+GROUP BY 1 ORDER BY missing_surcharge_hits DESC, pickup_loc NULLS LAST LIMIT 10
+""", ("compliance_rate",)),
+        "lookup_default": _with("""
+SELECT trip_key, pickup_loc, dropoff_loc, coalesce(s_name, 'unknown') AS s_name, coalesce(s_acctbal, 0.0) AS s_acctbal, coalesce(n_name, 'nowhere') AS n_name
+FROM mapped LEFT JOIN supplier ON s_suppkey = pickup_loc LEFT JOIN nation ON n_nationkey = dropoff_loc
+""", ("s_acctbal",)),
+        "velocity_exact": _with(f"""
+SELECT hour, dow, CAST(sum(CAST(s AS DECIMAL(38, 12))) AS DOUBLE) / nullif(count(s), 0) AS speed
+FROM (SELECT hour(pickup_time) AS hour, dayname(pickup_time) AS dow,
+             trip_distance / (NULLIF(epoch(dropoff_time) - epoch(pickup_time), 0) / 3600.0) AS s FROM clean WHERE {INSIDE} AND {Q1}) v
+GROUP BY 1, 2
+""", ("speed",)),
+        "rain_exact": _with("""
+SELECT corr(daily_trips, precip_mm) AS correlation, regr_slope(daily_trips, precip_mm) AS slope,
+       regr_intercept(daily_trips, precip_mm) AS intercept, regr_r2(daily_trips, precip_mm) AS r2 FROM rain
+""", ("correlation", "slope", "intercept", "r2")),
+        "weather_json_quarantine": _with("""
+SELECT CASE WHEN reason IS NULL THEN 'good' ELSE 'bad' END AS status, day, CASE WHEN reason IS NULL THEN precip_mm END AS precip_mm, reason
+FROM (
+  SELECT precip_mm, CASE WHEN day(date) = 7 THEN strftime(date, '%Y-99-%d') ELSE CAST(date AS VARCHAR) END AS day,
+         CASE WHEN part = 4 AND date = max(date) OVER (PARTITION BY date_trunc('month', date), part) THEN 'no value for the day'
+              WHEN day(date) = 7 THEN 'day is no date' WHEN day(date) = 3 THEN 'value is no number' END AS reason
+  FROM (SELECT *, (day(date) - 1) // 5 AS part FROM weather) w WHERE part <> 5
+  UNION ALL
+  SELECT NULL, NULL, 'unreadable object' FROM (SELECT DISTINCT date_trunc('month', date) FROM weather WHERE (day(date) - 1) // 5 = 5) m
+) q
+""", ("precip_mm",)),
         "table_roundtrip": _with(f"""
 SELECT * FROM (
   SELECT *,

@@ -15,7 +15,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cordon") -> SparkSession:
     """Local session for tests and the bench; a cluster passes its own builder config."""
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.config(map=_work_folder()).master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -35,6 +35,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _work_folder() -> dict[str, str]:
+    """The setting for a fresh work folder on this machine, where neither a running session nor Spark's defaults name one."""
+    from pyspark import SparkConf, SparkContext
+
+    if SparkContext._active_spark_context is not None or SparkConf().get(CHECKPOINT_KEY, None):
+        return {}
+    return {CHECKPOINT_KEY: tempfile.mkdtemp(prefix="cordon-ckpt-")}
+
+
+#: work folders of local sessions that were started without one, by application
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def ensure_work_dir(spark: SparkSession) -> str:
     """Return the cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -49,7 +62,7 @@ def ensure_work_dir(spark: SparkSession) -> str:
     if not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError(f"{CHECKPOINT_KEY} is not set: a cluster ({master}) needs a folder that all its executors share")
     path = tempfile.mkdtemp(prefix="cordon-ckpt-")
-    spark.conf.set(CHECKPOINT_KEY, path)
+    _LOCAL_FOLDERS[spark.sparkContext.applicationId] = path  # Spark takes the setting at its start only
     spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -58,7 +71,7 @@ def work_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get(CHECKPOINT_KEY, None)
     if not value:
         value = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
-    return value or None
+    return value or _LOCAL_FOLDERS.get(getattr(spark.sparkContext, "applicationId", ""))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -27,9 +27,9 @@ def spark():
     )
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # a shared folder only where the session names none (as on a laptop)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cordon-test-ckpt-"))
+    from cordon.session import ensure_work_dir
+
+    ensure_work_dir(s)  # a folder of this machine only where the session names none (as on a laptop)
     yield s
 
 

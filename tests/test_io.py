@@ -288,3 +288,54 @@ print("MASTER", SparkSession.getActiveSession().sparkContext.master)
                               sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: {}))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_work_dir(cluster)
+
+
+def half_written(folder):
+    """One of the folder's parts and its mark are gone."""
+    parts = sorted(p for p in os.listdir(folder) if p.startswith("part-"))
+    for name in (parts[0], "_SUCCESS"):
+        os.rename(f"{folder}/{name}", f"{folder}/_gone-{name}")
+
+
+def test_half_written_donor_and_baseline_months_raise(spark, scratch):
+    from cordon.plans.audit_run import read_baseline
+
+    spec = fixture_spec().with_(feeds=("yellow",))
+    land_months(spark, scratch, "yellow", [(2000, m) for m in range(1, 12)] + [(1998, 12), (1999, 12), (1999, 1)])
+    assert read_baseline(spark, scratch, spec)["yellow"].count() > 0
+    for year, month, call in ((1998, 12, lambda: feeds_with_imputation(spark, scratch, spec)), (1999, 1, lambda: read_baseline(spark, scratch, spec))):
+        path = feed_path(scratch, "yellow", year, month)
+        half_written(path)
+        with pytest.raises(ValueError, match=f"{os.path.basename(path)}.*_SUCCESS"):
+            call()
+    with pytest.raises(FileNotFoundError, match="baseline month"):
+        read_baseline(spark, scratch, spec.with_(baseline_year=1901))
+
+
+def test_a_run_in_two_phases_gives_single_files(spark, scratch):
+    from cordon.plans.audit_run import EXPORT_NAMES
+    from cordon.plans.publish import read_published
+
+    i = Inputs(spark, SF_SMALL)
+    res = run_audit(spark, i.raw_feeds, i.baseline_raw, i.weather, i.spec, scratch, names=EXPORT_NAMES, runs=True)
+    assert os.path.isfile(res.written["leakage"]) and res.written["leakage"].endswith("/leakage_report.csv")
+    assert read_scalar(spark, f"{scratch}/rain_stats.txt") == read_published(spark, scratch, ["rain_stats"])["rain_stats"].first()[0]
+    assert {n for n in os.listdir(scratch) if os.path.isfile(f"{scratch}/{n}") and n.endswith(".csv")} == \
+        {f"{EXPORT_NAMES.get(n, n)}.csv" for n in res.reports}
+
+
+def test_local_session_starts_without_any_settings(scratch):
+    """A session of its own process, with no defaults file: the work folder is there and holds a written table."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = ("from cordon.session import local_session, scratch_path, work_dir\n"
+            "s = local_session(2)\np = scratch_path(s, 't')\ns.range(5).write.parquet(p)\n"
+            "print('rows', s.read.parquet(p).count(), p.startswith(work_dir(s)))\n"
+            "from pyspark.sql import SparkSession\ns.stop()\n"
+            "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "from cordon.session import ensure_work_dir\nprint('later', scratch_path(s, 'x').startswith(ensure_work_dir(s)))\n")
+    env = {k: v for k, v in os.environ.items() if k != "SPARK_CONF_DIR"} | {"SPARK_CONF_DIR": scratch, "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 5 True" in out.stdout and "later True" in out.stdout, out.stderr[-2000:]
