@@ -36,8 +36,12 @@ from cordon.llm.wordhash import mix, shingle_sets
 
 WORDS = 5
 THRESHOLD = Fraction(8, 10)
-#: shingles are counted by this many hash slots, to put frequent ones last in the pivots' order
-SLOTS = 1 << 16
+#: the most frequent shingles, so many at most, come last in the pivots' order, by their counts
+HEAVY = 1 << 20
+#: one of so many (shingle, set) pairs is counted for that order, which decides speed and not results
+COUNTED = 4
+#: sampled counts from which a shingle can be one of the frequent
+LEAST_COUNT = 3
 #: regions of up to so many points are compared in one go in the first round of the recursion; twice as many in the next
 SMALL = 24
 #: a point's profile: how many of its shingles fall into each of so many parts of their universe
@@ -57,39 +61,54 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 def _points(rows: DataFrame, k: int) -> DataFrame:
     """``kind, id, tie, n, point, profile``: of each row (kind 0) its set's size, hash and profile; and
-    (kind 1) counts of shingles by slot, summed per task."""
+    (kind 1) sampled shingles as ``id`` with their counts as ``n``, added up per batch."""
     names = ["kind", "id", "tie", "n", "point", "profile"]
 
     def run(batches):
-        slots = np.zeros(SLOTS, np.int64)
         for batch in batches:
             n, point, seen, profile = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64), [], [b""] * batch.num_rows
             for i, s in shingle_sets(batch.column(1), k):
-                n[i], point[i] = len(s), mix(s).sum(dtype=np.uint64)
-                seen.append(s & np.uint64(SLOTS - 1))
+                spread = mix(s)
+                n[i], point[i] = len(s), spread.sum(dtype=np.uint64)
+                seen.append(s[mix(spread ^ point[i]) % np.uint64(COUNTED) == 0])
                 profile[i] = np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=PARTS), 0xFFFF).astype("<u2").tobytes()
-            if seen:
-                slots += np.bincount(np.concatenate(seen).astype(np.int64), minlength=SLOTS)
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int8)), batch.column(0), batch.column(2), pa.array(n),
                                               _as_long(point), pa.array(profile, pa.binary())], names)
-        held = np.flatnonzero(slots)
-        none = pa.array(np.zeros(len(held), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(held), np.int8)), pa.array(held), none, pa.array(slots[held]), none,
-                                          pa.nulls(len(held), pa.binary())], names)
+            found, counts = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            for lo in range(0, len(found), 1 << 16):
+                some = found[lo:lo + (1 << 16)]
+                none = pa.nulls(len(some), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(some), np.int8)), _as_long(some), none, pa.array(counts[lo:lo + (1 << 16)].astype(np.int64)),
+                                                  none, pa.nulls(len(some), pa.binary())], names)
 
     return rows.mapInArrow(run, "kind tinyint, id bigint, tie bigint, n bigint, point bigint, profile binary")
 
 
-def _order(points: DataFrame) -> np.ndarray:
-    """Rank of each slot: 0 up to the mean count, one more for each doubling.  ``SLOTS`` numbers, whatever the input."""
-    rows = points.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(SLOTS)
-    counts[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    mean = counts.sum() / max(1, np.count_nonzero(counts))
-    return np.ceil(np.log2(np.maximum(counts, 1) / max(mean, 1.0)).clip(0, 60)).astype(np.uint64)
+def _order(points: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """``(shingles, ranks)`` of the most frequent shingles, sorted: one rank for each doubling of the count, the others
+    have rank 0.  ``HEAVY`` of them at most, whatever the input; a histogram of the counts tells where to cut."""
+    counts = written(points.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT), "frequent")
+    least, room = None, HEAVY
+    for r in sorted(counts.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("step")).count().collect(), reverse=True):  # a few hundred steps
+        if r["count"] > room:
+            break
+        least, room = r["step"], room - r["count"]
+    kept = counts.filter(F.floor(F.log2("n") * 8).cast("int") >= (least if least is not None else 1 << 30)).select("id", "n").toArrow()
+    discard(counts)
+    heavy, n = kept.column("id").to_numpy().astype(np.int64).view(np.uint64), kept.column("n").to_numpy()
+    by = np.argsort(heavy)
+    return heavy[by], np.ceil(np.log2(np.maximum(n[by], 1))).clip(1, 60).astype(np.uint8)
+
 
+def _ranks(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    heavy, ranks = order
+    if len(heavy) == 0:
+        return np.zeros(len(s), np.uint64)
+    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)  # sets are sorted, so this walks through once
+    return np.where(heavy[at] == s, ranks[at], 0).astype(np.uint64)
 
-def _cells(rows: DataFrame, order: np.ndarray, k: int, t: Fraction) -> DataFrame:
+
+def _cells(rows: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int, t: Fraction) -> DataFrame:
     """``(pivot, point, n)``: each row's point with the pivots of its window."""
     def run(batches):
         for batch in batches:
@@ -97,7 +116,7 @@ def _cells(rows: DataFrame, order: np.ndarray, k: int, t: Fraction) -> DataFrame
             for _, s in shingle_sets(batch.column(1), k):
                 if len(s):
                     # by rank, then by a hash
-                    key = (order[(s & np.uint64(SLOTS - 1)).astype(np.int64)] << np.uint64(58)) | (mix(s ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(6))
+                    key = (_ranks(s, order) << np.uint64(58)) | (mix(s ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(6))
                     w = window(len(s), t)
                     first = s[np.argpartition(key, w - 1)[:w]] if w < len(s) else s
                     pivots.append(first)
@@ -201,24 +220,25 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pivot_sizes = members.filter("p = point").select(F.col("region").alias("r"), F.col("n").alias("np"))
     pairs = members.filter("p <> point").join(pivot_sizes, F.col("region") == F.col("r")) \
         .select(F.col("p").alias("a"), F.col("point").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb"))
-    known = _measured(pairs, texts, profiles, None, k, t)
-    labels = components(_links(known, t))
+    # measured pairs (a < b) stay in the tables of their rounds
+    known = _measured(pairs, texts, profiles, [], k, t)
+    labels = _linked(None, known, t)
     # what the first pivots' distances say about their regions' points; the pivots are done
-    d = known.select(F.col("a").alias("p"), F.col("b").alias("point"), _distance().alias("d"))
-    rest = members.filter("p <> point").join(d, ["p", "point"], "left").select("region", "p", "point", "n", "d")
-    rest = written(rest, "rest")
+    d = _all(known).select(F.col("a").alias("p"), F.col("b").alias("point"), _distance().alias("d"))
+    rest = written(members.filter("p <> point").join(d, ["p", "point"], "left").select("region", "p", "point", "n", "d"), "rest")
     discard(members)
     small = SMALL
     while True:
         rest, pairs = _next_round(rest, labels, t, small)
-        small *= 2  # so the number of rounds is logarithmic in the size of the largest region
-        if pairs.isEmpty():
+        if pairs is None:  # no pivots: every region is one component, or all its pairs were ruled out or measured
             break
-        known = _measured(pairs, texts, profiles, known, k, t)
-        discard(labels)
-        labels = components(_links(known, t))
-    discard(texts, profiles, rest, pairs)
-    links = _links(known, t)
+        small *= 2  # so the number of rounds is logarithmic in the size of the largest region
+        new = _measured(pairs, texts, profiles, known, k, t)
+        discard(pairs)
+        known = known + new
+        labels = _linked(labels, new, t)
+    discard(texts, profiles, rest)
+    links = _links(_all(known), t)
 
     named = _roots(labels)
     ids = classes.join(named, F.col("point") == F.col("node"), "left").select("point", "least", F.coalesce("root", "point").alias("root"))
@@ -226,10 +246,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     found = ids.join(smallest, "root").join(degree, F.col("point") == F.col("node"), "left") \
         .select(F.col("point").alias("c_point"), "root", "component", "n_links")
-    return own.join(found, (F.col("point") == F.col("c_point")) & (F.col("n") > 0), "left").select(
+    out = written(own.join(found, (F.col("point") == F.col("c_point")) & (F.col("n") > 0), "left").select(
         "id", "tie", F.col("n").alias("n_shingles"), "point", F.col("root").alias("group"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).alias("n_links")), "similar")
+    discard(points, labels, *known)
+    return out
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS,
@@ -271,27 +293,48 @@ def _roots(labels: DataFrame) -> DataFrame:
     return labels.unionByName(labels.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, known: DataFrame | None, k: int, t: Fraction) -> DataFrame:
-    """``known`` and the pairs ``(a, b, na, nb)`` that are new and may be near, with the size of their
-    intersection.  The pairs are taken in slices that ship about as many texts as there are."""
+def _all(known: list[DataFrame]) -> DataFrame:
+    out = known[0]
+    for part in known[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _linked(labels: DataFrame | None, new: list[DataFrame], t: Fraction) -> DataFrame:
+    """``labels`` after the links of the ``new`` pairs: only the components that they join are looked at."""
+    found = _links(_all(new), t)
+    if labels is None:
+        return components(found)
+    for end in ("a", "b"):
+        to = labels.select(F.col("node").alias("l_node"), F.col("root").alias("l_root"))
+        found = found.join(to, F.col(end) == F.col("l_node"), "left").withColumn(end, F.coalesce("l_root", end)).drop("l_node", "l_root")
+    joined = written(found.filter("a <> b").distinct(), "joined")
+    if joined.isEmpty():
+        discard(joined)
+        return labels
+    roots = components(joined)
+    to = roots.select(F.col("node").alias("l_node"), F.col("root").alias("l_root"))
+    out = written(labels.join(to, F.col("root") == F.col("l_node"), "left").select("node", F.coalesce("l_root", "root").alias("root")).unionByName(roots), "labels")
+    discard(joined, labels, roots)
+    return out
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, known: list[DataFrame], k: int, t: Fraction) -> list[DataFrame]:
+    """The pairs ``(a, b, na, nb)`` that are not ``known`` and may be near, with the size of their intersection.
+    They are taken in slices that ship about as many texts as there are."""
     new = pairs.filter(_near_size(F.col("na"), F.col("nb"), t)).distinct()
-    if known is not None:
-        new = new.join(known.select("a", "b"), ["a", "b"], "left_anti") \
-            .join(known.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    if known:
+        new = new.join(_all(known).select("a", "b"), ["a", "b"], "left_anti")
     new = written(_not_too_far(new, profiles, t), "pairs")
     slices = max(1, -(-2 * new.count() // max(1, texts.count())))
     parts = [written(_distances(new.filter(F.pmod(F.xxhash64("a"), F.lit(slices)) == i), texts, k), "slice") for i in range(slices)]
-    out = known
-    for part in parts:
-        out = part if out is None else out.unionByName(part)
-    out = written(out, "distances")
-    discard(new, known, *parts)
-    return out
+    discard(new)
+    return parts
 
 
-def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) -> tuple[DataFrame, DataFrame]:
+def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) -> tuple[DataFrame, DataFrame | None]:
     """One step of the recursion: the points of regions that are still open, without the new pivots, and
-    the pairs of new pivots with the other points of their regions.
+    the pairs of new pivots with the other points of their regions (None if there are no pivots).
 
     In an open region two points can only be apart if one is outside the first pivot's component, so new
     pivots are drawn from those: all of them in a region of up to ``small`` points, up to ``small`` in a larger one.
@@ -310,8 +353,12 @@ def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) ->
     chosen = few.unionByName(many)
     pivots = written(chosen.join(at, (chosen["region"] == at["region"]) & (F.col("a") == F.col("point"))).select(
         chosen["region"].alias("region"), "a", F.col("n").alias("na"), F.col("d").alias("da"), F.col("root").alias("ra")), "pivots")
+    if pivots.isEmpty():
+        discard(at, pivots)
+        return rest, None
     beyond = F.abs(F.col("d") - F.col("da")) > float(1 - t) + 1e-9
-    pairs = at.join(pivots, "region").filter((F.col("root") != F.col("ra")) & ~F.coalesce(beyond, F.lit(False))) \
+    # sizes are compared before the pairs are shuffled
+    pairs = at.join(pivots, "region").filter(_near_size(F.col("n"), F.col("na"), t)).filter((F.col("root") != F.col("ra")) & ~F.coalesce(beyond, F.lit(False))) \
         .select(F.least("a", "point").alias("lo"), F.greatest("a", "point").alias("hi"), "a", "na", F.col("n"))
     pairs = pairs.select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.when(F.col("lo") == F.col("a"), F.col("na")).otherwise(F.col("n")).alias("na"),
                          F.when(F.col("lo") == F.col("a"), F.col("n")).otherwise(F.col("na")).alias("nb"))
