@@ -109,24 +109,27 @@ def _ranks(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def _cells(rows: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int, t: Fraction) -> DataFrame:
-    """``(pivot, point, n)``: each row's point with the pivots of its window."""
+    """``(pivot, point, n, rare)``: each row's point with the pivots of its window; ``rare`` counts its shingles that
+    are not frequent ones: a text that others were copied from has few, an edited copy has more."""
     def run(batches):
         for batch in batches:
-            pivots, points, sizes = [], [], []
+            pivots, points, sizes, rare = [], [], [], []
             for _, s in shingle_sets(batch.column(1), k):
                 if len(s):
                     # by rank, then by a hash
-                    key = (_ranks(s, order) << np.uint64(58)) | (mix(s ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(6))
+                    ranks = _ranks(s, order)
+                    key = (ranks << np.uint64(58)) | (mix(s ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(6))
                     w = window(len(s), t)
                     first = s[np.argpartition(key, w - 1)[:w]] if w < len(s) else s
                     pivots.append(first)
                     points.append(np.full(len(first), mix(s).sum(dtype=np.uint64), np.uint64))
                     sizes.append(np.full(len(first), len(s), np.int32))
+                    rare.append(np.full(len(first), np.count_nonzero(ranks == 0), np.int32))
             if pivots:
                 yield pa.RecordBatch.from_arrays([_as_long(np.concatenate(pivots)), _as_long(np.concatenate(points)),
-                                                  pa.array(np.concatenate(sizes))], ["pivot", "point", "n"])
+                                                  pa.array(np.concatenate(sizes)), pa.array(np.concatenate(rare))], ["pivot", "point", "n", "rare"])
 
-    return rows.mapInArrow(run, "pivot bigint, point bigint, n int")
+    return rows.mapInArrow(run, "pivot bigint, point bigint, n int, rare int")
 
 
 def _near_size(a: Column, b: Column, t: Fraction) -> Column:
@@ -134,12 +137,12 @@ def _near_size(a: Column, b: Column, t: Fraction) -> Column:
     return (F.least(a, b) * t.denominator >= F.greatest(a, b) * t.numerator)
 
 
-def _not_too_far(pairs: DataFrame, profiles: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs ``(a, b, na, nb)`` without those that the parts of the universe rule out.
+def _bounded(pairs: DataFrame, profiles: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs ``(a, b, na, nb)`` with ``low``, a lower bound of their distance, and whether they may be ``near``.
 
-    Each part is a pivot: what two sets hold of it differs by at most what they differ in, so the sum of
-    these differences is never more than the size of the symmetric difference, which for a link is at
-    most ``(na + nb) (1 - t) / (1 + t)``.
+    Each part of the universe is a pivot: what two sets hold of it differs by at most what they differ in, so the sum
+    of these differences is never more than the size of the symmetric difference.  A difference of ``x`` gives a
+    distance of at least ``2 x / (na + nb + x)``, and for a link it is at most ``(na + nb) (1 - t) / (1 + t)``.
     """
     joined = pairs.join(profiles.select(F.col("point").alias("a"), F.col("profile").alias("pa")), "a") \
         .join(profiles.select(F.col("point").alias("b"), F.col("profile").alias("pb")), "b").select("a", "b", "na", "nb", "pa", "pb")
@@ -150,10 +153,12 @@ def _not_too_far(pairs: DataFrame, profiles: DataFrame, t: Fraction) -> DataFram
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, PARTS).astype(np.int32) for i in (4, 5))
                 n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-                yield batch.select([0, 1, 2, 3]).filter(pa.array(np.abs(x - y).sum(axis=1, dtype=np.int64) * hi <= n * lo))
+                apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(2 * apart / (n + apart)), pa.array(apart * hi <= n * lo)],
+                                                 ["a", "b", "na", "nb", "low", "near"])
 
     return joined.select("a", "b", F.col("na").cast("long"), F.col("nb").cast("long"), "pa", "pb") \
-        .mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
+        .mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, low double, near boolean")
 
 
 def _distances(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
@@ -209,32 +214,35 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # cells are computed twice and not kept: almost all are of one point, and all together are large.
     # First the regions with two points or more; equal rows fall together before the shuffle
     cells = _cells(rows, _order(points), k, t)
-    regions = written(cells.groupBy("pivot").agg(F.min("point").alias("p"), F.max("point").alias("last"))
-                      .filter("p < last").select(F.col("pivot").alias("region"), "p"), "regions")
-    members = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "p", "point", "n").distinct(), "members")
+    # the region's pivot is the point with the fewest rare shingles, the likeliest origin of copies
+    regions = written(cells.groupBy("pivot").agg(F.min("point").alias("first"), F.max("point").alias("last"), F.min(F.struct("rare", "point")).alias("least"))
+                      .filter("first < last").select(F.col("pivot").alias("region"), F.col("least.point").alias("p")), "regions")
+    members = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "p", "point", "n", "rare").distinct(), "members")
     discard(regions)
     involved = members.select("point").distinct()
     profiles = written(points.filter("kind = 0").join(involved, "point", "left_semi").groupBy("point").agg(F.first("profile").alias("profile")), "profiles")
     texts = _texts_of(involved, own, rows)
 
     pivot_sizes = members.filter("p = point").select(F.col("region").alias("r"), F.col("n").alias("np"))
-    pairs = members.filter("p <> point").join(pivot_sizes, F.col("region") == F.col("r")) \
-        .select(F.col("p").alias("a"), F.col("point").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb"))
+    pairs = _ordered(members.filter("p <> point").join(pivot_sizes, F.col("region") == F.col("r")), "p", "np", "point", "n")
     # measured pairs (a < b) stay in the tables of their rounds
-    known = _measured(pairs, texts, profiles, [], k, t)
+    known, far = _measured(pairs, texts, profiles, [], k, t)
     labels = _linked(None, known, t)
-    # what the first pivots' distances say about their regions' points; the pivots are done
-    d = _all(known).select(F.col("a").alias("p"), F.col("b").alias("point"), _distance().alias("d"))
-    rest = written(members.filter("p <> point").join(d, ["p", "point"], "left").select("region", "p", "point", "n", "d"), "rest")
-    discard(members)
+    # what the first pivots' distances, or bounds of them, say about their regions' points; the pivots are done
+    d = _all(known).select("a", "b", _distance().alias("low"), _distance().alias("high")) \
+        .unionByName(far.select("a", "b", "low", F.lit(1.0).alias("high")))
+    d = d.select(F.col("a").alias("d_a"), F.col("b").alias("d_b"), "low", "high")
+    rest = members.filter("p <> point").join(d, (F.least("p", "point") == F.col("d_a")) & (F.greatest("p", "point") == F.col("d_b")), "left")
+    rest = written(rest.select("region", "p", "point", "n", "rare", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")), "rest")
+    discard(members, far)
     small = SMALL
     while True:
         rest, pairs = _next_round(rest, labels, t, small)
         if pairs is None:  # no pivots: every region is one component, or all its pairs were ruled out or measured
             break
         small *= 2  # so the number of rounds is logarithmic in the size of the largest region
-        new = _measured(pairs, texts, profiles, known, k, t)
-        discard(pairs)
+        new, far = _measured(pairs, texts, profiles, known, k, t)
+        discard(pairs, far)
         known = known + new
         labels = _linked(labels, new, t)
     discard(texts, profiles, rest)
@@ -319,17 +327,27 @@ def _linked(labels: DataFrame | None, new: list[DataFrame], t: Fraction) -> Data
     return out
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, known: list[DataFrame], k: int, t: Fraction) -> list[DataFrame]:
-    """The pairs ``(a, b, na, nb)`` that are not ``known`` and may be near, with the size of their intersection.
-    They are taken in slices that ship about as many texts as there are."""
+def _ordered(rows: DataFrame, x: str, nx: str, y: str, ny: str) -> DataFrame:
+    """``(a, b, na, nb)`` with ``a < b`` of the points ``x`` and ``y`` and their sizes."""
+    swap = F.col(x) > F.col(y)
+    pick = lambda c, d: F.when(swap, F.col(d)).otherwise(F.col(c))
+    return rows.select(pick(x, y).alias("a"), pick(y, x).alias("b"), pick(nx, ny).alias("na"), pick(ny, nx).alias("nb"))
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, profiles: DataFrame, known: list[DataFrame], k: int, t: Fraction) -> tuple[list[DataFrame], DataFrame]:
+    """The pairs ``(a, b, na, nb)`` that are not ``known`` and may be near, with the size of their intersection, and
+    a table that has those ruled out with a lower bound ``low`` of their distance.  They are measured in slices that
+    ship about as many texts as there are."""
     new = pairs.filter(_near_size(F.col("na"), F.col("nb"), t)).distinct()
     if known:
         new = new.join(_all(known).select("a", "b"), ["a", "b"], "left_anti")
-    new = written(_not_too_far(new, profiles, t), "pairs")
-    slices = max(1, -(-2 * new.count() // max(1, texts.count())))
-    parts = [written(_distances(new.filter(F.pmod(F.xxhash64("a"), F.lit(slices)) == i), texts, k), "slice") for i in range(slices)]
-    discard(new)
-    return parts
+    bounded = written(_bounded(new, profiles, t), "pairs")
+    near = bounded.filter("near").select("a", "b", "na", "nb")
+    slices = max(1, -(-2 * near.count() // max(1, texts.count())))
+    parts = [written(_distances(near.filter(F.pmod(F.xxhash64("a"), F.lit(slices)) == i), texts, k), "slice") for i in range(slices)]
+    far = bounded.filter("NOT near").select("a", "b", "low")
+    far._written_to = bounded._written_to
+    return parts, far
 
 
 def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) -> tuple[DataFrame, DataFrame | None]:
@@ -349,21 +367,20 @@ def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) ->
     outside = at.filter("root <> home")
     few = outside.filter(F.col("size") <= small).select("region", F.col("point").alias("a"))
     many = outside.filter(F.col("size") > small).groupBy("region", F.pmod(F.xxhash64("point"), F.lit(small)).alias("part")) \
-        .agg(F.min("point").alias("a")).select("region", "a")
+        .agg(F.min(F.struct("rare", "point")).alias("least")).select("region", F.col("least.point").alias("a"))
     chosen = few.unionByName(many)
     pivots = written(chosen.join(at, (chosen["region"] == at["region"]) & (F.col("a") == F.col("point"))).select(
-        chosen["region"].alias("region"), "a", F.col("n").alias("na"), F.col("d").alias("da"), F.col("root").alias("ra")), "pivots")
+        chosen["region"].alias("region"), "a", F.col("n").alias("na"), F.col("low").alias("a_low"), F.col("high").alias("a_high"), F.col("root").alias("ra")), "pivots")
     if pivots.isEmpty():
         discard(at, pivots)
         return rest, None
-    beyond = F.abs(F.col("d") - F.col("da")) > float(1 - t) + 1e-9
+    # the first pivot's distances: d(x, y) >= d(x, p) - d(y, p)
+    within = float(1 - t) + 1e-9
+    beyond = (F.col("low") - F.col("a_high") > within) | (F.col("a_low") - F.col("high") > within)
     # sizes are compared before the pairs are shuffled
-    pairs = at.join(pivots, "region").filter(_near_size(F.col("n"), F.col("na"), t)).filter((F.col("root") != F.col("ra")) & ~F.coalesce(beyond, F.lit(False))) \
-        .select(F.least("a", "point").alias("lo"), F.greatest("a", "point").alias("hi"), "a", "na", F.col("n"))
-    pairs = pairs.select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.when(F.col("lo") == F.col("a"), F.col("na")).otherwise(F.col("n")).alias("na"),
-                         F.when(F.col("lo") == F.col("a"), F.col("n")).otherwise(F.col("na")).alias("nb"))
-    pairs = written(pairs.distinct(), "round")
+    pairs = at.join(pivots, "region").filter(_near_size(F.col("n"), F.col("na"), t)).filter((F.col("root") != F.col("ra")) & ~beyond)
+    pairs = written(_ordered(pairs, "a", "na", "point", "n").distinct(), "round")
     left = written(at.join(pivots.select("region", F.col("a").alias("point")), ["region", "point"], "left_anti")
-                   .select("region", "p", "point", "n", "d"), "rest")
+                   .select("region", "p", "point", "n", "rare", "low", "high"), "rest")
     discard(rest, at, pivots)
     return left, pairs
