@@ -214,11 +214,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # cells are computed twice and not kept: almost all are of one point, and all together are large.
     # First the regions with two points or more; equal rows fall together before the shuffle
     cells = _cells(rows, _order(points), k, t)
+    regions = written(cells.groupBy("pivot").agg(F.min("point").alias("first"), F.max("point").alias("last"))
+                      .filter("first < last").select(F.col("pivot").alias("region")), "regions")
+    inside = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "point", "n", "rare").distinct(), "inside")
     # the region's pivot is the point with the fewest rare shingles, the likeliest origin of copies
-    regions = written(cells.groupBy("pivot").agg(F.min("point").alias("first"), F.max("point").alias("last"), F.min(F.struct("rare", "point")).alias("least"))
-                      .filter("first < last").select(F.col("pivot").alias("region"), F.col("least.point").alias("p")), "regions")
-    members = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "p", "point", "n", "rare").distinct(), "members")
-    discard(regions)
+    first = inside.groupBy("region").agg(F.min(F.struct("rare", "point")).alias("least")).select("region", F.col("least.point").alias("p"))
+    members = written(inside.join(first, "region").select("region", "p", "point", "n", "rare"), "members")
+    discard(regions, inside)
     involved = members.select("point").distinct()
     profiles = written(points.filter("kind = 0").join(involved, "point", "left_semi").groupBy("point").agg(F.first("profile").alias("profile")), "profiles")
     texts = _texts_of(involved, own, rows)
