@@ -12,7 +12,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from __spark_entry__ import queries  # noqa: E402
+from cordon.plans.registry import registry as queries  # noqa: E402
 from cordon.session import local_session  # noqa: E402
 
 
