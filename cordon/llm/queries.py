@@ -54,7 +54,8 @@ def op6_candidate_boosting_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("row.doc_id").alias("doc_id"), *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in KINDS],
         F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        span_text(F.sort_array(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+        span_text(F.sort_array(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"),
+        (F.size("base") + F.size("added")).cast("long").alias("n_spans"))
 
 
 def op7_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

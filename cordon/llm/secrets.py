@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cordon.llm.text import let, spans_if, whole
+from cordon.llm.text import any_touching, let, span_index, spans_if, whole
 
 # --- fixed values of the base patterns (either case where the contract says so)
 ASSIGN = (r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
@@ -105,7 +105,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", rule: EntropyRule = DE
     ``struct<start, rank, stop, kind>`` (code points, ``stop`` exclusive) in order of start and kind.
 
     An added span never touches a base span.  Null or empty text: no spans.  Rows are independent, so
-    repeated rows give repeated results; an empty table gives no rows.
+    repeated rows give repeated results; an empty table gives no rows.  Long texts take time by their length.
     """
     t = F.col("t")
     assign = F.filter(spans_if(t, t.rlike(r"(?:[Pp][Aa][Ss][Ss][Ww]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk])"
@@ -118,8 +118,9 @@ def find_secrets(docs: DataFrame, text_col: str = "text", rule: EntropyRule = DE
     rows = docs.select(F.struct(*columns).alias("row"), whole(F.col(f"`{text_col}`")).alias("t"))
     rows = rows.withColumn("base", F.sort_array(F.concat(_of_kind(assign, "assign"), _of_kind(access, "access"), _of_kind(hexes, "hex"))))
     candidates = spans_if(t, t.rlike(CANDIDATE), CANDIDATE)
-    free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-    added = F.filter(F.filter(candidates, free), lambda s: is_secret(s["found"], rule))
+    outside = let(F.struct(candidates.alias("all"), span_index(F.col("base")).alias("base")),
+                  lambda x: F.filter(x["all"], lambda s: ~any_touching(s, x["base"])))
+    added = F.filter(outside, lambda s: is_secret(s["found"], rule))
     return rows.withColumn("added", _of_kind(added, "entropy")).select("row", "base", "added")
 
 

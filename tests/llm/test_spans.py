@@ -157,6 +157,73 @@ def test_secret_base_spans(hidden):
         assert got[i] == text_of(base_hidden(t)), t
 
 
+def test_long_texts_with_many_matches(spark):
+    """30,000 matches in one text, between multi-byte characters: every place as in plain Python, in time that grows with the text."""
+    import time
+
+    say = lambda n: "".join(f"ü password=abc{i:06d} key Zx9Kq2Lm8Vt4Rw7Yp{i:06d} é a{i}@b.com, +1 (212) 555-{i % 10000:04d}; " for i in range(n))
+    took = []
+    for n in (500, 15_000, 30_000):
+        text = say(n)
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.monotonic()
+        r = secrets.find_secrets(frame).select(span_text(F.col("base")).alias("s"), F.size("added").alias("n")).first()
+        took.append(time.monotonic() - begin)
+        assert r.s == text_of(base_hidden(text)) and r.n == n
+        if n <= 15_000:
+            r = frame.select(*[span_text(F.transform(c, lambda x: F.struct(
+                F.lit(k).alias("kind"), x["start"].alias("start"), x["stop"].alias("stop")))).alias(k) for k, c in pii.base_spans(F.col("text")).items()]).first()
+            assert ",".join(x for x in r if x) == text_of(base_personal(text))
+    assert took[2] < 3 * took[1] + 5
+
+
+def test_touching_and_choosing_match_brute_force(spark):
+    import random
+
+    from cordon.llm import text as shared
+
+    rng = random.Random(9)
+    frames = []
+    for n in (0, 1, 5, 300, 5000):
+        spans = [(a, a + rng.randrange(1, 12), rng.choice(("x", "phone"))) for a in (rng.randrange(20 * n + 1) for _ in range(n))]
+        probes = [(a, a + rng.randrange(1, 40)) for a in (rng.randrange(20 * n + 1) for _ in range(200))]
+        scored = [(a, b, f"f{a}", rng.randrange(50) / 50) for a, b, _ in spans]
+        frames.append((spans, probes, scored))
+    frame = spark.createDataFrame(frames, "spans array<struct<start:bigint,stop:bigint,kind:string>>, probes array<struct<start:bigint,stop:bigint>>, "
+                                          "scored array<struct<start:bigint,stop:bigint,found:string,p:double>>")
+    touch = shared.let(shared.span_index(F.col("spans")), lambda i: F.transform("probes", lambda s: F.struct(
+        shared.any_touching(s, i), shared.any_touching(s, i, lambda b: b["kind"] == "phone"))))
+    rows = frame.select("spans", "probes", "scored", touch.alias("touch"), shared.let(F.array_sort("scored"), pii._apart).alias("apart")).collect()
+    for r in rows:
+        for s, got in zip(r.probes, r.touch):
+            hit = [b for b in r.spans if b.start < s.stop and s.start < b.stop]
+            assert tuple(got) == (bool(hit), any(b.kind == "phone" for b in hit))
+        kept = []
+        for s in sorted(r.scored, key=lambda s: (-s.p, s.start, s.stop - s.start)):
+            if all(s.stop <= k.start or k.stop <= s.start for k in kept):
+                kept.append(s)
+        assert sorted((s.start, s.stop) for s in r.apart) == sorted((s.start, s.stop) for s in kept)
+
+
+def test_parts_of_a_text(spark):
+    t = "".join(chr(97 + i % 26) if i % 7 else "\U0001F600" for i in range(1500)) + "\n\r\x85end"
+    from cordon.llm import text as shared
+
+    at = [(a, n) for a in (0, 1, 255, 256, 257, 511, 1400, len(t) - 2, len(t)) for n in (0, 1, 24, 256)]
+    frame = spark.createDataFrame([(t, at), ("", at)], "t string, at array<struct<a:bigint,n:int>>")
+    got = frame.select(shared.let(shared.chunks(F.col("t")), lambda p: F.transform("at", lambda x: shared.part_of(p, x["a"], x["n"])))).collect()
+    assert list(got[0][0]) == [t[a:a + n] for a, n in at] and set(got[1][0]) == {""}
+
+
+def test_few_labels_get_made_examples(spark, empty_docs):
+    """Documents that label nothing still have their phones found, and an empty table can be fitted on."""
+    texts = ["please call (212) 555-0100 today", "the ratio 1234 5678 90 is given", "page 123456789 of it", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: [(a.start, a.stop) for a in r.added] for r in pii.find_personal_data(frame).collect()}
+    assert got == {0: [(12, 26)], 1: [], 2: [], 3: [], 4: []}
+    assert isinstance(pii.fit_scorer(empty_docs), pii.Scorer)
+
+
 def entropy(s):
     return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values())
 
