@@ -1,8 +1,12 @@
 """Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment (operator 5).
 
 1. How many documents hold each word n-gram of the benchmark is counted over the whole corpus.
-2. Seeds: every n-gram of an item that some document holds.  There is no limit on how common a seed may
-   be: which n-grams an edited copy keeps cannot be told from counts, so none is left out.
+2. Seeds: every n-gram of an item that some document holds, and every two pairs of neighbouring words with at
+   most one word between the pairs, in the item, in the document or in both.  There is no limit on how common a
+   seed may be: which ones an edited copy keeps cannot be told from counts, so none is left out.  A copy
+   without any seed has single words between its edits at least every other time, so where words were replaced
+   or dropped its score is at most 0.4 of the best, up to the copy's ends; words put in lower the score less, and
+   a copy with one after every word or two can be missed.
 3. Around a seed the words that the stretch and the item share bound the score.  Where the bound reaches
    the limit the stretch is aligned, word by word, with the item.  The local alignment score over the
    best possible one is the degree of contamination; edited copies keep most of it.
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from cordon.llm.wordhash import NOT_ALNUM, lowered, pieces, prefix_hash, shingles, span_hash, word_spans
 
 GRAM = 3
-SLICE = 1_000_000
+SLICE = 400_000  # words; a word begins three seeds at most
 #: a document is contaminated from this share of the best score on
 LIMIT = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -49,6 +53,18 @@ def _grams(words: np.ndarray, doc: np.ndarray, n: int):
     return h[at], at
 
 
+def _seeds(words: np.ndarray, doc: np.ndarray, n: int):
+    """``(hash, first word)`` of the n-grams and of two pairs of words with no or one word between them; the
+    word between is not part of the hash."""
+    found = [_grams(words, doc, n)]
+    if len(words) >= 4:
+        pair, _ = shingles(words, np.zeros(len(words), np.int64), 1, 2)
+        for gap in (0, 1):
+            at = np.flatnonzero(doc[: max(len(doc) - 3 - gap, 0)] == doc[3 + gap:])
+            found.append(((pair[at] * np.uint64(0x9E3779B97F4A7C15)) ^ (pair[at + 2 + gap] * np.uint64(0xC2B2AE3D27D4EB4F)), at))
+    return np.concatenate([h for h, _ in found]), np.concatenate([at for _, at in found])
+
+
 class Lookup:
     """Which of many hashes are among a few: a bit table first, then the sorted few."""
 
@@ -96,10 +112,10 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str):
 
 
 def _document_counts(docs: DataFrame, items: Items, gram: int) -> dict[int, int]:
-    """How many documents hold each n-gram of the slice."""
+    """How many documents hold each seed of the slice."""
     spark = docs.sparkSession
-    every = [_grams(w, np.zeros(len(w), np.int64), gram)[0] for w in items.words]
-    look = spark.sparkContext.broadcast(Lookup(np.concatenate(every) if every else np.zeros(0, np.uint64)))  # at most SLICE hashes
+    every = [_seeds(w, np.zeros(len(w), np.int64), gram)[0] for w in items.words]
+    look = spark.sparkContext.broadcast(Lookup(np.concatenate(every) if every else np.zeros(0, np.uint64)))  # at most 3 * SLICE hashes
 
     def run(batches):
         find = look.value
@@ -107,7 +123,7 @@ def _document_counts(docs: DataFrame, items: Items, gram: int) -> dict[int, int]
         for batch in batches:
             for _, _, data, offsets in pieces(batch.column(0)):
                 doc, words = _words(data, offsets)
-                h, at = _grams(words, doc, gram)
+                h, at = _seeds(words, doc, gram)
                 hit = find(h)
                 if len(hit):
                     which = np.searchsorted(find.few, h[hit])
@@ -125,10 +141,10 @@ def _in_item(words: np.ndarray, item: np.ndarray) -> np.ndarray:
 
 
 def pick_seeds(items: Items, counts: dict[int, int], gram: int = GRAM) -> None:
-    """Every n-gram of an item that is in some document."""
+    """Every seed of an item that is in some document."""
     out = [[np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64)]
     for i, w in enumerate(items.words):
-        h, at = _grams(w, np.zeros(len(w), np.int64), gram)
+        h, at = _seeds(w, np.zeros(len(w), np.int64), gram)
         live = np.array([counts.get(x, 0) > 0 for x in h.tolist()], bool)
         for x, v in zip(out, (h[live], np.full(int(live.sum()), i, np.int64), at[live])):
             x.append(v)
@@ -193,7 +209,7 @@ def _one_per_step(d, item, step, least, most):
 def _hits(words: np.ndarray, doc: np.ndarray, n_docs: int, items: Items, look: Lookup, gram: int, limit: float):
     """``(document, item, first word, score, last word)`` of the best alignment of each pair that shares a seed;
     pairs that cannot reach ``limit`` may be missing."""
-    h, at = _grams(words, doc, gram)
+    h, at = _seeds(words, doc, gram)
     hit = look(h)
     none = [np.zeros(0, np.int64)] * 5
     if len(hit) == 0:

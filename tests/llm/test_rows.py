@@ -349,6 +349,32 @@ def test_copies_with_every_fifth_word_replaced_are_found(spark, exact):
     assert decontaminate.clean_rows(frame, bench).count() == 0
 
 
+def test_recall_by_kind_and_rate_of_edits(spark):
+    """Of copies whose true alignment share reaches the limit, at least 0.9 of every kind of edit are found."""
+    rng = random.Random(21)
+    say = lambda n: [f"w{rng.randrange(4000)}" for _ in range(n)]
+    items = [say(40) for _ in range(20)]
+    edits = {"none": lambda w, k: w, **{f"{what} {k}": (what, k) for what in ("replaced", "dropped", "added") for k in (8, 5, 4, 3)}}
+    rows, kinds = [], {}
+    for kind, edit in edits.items():
+        for i, item in enumerate(items):
+            w = list(item)
+            if kind != "none":
+                what, k = edit
+                change = {"replaced": lambda x: ["zz"], "dropped": lambda x: [], "added": lambda x: [x, "yy"]}[what]
+                w = [y for j, x in enumerate(item) for y in (change(x) if j % k == i % k else [x])]
+            if smith_waterman(item, w) >= decontaminate.LIMIT * 2 * len(item):
+                kinds[len(rows)] = (kind, i)
+            rows.append((len(rows), " ".join([*say(50), *w, *say(50)])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.id, r.item_id) for r in decontaminate.contaminated(frame, bench).collect()}
+    for kind in edits:
+        true = [(row, i) for row, (k, i) in kinds.items() if k == kind]
+        assert len(true) == len(items) and sum(t in found for t in true) >= 0.9 * len(true), kind
+    assert all(r in kinds and kinds[r][1] == i for r, i in found)
+
+
 def test_a_stray_seed_before_a_copy_does_not_cut_it(spark):
     """A 3-gram of the item stands before the copy, in the same step of half an item; the whole copy is aligned."""
     item = [f"i{k}" for k in range(60)]
