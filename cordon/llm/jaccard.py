@@ -9,7 +9,9 @@ on that:
    nearer to the pivots it holds than to any other, and of those its cell is the first in one global
    order (rare ones first).  Two points within the radius share at least ``ceil(t n)`` of the ``n``
    shingles of either, so they meet in one of the first ``n - ceil(t n) + 1`` pivots of both: this is the
-   window over which boundary points are copied.
+   window over which boundary points are copied.  In the first region where two points meet, all they
+   share lies at or behind the region's pivot in the order of either, which bounds their intersection: a
+   pair whose bound is too small for the radius in a region is not looked at there.
 2. Pivots inside a region.  The region's smallest point is its pivot; distances of all others to it are
    computed.  Points within the radius of a pivot are linked, and never need comparing with each other:
    they are in one component already.
@@ -109,27 +111,31 @@ def _ranks(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def _cells(rows: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int, t: Fraction) -> DataFrame:
-    """``(pivot, point, n, rare)``: each row's point with the pivots of its window; ``rare`` counts its shingles that
-    are not frequent ones: a text that others were copied from has few, an edited copy has more."""
+    """``(pivot, point, n, rare, pos)``: each row's point with the pivots of its window and their places in its order;
+    ``rare`` counts its shingles that are not frequent ones: a text that others were copied from has few, an edited
+    copy has more."""
     def run(batches):
         for batch in batches:
-            pivots, points, sizes, rare = [], [], [], []
+            pivots, points, sizes, rare, places = [], [], [], [], []
             for _, s in shingle_sets(batch.column(1), k):
                 if len(s):
                     # by rank, then by a hash
                     ranks = _ranks(s, order)
                     key = (ranks << np.uint64(58)) | (mix(s ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(6))
                     w = window(len(s), t)
-                    first = s[np.argpartition(key, w - 1)[:w]] if w < len(s) else s
+                    at = np.argpartition(key, w - 1)[:w] if w < len(s) else np.arange(len(s))
+                    first = s[at[np.argsort(key[at], kind="stable")]]
                     pivots.append(first)
+                    places.append(np.arange(len(first), dtype=np.int32))
                     points.append(np.full(len(first), mix(s).sum(dtype=np.uint64), np.uint64))
                     sizes.append(np.full(len(first), len(s), np.int32))
                     rare.append(np.full(len(first), np.count_nonzero(ranks == 0), np.int32))
             if pivots:
                 yield pa.RecordBatch.from_arrays([_as_long(np.concatenate(pivots)), _as_long(np.concatenate(points)),
-                                                  pa.array(np.concatenate(sizes)), pa.array(np.concatenate(rare))], ["pivot", "point", "n", "rare"])
+                                                  pa.array(np.concatenate(sizes)), pa.array(np.concatenate(rare)), pa.array(np.concatenate(places))],
+                                                 ["pivot", "point", "n", "rare", "pos"])
 
-    return rows.mapInArrow(run, "pivot bigint, point bigint, n int, rare int")
+    return rows.mapInArrow(run, "pivot bigint, point bigint, n int, rare int, pos int")
 
 
 def _near_size(a: Column, b: Column, t: Fraction) -> Column:
@@ -137,6 +143,12 @@ def _near_size(a: Column, b: Column, t: Fraction) -> Column:
     return (F.least(a, b) * t.denominator >= F.greatest(a, b) * t.numerator)
 
 
+def _placed(na: Column, pa_: Column, nb: Column, pb: Column, t: Fraction) -> Column:
+    """Whether two points may be within the radius if the region's pivot, at places ``pa_`` and ``pb`` of their orders, is
+    the first they share.  If it is not, they meet in the region of that one too, where this holds for linked points."""
+    return F.least(na - pa_, nb - pb) * (t.denominator + t.numerator) >= (na + nb) * t.numerator
+
+
 def _bounded(pairs: DataFrame, profiles: DataFrame, t: Fraction) -> DataFrame:
     """Pairs ``(a, b, na, nb)`` with ``low``, a lower bound of their distance, and whether they may be ``near``.
 
@@ -208,25 +220,33 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")) \
         .withColumn("tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    points = written(_points(rows, k), "points")
-    own = points.filter("kind = 0").select("id", "tie", "n", "point")
+    counted = written(_points(rows, k), "counted")
+    order = _order(counted)
+    points = written(counted.filter("kind = 0").drop("kind"), "points")
+    discard(counted)
+    own = points.select("id", "tie", "n", "point")
     classes = own.filter("n > 0").groupBy("point").agg(F.min("id").alias("least"))
     # cells are computed twice and not kept: almost all are of one point, and all together are large.
     # First the regions with two points or more; equal rows fall together before the shuffle
-    cells = _cells(rows, _order(points), k, t)
+    cells = _cells(rows, order, k, t)
     regions = written(cells.groupBy("pivot").agg(F.min("point").alias("first"), F.max("point").alias("last"))
                       .filter("first < last").select(F.col("pivot").alias("region")), "regions")
-    inside = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "point", "n", "rare").distinct(), "inside")
+    inside = written(cells.join(regions, F.col("pivot") == F.col("region")).select("region", "point", "n", "rare", "pos").distinct(), "inside")
     # the region's pivot is the point with the fewest rare shingles, the likeliest origin of copies
-    first = inside.groupBy("region").agg(F.min(F.struct("rare", "point")).alias("least")).select("region", F.col("least.point").alias("p"))
-    members = written(inside.join(first, "region").select("region", "p", "point", "n", "rare"), "members")
+    first = inside.groupBy("region").agg(F.min(F.struct("rare", "point")).alias("least"), F.min("n").alias("n_least")) \
+        .select("region", F.col("least.point").alias("p"), "n_least")
+    # a point too far behind the pivot for the region's smallest set is so for all
+    members = written(inside.join(first, "region").filter(((F.col("n") - F.col("pos")) * (t.denominator + t.numerator) >= (F.col("n") + F.col("n_least")) * t.numerator) | (F.col("p") == F.col("point")))
+                      .select("region", "p", "point", "n", "rare", "pos"), "members")
     discard(regions, inside)
     involved = members.select("point").distinct()
-    profiles = written(points.filter("kind = 0").join(involved, "point", "left_semi").groupBy("point").agg(F.first("profile").alias("profile")), "profiles")
+    profiles = written(points.join(involved, "point", "left_semi").groupBy("point").agg(F.first("profile").alias("profile")), "profiles")
     texts = _texts_of(involved, own, rows)
 
-    pivot_sizes = members.filter("p = point").select(F.col("region").alias("r"), F.col("n").alias("np"))
-    pairs = _ordered(members.filter("p <> point").join(pivot_sizes, F.col("region") == F.col("r")), "p", "np", "point", "n")
+    pivot_sizes = members.filter("p = point").select(F.col("region").alias("r"), F.col("n").alias("np"), F.col("pos").alias("p_pos"))
+    near = members.filter("p <> point").join(pivot_sizes, F.col("region") == F.col("r")) \
+        .filter(_placed(F.col("n"), F.col("pos"), F.col("np"), F.col("p_pos"), t))
+    pairs = _ordered(near, "p", "np", "point", "n")
     # measured pairs (a < b) stay in the tables of their rounds
     known, far = _measured(pairs, texts, profiles, [], k, t)
     labels = _linked(None, known, t)
@@ -235,7 +255,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .unionByName(far.select("a", "b", "low", F.lit(1.0).alias("high")))
     d = d.select(F.col("a").alias("d_a"), F.col("b").alias("d_b"), "low", "high")
     rest = members.filter("p <> point").join(d, (F.least("p", "point") == F.col("d_a")) & (F.greatest("p", "point") == F.col("d_b")), "left")
-    rest = written(rest.select("region", "p", "point", "n", "rare", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")), "rest")
+    rest = written(rest.select("region", "p", "point", "n", "rare", "pos", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")), "rest")
     discard(members, far)
     small = SMALL
     while True:
@@ -372,17 +392,17 @@ def _next_round(rest: DataFrame, labels: DataFrame, t: Fraction, small: int) ->
         .agg(F.min(F.struct("rare", "point")).alias("least")).select("region", F.col("least.point").alias("a"))
     chosen = few.unionByName(many)
     pivots = written(chosen.join(at, (chosen["region"] == at["region"]) & (F.col("a") == F.col("point"))).select(
-        chosen["region"].alias("region"), "a", F.col("n").alias("na"), F.col("low").alias("a_low"), F.col("high").alias("a_high"), F.col("root").alias("ra")), "pivots")
+        chosen["region"].alias("region"), "a", F.col("n").alias("na"), F.col("pos").alias("a_pos"), F.col("low").alias("a_low"), F.col("high").alias("a_high"), F.col("root").alias("ra")), "pivots")
     if pivots.isEmpty():
         discard(at, pivots)
         return rest, None
     # the first pivot's distances: d(x, y) >= d(x, p) - d(y, p)
     within = float(1 - t) + 1e-9
     beyond = (F.col("low") - F.col("a_high") > within) | (F.col("a_low") - F.col("high") > within)
-    # sizes are compared before the pairs are shuffled
-    pairs = at.join(pivots, "region").filter(_near_size(F.col("n"), F.col("na"), t)).filter((F.col("root") != F.col("ra")) & ~beyond)
+    # sizes and places are compared before the pairs are shuffled
+    pairs = at.join(pivots, "region").filter(_near_size(F.col("n"), F.col("na"), t)).filter(_placed(F.col("n"), F.col("pos"), F.col("na"), F.col("a_pos"), t)).filter((F.col("root") != F.col("ra")) & ~beyond)
     pairs = written(_ordered(pairs, "a", "na", "point", "n").distinct(), "round")
     left = written(at.join(pivots.select("region", F.col("a").alias("point")), ["region", "point"], "left_anti")
-                   .select("region", "p", "point", "n", "rare", "low", "high"), "rest")
+                   .select("region", "p", "point", "n", "rare", "pos", "low", "high"), "rest")
     discard(rest, at, pivots)
     return left, pairs

@@ -153,3 +153,24 @@ def test_window_covers_every_linked_pair():
         if b and 100 * both >= 80 * either:
             rank = lambda s: sorted(s, key=lambda x: (x * 7919) % 1009)[:jaccard.window(len(s))]
             assert set(rank(a)) & set(rank(b))
+
+
+def test_place_bound_keeps_every_linked_pair():
+    """In the first pivot that two linked sets share, the bound by places holds; it rules out some that are not linked."""
+    rng = random.Random(4)
+    ruled_out = 0
+    for _ in range(600):
+        n = rng.randrange(1, 80)
+        a = rng.sample(range(200), n)
+        b = [x for x in a if rng.random() > rng.choice((0.02, 0.1, 0.3))] + rng.sample(range(200, 300), rng.randrange(0, 12))
+        both, either = len(set(a) & set(b)), len(set(a) | set(b))
+        order = lambda s: sorted(s, key=lambda x: (x * 7919) % 1009)
+        x, y = order(a), order(b)
+        common = [v for v in x[:jaccard.window(len(x))] if y and v in y[:jaccard.window(len(y))]]
+        if not common:
+            continue
+        held = min(len(x) - x.index(common[0]), len(y) - y.index(common[0])) * 9 >= (len(x) + len(y)) * 4
+        linked = 100 * both >= 80 * either
+        assert held or not linked
+        ruled_out += not held
+    assert ruled_out
