@@ -142,10 +142,11 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", rul
     often as they occur.  An empty table gives no rows.
 
     The texts are measured once; the assessed rows are written to the shared folder, read once for the
-    host table and once for the verdicts.
+    host table and once for the verdicts.  The host table is written too: its size is known before the join
+    is planned, so texts are dealt by host only where it is too large for Spark to broadcast.
     """
     assessed = written(assess(docs, text_col, host_col, rules, keep), "assessed")
-    verdicts = host_verdicts(assessed.select("host", "n_failed"), rules) \
+    verdicts = written(host_verdicts(assessed.select("host", "n_failed"), rules), "verdicts") \
         .select(F.col("host").alias("v_host"), F.col("rate").alias("host_rate"), F.col("rejected").alias("host_rejected"))
     joined = assessed.join(verdicts, F.col("host").eqNullSafe(F.col("v_host")), "left").drop("v_host")
     return joined.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_rejected") & (F.col("n_failed") > 0)))

@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 
 U = np.uint64
 PIECE = 2 << 20
+#: where each piece becomes sets and nothing is looked up across it, arrays that fit a core's cache are quicker
+SET_PIECE = 1 << 18
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
 #: tables of powers grow by so many entries
 _STEP_UP = 1 << 19
@@ -131,7 +133,7 @@ def shingles(words: np.ndarray, doc: np.ndarray, n_docs: int, k: int = 5) -> tup
 
 def shingle_sets(texts: pa.Array, k: int = 5) -> Iterator[tuple[int, np.ndarray]]:
     """``(row, sorted distinct shingle hashes)`` of each text, lower-cased A-Z."""
-    for lo, hi, data, offsets in pieces(texts):
+    for lo, hi, data, offsets in pieces(texts, SET_PIECE):
         data = lowered(data)
         doc, start, stop = word_spans(data, offsets)
         h, of = shingles(span_hash(prefix_hash(data), start, stop), doc, hi - lo, k)
