@@ -80,11 +80,11 @@ failed AS (
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE n_failed > 0) AS bad FROM failed GROUP BY source),
 prior AS (SELECT avg(bad / n) AS mean, var_pop(bad / n) AS var FROM hosts),
 shrunk AS (
-  SELECT source, (bad + mean * k) / (n + k) > {r.reject_rate} AS rejected
+  SELECT source, (bad + mean * k) / (n + k) AS rate, (bad + mean * k) / (n + k) > {r.reject_rate} AS rejected
   FROM hosts, (SELECT mean, CASE WHEN var > 0 THEN least(greatest(mean * (1 - mean) / var - 1, 1.0), {r.max_prior}) ELSE {r.max_prior} END AS k FROM prior)
 )
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (rejected AND n_failed > 0) AS kept, n_failed
+       NOT base_failed AND NOT (rejected AND n_failed > 0) AS kept, n_failed, round(rate * 1e6) / 1e6 AS host_rate, rejected AS host_rejected
 FROM failed f JOIN shrunk s ON f.source IS NOT DISTINCT FROM s.source
 """
 

@@ -75,7 +75,8 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), m["n_words"].alias("n_words"), m["word_chars"].alias("word_chars"),
         m["n_symbols"].alias("n_symbols"), m["n_dup_lines"].alias("n_dup_lines"),
-        m["n_repeat_words"].alias("n_repeat_words"), "base_failed", "kept", F.col("n_failed").cast("long").alias("n_failed"))
+        m["n_repeat_words"].alias("n_repeat_words"), "base_failed", "kept", F.col("n_failed").cast("long").alias("n_failed"),
+        (F.round(F.col("host_rate") * 1e6) / 1e6).alias("host_rate"), "host_rejected")
 
 
 def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

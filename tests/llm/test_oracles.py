@@ -17,7 +17,7 @@ COLUMNS = {
                                    "base_sha256": "string", "spans": "string"},
     "op7_simple8b_tokens": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op8_host_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
-                       "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+                       "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean", "n_failed": "bigint", "host_rate": "double", "host_rejected": "boolean"},
     "op9_entropy_secrets": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
     "op10_fair_queue_mix": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
 }
@@ -35,10 +35,10 @@ def test_columns_of_the_contracts(spark, name):
     assert list(kinds.items())[:len(COLUMNS[name])] == list(COLUMNS[name].items())
 
 
-def test_entry_registers_all_eleven():
+def test_entry_registers_all():
     names = set(E.queries())
     assert set(llm_queries()) <= names and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 def test_native_operators_run_no_python(spark):
