@@ -6,9 +6,32 @@ one binary search for all strings of a piece.  Used inside Arrow tasks, one tabl
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+
+_CACHES: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dictionary that a Python worker keeps from task to task, until other work calls ``forget``."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
+def forget() -> None:
+    """Empty this worker's caches and give the memory back: Spark reuses workers, and what the tokens of one stage
+    needed should not lie beside the next stage's arrays."""
+    for cache in _CACHES:
+        cache.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 class _Half:

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cordon.llm.components import components
+from cordon.llm.idcache import forget
 from cordon.llm.scratch import discard, written
 from cordon.llm.wordhash import mix, shingle_sets
 
@@ -67,6 +68,7 @@ def _points(rows: DataFrame, k: int) -> DataFrame:
     names = ["kind", "id", "tie", "n", "point", "profile"]
 
     def run(batches):
+        forget()
         for batch in batches:
             n, point, seen, profile = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64), [], [b""] * batch.num_rows
             for i, s in shingle_sets(batch.column(1), k):
@@ -115,6 +117,7 @@ def _cells(rows: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int, t: Fra
     ``rare`` counts its shingles that are not frequent ones: a text that others were copied from has few, an edited
     copy has more."""
     def run(batches):
+        forget()
         for batch in batches:
             pivots, points, sizes, rare, places = [], [], [], [], []
             for _, s in shingle_sets(batch.column(1), k):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cordon.llm import simple8b
-from cordon.llm.idcache import KnownIds, Recent, gather
+from cordon.llm.idcache import KnownIds, Recent, gather, worker_cache
 from cordon.llm.wordhash import pieces, prefix_hash, span_hash, word_spans
 
 CHUNK_IDS = 1 << 16
@@ -105,7 +105,7 @@ class Encoder:
         return ids, per_doc
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = worker_cache()
 
 
 def encoder(path: str) -> Encoder:
