@@ -24,14 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.llm.idcache import KnownIds, Recent, gather
+from cordon.llm.idcache import KnownIds, Recent, gather, give_back
 from cordon.llm.wordhash import SPACE, prefix_hash, span_hash
 
 #: bytes of text that are cut into units together; a longer text is cut between units
 PIECE = 1 << 20
 #: words in the younger half of a cache
 KEPT = 100_000
+#: units in the younger half of a cache
+KEPT_UNITS = 300_000
 SHORT = 64
+#: bytes of words that one query contracts
+CONTRACTED = 30_000
 #: token rows decoded by one query
 ROWS = 1 << 18
 #: white space beyond the six plain characters
@@ -118,7 +122,7 @@ class Vocabulary:
         self.db.execute("CREATE TABLE vocabulary AS FROM arrow_vocabulary")
         self.db.unregister("arrow_vocabulary")
         self.single = np.array([self.ranks.get(bytes([x]), -1) for x in range(256)], np.int32)
-        self.words, self.units = Recent(KEPT), KnownIds()
+        self.words, self.units = Recent(KEPT), KnownIds(KEPT_UNITS)
         self.has_merges = False
 
     def _add_merges(self) -> None:
@@ -149,34 +153,38 @@ class Vocabulary:
         upto, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4")
         return [flat[i:j].tobytes() for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())]
 
-    def of_words(self, words: list[bytes]) -> None:
-        """Make the cache know every one of ``words``."""
+    def of_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each of ``words``, however many the cache keeps."""
+        found: dict[bytes, bytes] = {}
         unknown = []
-        for w in words:
-            if self.words.get(w) is None:
-                rank = self.ranks.get(w)
-                if rank is None:
-                    unknown.append(w)
-                else:
-                    self.words.put(w, rank.to_bytes(4, "little"))
-        unknown = list(dict.fromkeys(unknown))
+        for w in dict.fromkeys(words):
+            ids = self.words.get(w)
+            if ids is None and (rank := self.ranks.get(w)) is not None:
+                ids = rank.to_bytes(4, "little")
+                self.words.put(w, ids)
+            if ids is None:
+                unknown.append(w)
+            else:
+                found[w] = ids
         for some in ([w for w in unknown if len(w) <= SHORT], [w for w in unknown if len(w) > SHORT]):
             lo = 0
-            while lo < len(some):  # about 100,000 rows a query, or one word
+            while lo < len(some):  # about ``CONTRACTED`` rows a query, or one word
                 hi, size = lo, 0
                 while hi < len(some) and (hi == lo or size + len(some[hi]) <= 100_000):
                     size, hi = size + len(some[hi]), hi + 1
                 for w, ids in zip(some[lo:hi], self.contract(some[lo:hi])):
                     self.words.put(w, ids)
+                    found[w] = ids
                 lo = hi
+        return found
 
     def of_units(self, units: list[bytes]) -> list[bytes]:
         """Ids of each unit."""
         found: list[bytes] = []
-        for lo in range(0, len(units), KEPT // 4):  # fewer words than the cache keeps
+        for lo in range(0, len(units), KEPT // 4):
             parts = [[m.encode() for m in self.pattern.findall(u.decode())] for u in units[lo:lo + KEPT // 4]]
-            self.of_words([w for p in parts for w in p])
-            found += [b"".join(map(self.words.get, p)) for p in parts]
+            known = self.of_words([w for p in parts for w in p])
+            found += [b"".join(map(known.__getitem__, p)) for p in parts]
         return found
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -322,6 +330,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
                 ids = known.encode(part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) >> 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                                                  ["id", "n_tokens", "ids"])
+                give_back()  # beside this worker lie the decoder's and those of the other cores
 
     return rows.mapInArrow(run, "id bigint, n_tokens bigint, ids binary")
 
@@ -337,5 +346,6 @@ def decode_ids(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
             for part in _slices(batch, 2):
                 found = known.decode([x.as_buffer().to_pybytes() if x.is_valid else b"" for x in part.column(2)])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], ["id", "n_tokens", "ids", "bytes"])
+                give_back()
 
     return tokens.select("id", "n_tokens", "ids").mapInArrow(run, "id bigint, n_tokens bigint, ids binary, bytes binary")

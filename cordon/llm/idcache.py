@@ -28,6 +28,11 @@ def forget() -> None:
     for cache in _CACHES:
         cache.clear()
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the machine; the C library and Arrow keep it otherwise, and every worker of an executor has its own."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
     if trim is not None:

@@ -190,6 +190,41 @@ def test_texts_are_cut_between_matches(reference_encoding, monkeypatch):
     assert [x.decode() for x in known.decode(got)] == [t or "" for t in texts]
 
 
+def test_words_beyond_the_cache_and_small_queries(reference_encoding, monkeypatch):
+    """A unit may hold more words than the cache keeps, and a query gets few bytes of words, or one word."""
+    monkeypatch.setattr(bytebpe, "KEPT", 4)
+    monkeypatch.setattr(bytebpe, "CONTRACTED", 40)
+    known = bytebpe.Vocabulary(RANKS, PATTERN)
+    real, sizes = known.contract, []
+    monkeypatch.setattr(known, "contract", lambda words: sizes.append((len(words), sum(map(len, words)))) or real(words))
+    texts = [",".join(f"qz{i}xv" for i in range(60)), "q" * 90 + "z"]
+    assert known.encode(pa.array(texts)) == [ids_of(reference_encoding, t) for t in texts]
+    assert sizes and all(n == 1 or size <= 40 for n, size in sizes)
+
+
+def test_workers_give_memory_back(spark, monkeypatch):
+    """Both operators return freed memory while they run, after each part of a batch."""
+    monkeypatch.setattr(bytebpe, "PIECE", 2000)
+    taken = []
+    monkeypatch.setattr(bytebpe, "give_back", lambda: taken.append(1))
+    runs = []
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            runs.append(run)
+            return self
+
+    bytebpe.decode_ids(bytebpe.encode_texts(Rows(), RANKS, PATTERN), RANKS, PATTERN)
+    texts = ["some words " * 100] * 5
+    rows = [pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts)], ["id", "text"])]
+    encoded = list(runs[0](iter(rows)))
+    assert len(taken) == len(encoded) > 1
+    assert [x.decode() for b in runs[1](iter(encoded)) for x in b.column(3).to_pylist()] == texts and len(taken) > len(encoded)
+
+
 def test_two_strings_of_one_hash(reference_encoding, monkeypatch):
     """Where the first hash says two units are one, the second one tells, and each is encoded for itself."""
     real = bytebpe.span_hash
