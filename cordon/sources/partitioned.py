@@ -18,6 +18,9 @@ from cordon.operators.unify import raw_to_trips
 from cordon.sources.feeds import raw_schema, time_columns
 
 PERIOD = ("feed", "year", "month")
+#: Spark's own setting: files that one writing task holds open, so that it need not sort by folder
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_FILES = 64
 _PERIOD_FIELDS = [T.StructField("feed", T.StringType()), T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
 
 
@@ -33,10 +36,18 @@ def feed_table_schema(feeds: Iterable[str], extra: Sequence[T.StructField] = ())
 def land_periods(raw: DataFrame, root: str, replace: bool = True) -> str:
     """Write raw rows that carry ``feed, year, month`` into their folders; those periods are replaced, others stay.
 
-    ``rebalance`` lets the adaptive plan cut a month that holds many of the rows into several files.
+    ``rebalance`` lets the adaptive plan cut a month that holds many of the rows into several files.  A task then holds
+    few months and keeps a file open for each, so its rows are not sorted by month (a sort spills what does not fit);
+    only rows of months beyond ``OPEN_FILES`` are.
     """
-    raw.hint("rebalance", *PERIOD).write.mode("overwrite" if replace else "append").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*PERIOD).parquet(root)
+    conf = raw.sparkSession.conf
+    before = conf.get(WRITERS, None)
+    conf.set(WRITERS, str(OPEN_FILES))
+    try:
+        raw.hint("rebalance", *PERIOD).write.mode("overwrite" if replace else "append").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(*PERIOD).parquet(root)
+    finally:
+        conf.unset(WRITERS) if before is None else conf.set(WRITERS, before)
     return root
 
 

@@ -213,3 +213,30 @@ def test_monthly_file_names_give_periods(spark, scratch):
         spark.range(3).coalesce(1).write.parquet(f"{scratch}/{name}")
     found = {tuple(r)[:4] for r in input_periods(spark, scratch, periods.BY_NAME.replace(r"\.parquet", r"\.parquet")).collect()}
     assert found == {("yellow", 2024, 1, 1), ("green", 2024, 11, 1)}
+
+
+def test_landing_keeps_files_open_instead_of_sorting(spark, scratch):
+    """While months are landed a task may hold a file open for each (a sort by month would spill); the setting comes back."""
+    from cordon.sources import partitioned
+
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name, None)
+
+    class Raw:
+        sparkSession = spark
+
+        def __getattr__(self, method):
+            seen.append(int(spark.conf.get(name)))
+            return self if method == "write" else lambda *a: self
+
+    land_periods(Raw(), f"{scratch}/none")
+    assert set(seen) == {64} and spark.conf.get(name, None) == before
+    rows = spark.range(3000).selectExpr("id", "'yellow' AS feed", "CAST(2000 + id % 9 AS INT) AS year", "CAST(1 + id % 12 AS INT) AS month")
+    for files in (64, 2):  # two: the months beyond are sorted
+        partitioned.OPEN_FILES, kept = files, partitioned.OPEN_FILES
+        try:
+            land_periods(rows, f"{scratch}/{files}")
+        finally:
+            partitioned.OPEN_FILES = kept
+        got = spark.read.parquet(f"{scratch}/{files}").select("id", "feed", "year", "month")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
