@@ -12,9 +12,9 @@
    span are added; among overlapping ones the best score stays.
 
 Only DataFrame functions and Spark's own trees; a fitted model becomes a column expression, so each
-document is scored where it lies and no text is shuffled.  The fit sees at most ``max_train``
-candidates, half of them of either label, drawn by hash; the labels' true shares go into the calibration, and
-everything else covers all documents.
+document is scored where it lies and no text is shuffled.  Fit and calibration see every labelled candidate of
+all documents, equal feature rows as one with their number.  In the fit a label weighs ``max_train / 2``
+candidates at most, so a rare one is learnt too; the labels' true shares go into the calibration.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cordon.llm.scratch import written
+from cordon.llm.scratch import discard, written
 from cordon.llm.text import SPAN_TYPE, any_touching, chunks, let, match_spans, part_of, running, span_index, spans_if, whole
 
 KINDS = ("email", "ip", "card", "phone")
@@ -55,8 +55,8 @@ FEATURES = ("digits", "groups", "longest", "last", "parens", "dots", "dashes", "
 
 @dataclass(frozen=True)
 class Boosting:
-    """``max_train`` bounds the labelled candidates of the fit (half as many of rows made of them come on
-    top); a fit on the documents alone needs ``least`` candidates of either label in each half."""
+    """``max_train`` bounds what the labelled candidates weigh in the fit, half of it for either label (rows made of
+    them weigh half as many on top); all of them take part.  A fit on the documents alone needs ``least`` candidates of either label in each half."""
 
     trees: int = 8
     depth: int = 3
@@ -253,36 +253,41 @@ def _fitted(docs: DataFrame, settings: Boosting) -> Scorer | str | None:
                 lambda k: F.filter(F.transform("candidates", lambda s: F.struct(
                     _label(s, k["base"]).alias("label"), s.alias("s"), _before(k["pieces"], s).alias("before"), part_of(k["pieces"], s["stop"], F.lit(2)).alias("after"),
                     k["head"].alias("head"))), lambda c: c["label"].isNotNull()))
+    half = F.pmod(F.xxhash64(F.col("s.found"), "head"), F.lit(2)) == 0
     labelled = scanned.select(F.inline(known)) \
-        .select("label", _of_context(F.col("s"), F.col("before"), F.col("after")).alias("x"), F.xxhash64(F.col("s.found"), "head").alias("h"),
+        .select("label", _of_context(F.col("s"), F.col("before"), F.col("after")).alias("x"), half.alias("half"),
                 F.when((F.col("label") == 1) & ~F.col("s.found").rlike("@|[A-Za-z]"), _bare(F.col("s"))).alias("bare"), "before")
-    # the bound is max_train / 2 rows of each label, least hashes first, so the draw depends neither on the partitions nor on
-    # how rare a label is
-    drawn = [labelled.filter(F.col("label") == y).orderBy("h").limit(settings.max_train // 2) for y in (0, 1)]
-    sample = written(drawn[0].unionByName(drawn[1]), "pii-sample")
-    half = F.pmod("h", F.lit(2)) == 0
-    n = sample.groupBy().agg(*[F.coalesce(F.sum((c & (F.col("label") == y)).cast("long")), F.lit(0)).alias(f"n{i}{y}")
-                               for i, c in enumerate((half, ~half)) for y in (0, 1)]).first()
+    # every labelled candidate counts: equal ones are one row with their number
+    cells = written(labelled.groupBy("half", "label", "x").agg(F.count(F.lit(1)).alias("n")), "pii-cells")
+    n = cells.groupBy().agg(*[F.coalesce(F.sum(F.when(c & (F.col("label") == y), F.col("n"))), F.lit(0)).alias(f"n{i}{y}")
+                              for i, c in enumerate((F.col("half"), ~F.col("half"))) for y in (0, 1)]).first()
     if min(n) < settings.least:
+        discard(cells)
         return TOO_FEW
-    held = labelled.groupBy().agg(*[F.sum((F.col("label") == y).cast("long")).alias(f"n{y}") for y in (0, 1)]).first()
+    held = [n[f"n0{y}"] + n[f"n1{y}"] for y in (0, 1)]
     stands_for = [held[y] / n[f"n1{y}"] for y in (0, 1)]  # candidates of all documents to a held-out one of the label
     # base spans seldom stand side by side: a row of two between other numbers shows that each is one and what lies across is none
-    row = sample.filter(half & F.col("bare").isNotNull()).select("bare", F.concat("before", F.lit("12 "), "bare", F.lit(" "), "bare", F.lit(" 12")).alias("t"))
-    across = row.select("t", "bare", F.explode(_candidates(F.col("t"))).alias("s")) \
-        .select((F.col("s.found") == F.col("bare")).cast("double").alias("label"), _features(chunks(F.col("t")), F.col("s")).alias("x"), F.xxhash64("s.found", "t").alias("h")) \
-        .orderBy("h").limit(settings.max_train // 2)
-    fitted = GBTClassifier(featuresCol="v", labelCol="label", maxIter=settings.trees, maxDepth=settings.depth, maxBins=32,
+    row = labelled.filter(F.col("half") & F.col("bare").isNotNull()).select("bare", F.concat("before", F.lit("12 "), "bare", F.lit(" "), "bare", F.lit(" 12")).alias("t"))
+    across = written(row.select("t", "bare", F.explode(_candidates(F.col("t"))).alias("s"))
+                     .select((F.col("s.found") == F.col("bare")).cast("double").alias("label"), _features(chunks(F.col("t")), F.col("s")).alias("x"))
+                     .groupBy("label", "x").agg(F.count(F.lit(1)).alias("n")), "pii-across")
+    n_across = across.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # a label's candidates weigh max_train / 2 together at most, so its rarity does not decide; none is left out
+    share = lambda of: min(1.0, settings.max_train // 2 / max(of, 1))
+    weighed = cells.filter("half").select("label", "x", (F.col("n") * F.when(F.col("label") == 1, share(held[1])).otherwise(share(held[0]))).alias("w")) \
+        .unionByName(across.select("label", "x", (F.col("n") * share(n_across)).alias("w")))
+    fitted = GBTClassifier(featuresCol="v", labelCol="label", weightCol="w", maxIter=settings.trees, maxDepth=settings.depth, maxBins=32,
                            stepSize=0.3, seed=settings.seed).fit(
-        sample.filter(half).select("label", "x", "h").unionByName(across).repartition(4, "h").sortWithinPartitions("h", "label").select("label", array_to_vector("x").alias("v")))
+        weighed.repartition(4, "x").sortWithinPartitions("x", "label", "w").select("label", "w", array_to_vector("x").alias("v")))
     trees = tuple(_tree(t._call_java("rootNode")) for t in fitted.trees)
     scorer = Scorer(trees, tuple(float(w) for w in fitted.treeWeights), 1.0)
-    ordered = Window.partitionBy(F.lit(0)).orderBy(F.col("p").desc())  # at most max_train rows
-    cut = sample.filter(~half).select("label", scorer.score(F.col("x")).alias("p")).groupBy("p") \
-        .agg((F.sum("label") * stands_for[1]).alias("good"), (F.sum(1 - F.col("label")) * stands_for[0]).alias("bad")) \
+    ordered = Window.partitionBy(F.lit(0)).orderBy(F.col("p").desc())  # one row for each score the trees can give
+    cut = cells.filter(~F.col("half")).select("label", "n", scorer.score(F.col("x")).alias("p")).groupBy("p") \
+        .agg((F.sum(F.col("label") * F.col("n")) * stands_for[1]).alias("good"), (F.sum((1 - F.col("label")) * F.col("n")) * stands_for[0]).alias("bad")) \
         .withColumn("n", F.col("good") + F.col("bad")) \
         .withColumn("share", F.sum("good").over(ordered) / F.sum("n").over(ordered)) \
         .filter(F.col("share") >= settings.precision).agg(F.min("p")).first()[0]
+    discard(cells, across)
     return None if cut is None or cut < 0.5 else Scorer(trees, scorer.weights, float(cut))
 
 

@@ -151,6 +151,24 @@ def test_rare_labels_are_fitted_too(spark):
     assert got == {0: [(16, 30)], 1: []}
 
 
+def test_every_labelled_candidate_takes_part(spark, monkeypatch):
+    """The fit and the threshold come from all candidates; ``max_train`` bounds their weight only."""
+    rows = [f"some words call +1 ({i % 900 + 100}) 555-{i % 9000 + 1000} here" for i in range(300)] + [f"page {100_000_000 + i} of it" for i in range(900)]
+    real, kept = pii.written, {}
+
+    def spy(df, name):
+        out = real(df, name)
+        kept[name] = sum(r.n if "n" in out.columns else 1 for r in out.collect())
+        return out
+
+    monkeypatch.setattr(pii, "written", spy)
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    every = pii._scanned(frame, "text").select(F.explode("candidates").alias("s"), pii.span_index(F.col("base")).alias("base")) \
+        .filter(pii._label(F.col("s"), F.col("base")).isNotNull()).count()
+    assert pii.fit_scorer(frame, settings=pii.Boosting(max_train=200)) is not None
+    assert every > 1000 and max(kept.values()) >= every and kept["pii-cells"] == every
+
+
 def test_secret_base_spans(hidden):
     got = {r.i: r.s for r in secrets.find_secrets(hidden).select(F.col("row.doc_id").alias("i"), span_text(F.col("base")).alias("s")).collect()}
     for i, t in enumerate(HIDDEN):
