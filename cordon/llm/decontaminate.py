@@ -12,7 +12,8 @@
    best possible one is the degree of contamination; edited copies keep most of it.
 
 The documents are only read: two passes, no shuffle of text.  What goes to the tasks is the benchmark,
-in slices of at most ``SLICE`` words (one pass for each slice), so its size is bounded whatever it holds.
+in slices of at most ``SLICE`` words (one pass for each slice), so its size is bounded whatever it holds.  Texts are
+worked on in pieces of 256 KB, and workers give back what earlier work and each batch leave.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cordon.llm.wordhash import NOT_ALNUM, lowered, pieces, prefix_hash, shingles, span_hash, word_spans
+from cordon.llm.idcache import forget, give_back
+from cordon.llm.wordhash import NOT_ALNUM, SET_PIECE, lowered, pieces, prefix_hash, shingles, span_hash, word_spans
 
 GRAM = 3
 SLICE = 400_000  # words; a word begins three seeds at most
@@ -118,16 +120,19 @@ def _document_counts(docs: DataFrame, items: Items, gram: int) -> dict[int, int]
     look = spark.sparkContext.broadcast(Lookup(np.concatenate(every) if every else np.zeros(0, np.uint64)))  # at most 3 * SLICE hashes
 
     def run(batches):
+        forget()
         find = look.value
         total = np.zeros(len(find.few), np.int64)
         for batch in batches:
-            for _, _, data, offsets in pieces(batch.column(0)):
+            for _, _, data, offsets in pieces(batch.column(0), SET_PIECE):
                 doc, words = _words(data, offsets)
                 h, at = _seeds(words, doc, gram)
                 hit = find(h)
                 if len(hit):
                     which = np.searchsorted(find.few, h[hit])
-                    total += np.bincount(np.unique(which * len(offsets) + doc[at[hit]]) // len(offsets), minlength=len(total))
+                    seen, n = np.unique(np.unique(which * len(offsets) + doc[at[hit]]) // len(offsets), return_counts=True)
+                    total[seen] += n
+            give_back()
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(find.few[held].view(np.int64)), pa.array(total[held])], ["h", "n"])
 
@@ -281,10 +286,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for held in _prepared(rows.select("text"), benchmark, item_col, item_text_col, gram):
         def run(batches, held=held):
+            forget()
             items, look = held.value
             size, names_of = np.array([len(w) for w in items.words], np.int64), pa.array(items.ids, pa.int64())
             for batch in batches:
-                for lo, hi, data, offsets in pieces(batch.column(1)):
+                for lo, hi, data, offsets in pieces(batch.column(1), SET_PIECE):
                     doc, words = _words(data, offsets)
                     d, item, first, score, last = _hits(words, doc, hi - lo, items, look, gram, limit)
                     share = score / np.maximum(MATCH * size[item], 1)
@@ -292,6 +298,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(lo + d[good])), names_of.take(pa.array(item[good])), pa.array(share[good]),
                          pa.array(first[good]), pa.array(last[good])], names)
+                give_back()
 
         found = rows.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
@@ -307,15 +314,17 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     out = docs
     for held in _prepared(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")), benchmark, item_col, item_text_col, gram):
         def run(batches, held=held):
+            forget()
             items, look = held.value
             size = np.array([len(w) for w in items.words], np.int64)
             for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for lo, hi, data, offsets in pieces(batch.column(at)):
+                for lo, hi, data, offsets in pieces(batch.column(at), SET_PIECE):
                     doc, words = _words(data, offsets)
                     d, item, _, score, _ = _hits(words, doc, hi - lo, items, look, gram, limit)
-                    keep[lo + d[score >= limit * MATCH * size[item]]] = False
-                yield batch.filter(pa.array(keep))
+                    keep = np.ones(hi - lo, bool)
+                    keep[d[score >= limit * MATCH * size[item]]] = False
+                    yield batch.slice(lo, hi - lo).filter(pa.array(keep))  # no second copy of a batch, here or where it is read
+                give_back()
 
         out = out.mapInArrow(run, docs.schema)
     return out

@@ -12,14 +12,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from cordon.llm.idcache import worker_cache
+
 U = np.uint64
 PIECE = 2 << 20
 #: where each piece becomes sets and nothing is looked up across it, arrays that fit a core's cache are quicker
 SET_PIECE = 1 << 18
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
-#: tables of powers grow by so many entries
+#: tables of powers grow by so many entries; pieces of 2 MB leave 40 MB of them a base
 _STEP_UP = 1 << 19
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = worker_cache()
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -2,14 +2,16 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cordon.llm import decontaminate, hostrules, mixing, quotes, simple8b, tokens
+from cordon.llm import decontaminate, hostrules, mixing, quotes, simple8b, tokens, wordhash
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -388,6 +390,49 @@ def test_a_stray_seed_before_a_copy_does_not_cut_it(spark):
         assert [(r.item_id, r.score, r.last_word) for r in found] == [(7, len(copied) / len(item), 54 + len(copied))]
 
 
+def test_workers_hold_little_beside_a_batch(spark):
+    """Arrays are of small pieces, copies of a batch are not made whole, and what earlier work left goes."""
+    rng = random.Random(4)
+    say = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    items = [say(30) for _ in range(5)]
+    texts = [" ".join([*say(200), *(items[i % 5] if i % 40 == 0 else []), *say(200)]) for i in range(3000)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    peaks, sizes = [], []
+
+    class Rows:
+        sparkSession, columns, schema = spark, ["doc_id", "text"], None
+
+        def __init__(self, batch):
+            self.batch = batch
+
+        def select(self, *columns):
+            return Rows(self.batch.select(["text"]))
+
+        def mapInArrow(self, run, schema):
+            wordhash.prefix_hash(np.zeros(3 << 20, np.uint8))  # tables that a longer text needed
+            tracemalloc.start()
+            out = list(run(iter([self.batch])))
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            sizes.append(max(len(table) for pair in wordhash._POWERS.values() for table in pair))
+            return Rows(pa.Table.from_batches(out))
+
+        def groupBy(self, key):
+            return self
+
+        def agg(self, total):
+            return self
+
+        def toPandas(self):
+            return self.batch.to_pandas().groupby("h", as_index=False).sum()
+
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    kept = decontaminate.clean_rows(Rows(batch), bench)
+    assert kept.batch.column("doc_id").to_pylist() == [i for i in range(len(texts)) if i % 40 or i >= 3000]
+    assert len(peaks) == 2 and max(peaks) < 40 << 20, peaks
+    assert max(sizes) <= 1 << 19
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark):
